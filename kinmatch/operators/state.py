@@ -21,10 +21,11 @@ from .rows import first_per_key, groups_with, union_all
 HISTORY = ("master_product_cluster_id", "previous_status_id", "current_status_id")
 
 
-def status_snapshot(clusters: DataFrame, previous: int, current: int) -> DataFrame:
+def status_snapshot(clusters: DataFrame, previous: int | None, current: int) -> DataFrame:
     """History rows for the clusters about to move from one status to another."""
-    return clusters.where(F.col("master_product_status_id") == previous).select(
-        F.col("id").alias(HISTORY[0]), F.lit(previous).alias(HISTORY[1]), F.lit(current).alias(HISTORY[2])
+    was = F.lit(previous).cast("int")
+    return clusters.where(F.col("master_product_status_id") == was).select(
+        F.col("id").alias(HISTORY[0]), was.alias(HISTORY[1]), F.lit(current).alias(HISTORY[2])
     )
 
 
@@ -32,17 +33,18 @@ def replace_status(
     clusters: DataFrame,
     new_rows: DataFrame,
     *,
-    previous: int,
+    previous: int | None,
     now: datetime | Column,
     current: int = STATUS_NOT_USED,
     clear_cluster: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Expire the rows of one status, append ``new_rows``; returns ``(clusters, history)``.
+    """Expire the rows of one status (None: of none), append ``new_rows``.
 
-    ``history`` holds what this step adds: one row per expired row and one
+    Returns ``(clusters, history)``; ``history`` holds what this step adds: one row per expired row and one
     ``(s, s)`` row per new row. New ids continue after the largest one.
     """
-    expiring = F.coalesce(F.col("master_product_status_id") == previous, F.lit(False))
+    is_previous = F.col("master_product_status_id") == F.lit(previous).cast("int")
+    expiring = F.coalesce(is_previous, F.lit(False))
     kept = clusters.withColumns(
         {
             "cluster_id": F.when(expiring & F.lit(clear_cluster), F.lit(None)).otherwise(F.col("cluster_id")),
@@ -90,16 +92,20 @@ def save_clusters(
 
 
 def save_suggestions(
-    clusters_table: DataFrame, matches: DataFrame, now: datetime | Column
+    clusters_table: DataFrame, matches: DataFrame, now: datetime | Column, expire: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Store accepted (product, master) pairs as suggestions; older suggestions expire."""
+    """Store accepted (product, master) pairs as suggestions; older suggestions expire.
+
+    ``expire=False`` only adds: for runs that look at new products alone.
+    """
     rows = matches.where(F.col("match") == 1).select(
         F.col("id1").alias("internal_product_id"),
         F.col("id2").alias("master_product_id"),
         F.lit(None).cast("bigint").alias("cluster_id"),
         F.lit(STATUS_SUGGESTION).alias("master_product_status_id"),
     )
-    return replace_status(clusters_table, rows, previous=STATUS_SUGGESTION, now=now)
+    previous = STATUS_SUGGESTION if expire else None
+    return replace_status(clusters_table, rows, previous=previous, now=now)
 
 
 def accepted_clusters(clusters: DataFrame) -> DataFrame:
@@ -128,7 +134,7 @@ def cache_scores(cache: DataFrame, scored: DataFrame, model_id: int) -> DataFram
     )
     both = stored.withColumn("__new", F.lit(0)).unionByName(fresh.withColumn("__new", F.lit(1)))
     key = ["product_source_id_1", "product_source_id_2"]
-    return first_per_key(both, key, "__new", F.desc("prob")).drop("__new")
+    return first_per_key(both, key, "__new", F.desc("prob"), F.desc("match")).drop("__new")
 
 
 def write_cache(cache: DataFrame, path: str) -> None:

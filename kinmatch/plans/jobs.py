@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import score_to_label
+from ..functions.vectors import cosine
 from ..operators.blocking import block_pairs, block_to_masters
 from ..operators.components import cluster_all, cluster_matches
-from ..operators.knn import knn_filtered
+from ..operators.knn import knn_filtered, knn_self
 from ..operators.metrics import assignment_accuracy, classification_report, threshold_sweep
 from ..operators.pairs import one_shot_pairs, training_pairs
-from ..operators.rows import best_per_key, drop_missing
+from ..operators.rows import best_per_key, canonical_pairs, drop_missing, lookup_both
 from ..operators.sampling import TEST_FRACTION, split_two
 from ..operators.scoring import (
     MATCH_THRESHOLD,
@@ -40,6 +41,17 @@ ASSIGN_OVER_FETCH = 100
 ASSIGN_NEIGHBOURS = 10
 
 
+def cluster_similar(
+    items: DataFrame, top_k: int, max_distance: float, min_size: int = MIN_CLUSTER_SIZE,
+    vec: str = "vec", **search,
+) -> DataFrame:
+    """Clusters of items linked to a near neighbour; ``top_k`` counts the item itself."""
+    near = knn_self(items, top_k, vec=vec, **search)
+    close = near.where((F.col("id") != F.col("nn_id")) & (F.round("dist", 9) < max_distance))
+    links = canonical_pairs(close, "id", "nn_id").withColumn("match", F.lit(1))
+    return cluster_matches(links, items, min_size)
+
+
 class MatchResult(NamedTuple):
     products: DataFrame
     candidates: DataFrame
@@ -172,9 +184,6 @@ def train_one_shot(
 
 def evaluate_blocker(labelled_pairs: DataFrame, products: DataFrame) -> DataFrame:
     """Best thresholds and average precision of the vectors' cosine on labelled pairs."""
-    from ..functions.vectors import cosine
-    from ..operators.rows import lookup_both
-
     sided = lookup_both(labelled_pairs, products, ["vec"], how="inner")
     return threshold_sweep(sided.select(F.round(cosine("vec1", "vec2"), 9).alias("score"), "match"))
 

@@ -8,8 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema from ``name TYPE, …``, without a running session."""
+    pairs = (c.split() for c in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 PRODUCTS = _struct(

@@ -16,6 +16,7 @@ def build_session(app: str = "kinmatch", cpus: int | str = "*", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():

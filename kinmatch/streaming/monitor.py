@@ -69,7 +69,7 @@ def suggestion_sink(
     def on_batch(batch: DataFrame, number: int) -> None:
         matches = match_batch(batch, masters, encoder, scorer, **options)
         table, history = save_suggestions(
-            store.read("master_product_clusters"), matches, datetime.now(timezone.utc)
+            store.read("master_product_clusters"), matches, datetime.now(timezone.utc), expire=False
         )
         store.commit(
             f"{run_prefix}-{number}",

@@ -9,19 +9,24 @@ from pyspark.sql import Window as W
 MAX_BUCKETS = 512
 
 
-def _cut_points(df: DataFrame, column: str) -> list[float]:
-    """Approximate quantiles of a numeric column: at most MAX_BUCKETS numbers."""
+def _cut_points(df: DataFrame, column: str, uniform: bool) -> list[float]:
+    """Approximate quantiles of a numeric column: at most MAX_BUCKETS numbers.
+
+    They are known without a pass for a ``uniform`` column over [0, 1).
+    """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, min(partitions, MAX_BUCKETS))
     if buckets == 1:
         return []
     probabilities = [i / buckets for i in range(1, buckets)]
+    if uniform:
+        return probabilities
     cuts = df.approxQuantile(column, probabilities, 0.2 / buckets)
     return sorted(set(cuts))
 
 
-def _bucket(df: DataFrame, column: str) -> DataFrame:
-    cuts = _cut_points(df, column)
+def _bucket(df: DataFrame, column: str, uniform: bool = False) -> DataFrame:
+    cuts = _cut_points(df, column, uniform)
     if not cuts:
         return df.withColumn("__bucket", F.lit(0))
     bounds = F.array(*[F.lit(float(c)) for c in cuts])
@@ -30,7 +35,8 @@ def _bucket(df: DataFrame, column: str) -> DataFrame:
 
 
 def global_rank(
-    df: DataFrame, column: str, *ties: str, out: str = "rank", descending: bool = False
+    df: DataFrame, column: str, *ties: str, out: str = "rank", descending: bool = False,
+    uniform: bool = False,
 ) -> DataFrame:
     """1-based position of every row by ``column`` (numeric), then ``ties``.
 
@@ -38,7 +44,7 @@ def global_rank(
     numbered on its own and shifted by the size of the ranges before it. The
     ranges' sizes are the only thing ordered in one task, MAX_BUCKETS rows.
     """
-    ranged = _bucket(df, column)
+    ranged = _bucket(df, column, uniform)
     sizes = ranged.groupBy("__bucket").agg(F.count("*").alias("__n"))
     order = F.desc if descending else F.asc
     before = W.orderBy(order("__bucket")).rowsBetween(W.unboundedPreceding, -1)

@@ -11,6 +11,7 @@ triangle inequality cannot rule out against the k-th best found so far.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,18 +20,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.numeric import hash_draw
 from ..functions.vectors import SIMILARITY_DIGITS, angular_from_cosine
 from ..session import cut_lineage
 
-TILE_ROWS = 4096
-CHUNK_ROWS = 4096
+TILE_ROWS = 32_768
+CHUNK_ROWS = 32_768
 MIN_CHUNK_ROWS = 128
-MAX_PIVOTS = 4096
+MAX_PIVOTS = 16_384
 MAX_PIVOT_BYTES = 64 << 20
+# Numbers held at once by a product of two matrices inside a task.
+BLOCK_CELLS = 1 << 22
 # Slack of the pruning test, well above rounding error and the ranking digits.
 BOUND_SLACK = 1e-4
+# Below every similarity: nothing found yet.
+NO_FLOOR = -2.0
 
 _HITS = "q_id bigint, b_id bigint, sim double, k int"
+_HITS_ARROW = pa.schema(
+    [("q_id", pa.int64()), ("b_id", pa.int64()), ("sim", pa.float64()), ("k", pa.int32())]
+)
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -57,40 +66,49 @@ def _distance(sim: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * sim))
 
 
+def _steps(rows: int, width: int):
+    """Row ranges whose products with ``width`` columns stay within BLOCK_CELLS."""
+    step = max(1, BLOCK_CELLS // max(1, width))
+    return (slice(i, min(i + step, rows)) for i in range(0, rows, step))
+
+
+def _top_of_row(cost: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of each row's ``k`` cheapest finite cells, ties by column."""
+    kth = min(int(k.max()), cost.shape[1])
+    limit = np.partition(cost, kth - 1, axis=1)[:, kth - 1]
+    row, col = np.nonzero((cost <= limit[:, None]) & np.isfinite(cost))
+    by = np.lexsort((col, cost[row, col], row))
+    row, col = row[by], col[by]
+    starts = np.searchsorted(row, np.arange(len(cost)))
+    keep = np.arange(len(row)) - starts[row] < k[row]
+    return row[keep], col[keep]
+
+
 def _best_in_block(farthest: bool, without_self: bool):
     """Per-block kernel: each query's best k base rows of one tile."""
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema(
-            [("q_id", pa.int64()), ("b_id", pa.int64()), ("sim", pa.float64()), ("k", pa.int32())]
-        )
         if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
+            return _HITS_ARROW.empty_table()
         q_id, k = left["q_id"].to_numpy(), left["k"].to_numpy()
+        floor, queries = left["floor"].to_numpy(), _matrix(left["q_vec"])
         b_id = right["b_id"].to_numpy()
         order = np.argsort(b_id, kind="stable")
         b_id, base = b_id[order], _matrix(right["b_vec"])[order]
-        sim = np.round(_matrix(left["q_vec"]) @ base.T, SIMILARITY_DIGITS) + 0.0
-        cost = sim if farthest else -sim
-        if without_self:
-            cost = np.where(q_id[:, None] == b_id[None, :], np.inf, cost)
-        kth = min(int(k.max()), len(b_id))
-        limit = np.partition(cost, kth - 1, axis=1)[:, kth - 1]
-        row, col = np.nonzero((cost <= limit[:, None]) & np.isfinite(cost))
-        by = np.lexsort((col, cost[row, col], row))
-        row, col = row[by], col[by]
-        starts = np.searchsorted(row, np.arange(len(q_id)))
-        keep = np.arange(len(row)) - starts[row] < k[row]
-        row, col = row[keep], col[keep]
-        return pa.Table.from_arrays(
-            [
-                pa.array(q_id[row], pa.int64()),
-                pa.array(b_id[col], pa.int64()),
-                pa.array(sim[row, col], pa.float64()),
-                pa.array(k[row], pa.int32()),
-            ],
-            schema=schema,
-        )
+        parts = []
+        for rows in _steps(len(q_id), len(b_id)):
+            sim = np.round(queries[rows] @ base.T, SIMILARITY_DIGITS) + 0.0
+            cost = sim if farthest else -sim
+            out = sim < floor[rows, None]
+            if without_self:
+                out |= q_id[rows, None] == b_id[None, :]
+            row, col = _top_of_row(np.where(out, np.inf, cost), k[rows])
+            parts.append(
+                pa.table(
+                    [q_id[rows][row], b_id[col], sim[row, col], k[rows][row]], schema=_HITS_ARROW
+                )
+            )
+        return pa.concat_tables(parts)
 
     return kernel
 
@@ -106,8 +124,9 @@ def best_in_cells(
 ) -> DataFrame:
     """Best base rows per (query, cell, tile).
 
-    ``queries`` is ``(q_id, q_vec, k, cell)`` and may list a query under several
-    cells; ``base`` is ``(b_id, b_vec, cell)``. A cell of any size, for instance
+    ``queries`` is ``(q_id, q_vec, k, floor, cell)`` and may list a query under
+    several cells; base rows less similar than ``floor`` are passed over.
+    ``base`` is ``(b_id, b_vec, cell)``. A cell of any size, for instance
     one that holds a third of all rows, is spread over tiles x chunks blocks.
     """
     tiles = base.groupBy("cell").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("n_tiles"))
@@ -157,18 +176,24 @@ class Cells:
         return low, high
 
 
-def pick_pivots(base: DataFrame, rows: int, tile_rows: int = TILE_ROWS) -> np.ndarray:
+def pick_pivots(base: DataFrame, rows: int) -> np.ndarray:
     """A bounded, reproducible sample of distinct base vectors, as unit rows.
 
-    About one pivot per tile of rows, up to MAX_PIVOTS and MAX_PIVOT_BYTES.
+    About the square root of the number of rows, up to MAX_PIVOTS and
+    MAX_PIVOT_BYTES. A vector is drawn by its hash, so copies are drawn together
+    and count once.
     """
     first = base.select("b_vec").first()
     dims = len(first["b_vec"]) + 1
-    wanted = max(1, -(-rows // tile_rows))
-    wanted = min(wanted, MAX_PIVOTS, max(1, MAX_PIVOT_BYTES // (8 * dims)))
-    draws = base.select("b_vec", F.xxhash64("b_vec").alias("h")).distinct().orderBy("h", "b_vec")
-    table = draws.limit(wanted).select("b_vec").toArrow()
-    return _lifted(_matrix(table["b_vec"]))
+    wanted = min(math.ceil(math.sqrt(rows)), MAX_PIVOTS, max(1, MAX_PIVOT_BYTES // (8 * dims)))
+    draws = base.select("b_vec", hash_draw("b_vec").alias("h"))
+    # pass on a small share of the rows to the sort; all of them if that share is empty
+    for share in (8.0 * wanted / rows, 1.0):
+        drawn = draws.where(F.col("h") < share).distinct().orderBy("h", "b_vec").limit(wanted)
+        table = drawn.select("b_vec").toArrow()
+        if table.num_rows:
+            return _lifted(_matrix(table["b_vec"]))
+    raise ValueError("no base vectors")
 
 
 def assign_cells(base: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -176,41 +201,44 @@ def assign_cells(base: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     def assign(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sim = _lifted(_matrix(batch.column("b_vec"))) @ pivots.T
-            cell = sim.argmax(axis=1)
-            dist = _distance(sim[np.arange(len(cell)), cell])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("b_id"),
-                    batch.column("b_vec"),
-                    pa.array(cell, pa.int32()),
-                    pa.array(dist, pa.float64()),
-                ],
-                names=["b_id", "b_vec", "cell", "pivot_dist"],
-            )
+            points = _lifted(_matrix(batch.column("b_vec")))
+            for rows in _steps(len(points), len(pivots)):
+                sim = points[rows] @ pivots.T
+                cell = sim.argmax(axis=1)
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("b_id"),
+                        part.column("b_vec"),
+                        pa.array(cell, pa.int32()),
+                        pa.array(_distance(sim[np.arange(len(cell)), cell]), pa.float64()),
+                    ],
+                    names=["b_id", "b_vec", "cell", "pivot_dist"],
+                )
 
     vec = base.schema["b_vec"].dataType.simpleString()
     schema = f"b_id bigint, b_vec {vec}, cell int, pivot_dist double"
     return base.select("b_id", "b_vec").mapInArrow(assign, schema=schema)
 
 
-def _route(queries: DataFrame, cells_of) -> DataFrame:
-    """Copy each query to the cells that ``cells_of(matrix, batch)`` marks in a boolean grid."""
+def _route(queries: DataFrame, width: int, cells_of) -> DataFrame:
+    """Copy each query to the cells that ``cells_of(points, batch)`` marks in a boolean grid."""
 
     def route(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            row, cell = np.nonzero(cells_of(_lifted(_matrix(batch.column("q_vec"))), batch))
-            picked = batch.select(["q_id", "q_vec", "k"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [*picked.columns, pa.array(cell, pa.int32())], names=["q_id", "q_vec", "k", "cell"]
-            )
+            points = _lifted(_matrix(batch.column("q_vec")))
+            for rows in _steps(len(points), width):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                row, cell = np.nonzero(cells_of(points[rows], part))
+                picked = part.select(["q_id", "q_vec", "k", "floor"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [*picked.columns, pa.array(cell, pa.int32())],
+                    names=["q_id", "q_vec", "k", "floor", "cell"],
+                )
 
     vec = queries.schema["q_vec"].dataType.simpleString()
-    return queries.mapInArrow(route, schema=f"q_id bigint, q_vec {vec}, k int, cell int")
+    schema = f"q_id bigint, q_vec {vec}, k int, floor double, cell int"
+    return queries.mapInArrow(route, schema=schema)
 
 
 def _nearest_cells(pivots: np.ndarray, probes: int):
@@ -227,17 +255,20 @@ def _nearest_cells(pivots: np.ndarray, probes: int):
 
 
 def _unsettled_cells(pivots: np.ndarray, low: np.ndarray, high: np.ndarray, probes: int):
-    """Marks the unprobed cells that may still hold a row within the k-th best distance."""
+    """Marks the unprobed cells that may still hold a row as similar as ``floor``.
+
+    A cell is ruled out by the distances of its members to their pivot, or by the
+    plane half-way between its pivot and the query's nearest one.
+    """
     probed = _nearest_cells(pivots, probes)
-    gap = _distance(pivots @ pivots.T)
 
     def cells_of(q: np.ndarray, batch) -> np.ndarray:
-        limit = np.asarray(batch.column("limit"))[:, None] + BOUND_SLACK
+        limit = _distance(np.asarray(batch.column("floor")))[:, None] + BOUND_SLACK
         dist = _distance(q @ pivots.T)
         near = dist.argmin(axis=1)
         nearest = dist[np.arange(len(q)), near][:, None]
         ring = np.maximum(dist - high[None, :], low[None, :] - dist)
-        across = gap[near]
+        across = _distance(pivots[near] @ pivots.T)
         plane = np.where(across > 0, (dist**2 - nearest**2) / np.where(across > 0, 2 * across, 1), 0)
         open_cells = (np.maximum(ring, plane) <= limit) & np.isfinite(high)[None, :]
         return open_cells & ~probed(q, batch)
@@ -283,12 +314,13 @@ def knn_join(
         F.col(query_id).cast("bigint").alias("q_id"),
         F.col(vec).alias("q_vec"),
         k_column.cast("int").alias("k"),
+        F.lit(NO_FLOOR).alias("floor"),
     ).where("k > 0")
     b = base.where(F.col(vec).isNotNull()).select(
         F.col(base_id).cast("bigint").alias("b_id"), F.col(vec).alias("b_vec")
     )
     rows = b.count()
-    options = {"without_self": without_self, "tile_rows": tile_rows}
+    options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
 
     if rows <= tile_rows:
         # one cell of one tile: every block holds the whole (bounded) base
@@ -299,11 +331,9 @@ def knn_join(
         hits = best_in_cells(q.select("*", one), b.select("*", one), **options)
         return _finish(hits)
 
-    options["chunk_rows"] = chunk_rows
-    if isinstance(k, int):
-        b = _first_copies(b, k + 1)
-    b = cut_lineage(b)
-    pivots = pick_pivots(b, rows, tile_rows)
+    most = k if isinstance(k, int) else q.agg(F.max("k")).first()[0] or 0
+    b = cut_lineage(_first_copies(b, most + 1))
+    pivots = pick_pivots(b, rows)
     cells = Cells(pivots, cut_lineage(assign_cells(b, pivots)))
     return knn_in_cells(q, cells, strategy=strategy, probes=probes, **options)
 
@@ -311,21 +341,21 @@ def knn_join(
 def knn_in_cells(
     queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = 8, **options
 ) -> DataFrame:
-    """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k)``."""
+    """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``."""
     pivots = cells.pivots
     base = cells.base.select("b_id", "b_vec", "cell")
-    first = best_in_cells(_route(queries, _nearest_cells(pivots, probes)), base, **options)
+    first = best_in_cells(_route(queries, len(pivots), _nearest_cells(pivots, probes)), base, **options)
     if strategy == "ivf" or probes >= len(pivots):
         return _finish(first)
     found = cut_lineage(rank_hits(first).drop("rank"))
-    # k-th best so far; a query with fewer than k hits stays open to every cell
+    # the k-th best so far is the floor; with fewer than k hits every cell stays open
     state = found.groupBy("q_id").agg(F.count("*").alias("n"), F.min("sim").alias("worst"))
-    limit = F.when(F.col("n") >= F.col("k"), angular_from_cosine(F.col("worst")))
-    open_queries = queries.join(state, "q_id", "left").select(
-        "q_id", "q_vec", "k", F.coalesce(limit, F.lit(2.0)).alias("limit")
+    floor = F.when(F.col("n") >= F.col("k"), F.col("worst"))
+    open_queries = queries.drop("floor").join(state, "q_id", "left").select(
+        "q_id", "q_vec", "k", F.coalesce(floor, F.lit(NO_FLOOR)).alias("floor")
     )
     low, high = cells.bounds()
-    rest = _route(open_queries, _unsettled_cells(pivots, low, high, probes))
+    rest = _route(open_queries, len(pivots), _unsettled_cells(pivots, low, high, probes))
     second = best_in_cells(rest, base, **options)
     return _finish(found.unionByName(second))
 
@@ -379,7 +409,7 @@ def farthest_in_group(
     rows = items.where(F.col(group).isNotNull() & F.col(vec).isNotNull())
     q = rows.select(
         F.col(id).cast("bigint").alias("q_id"), F.col(vec).alias("q_vec"),
-        F.lit(1).alias("k"), F.col(group).alias("cell"),
+        F.lit(1).alias("k"), F.lit(NO_FLOOR).alias("floor"), F.col(group).alias("cell"),
     )
     b = rows.groupBy(F.col(group).alias("cell"), F.col(vec).alias("b_vec")).agg(
         F.min(F.col(id).cast("bigint")).alias("b_id")

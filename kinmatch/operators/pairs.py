@@ -114,6 +114,8 @@ def _rank_in_group(rows: DataFrame, group: str, block_rows: int = 100_000) -> Da
     cut = rows.join(sizes, group).withColumn(
         "__block", F.pmod(F.xxhash64("id"), F.col("__blocks")).cast("int")
     )
+    # by block too: the join's partitioning alone would keep a group in one task
+    cut = cut.repartition(group, "__block")
     counts = cut.groupBy(group, "__block").agg(F.count("*").alias("__n"))
     before = W.partitionBy(group).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     shifts = counts.select(

@@ -147,6 +147,7 @@ def master_maps(clusters: DataFrame, cluster: str = "cluster", master: str = "ma
     maps = (
         counts.join(widths, cluster)
         .withColumn("chunk", F.pmod(F.xxhash64(master), F.col("__chunks")).cast("int"))
+        .repartition(cluster, "chunk")  # else the join's partitioning keeps a cluster's chunks in one task
         .groupBy(cluster, "chunk")
         .agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("masters"))
     )
@@ -175,6 +176,7 @@ def cluster_members(clusters: DataFrame, cluster: str = "cluster", name: str = "
     return (
         clusters.join(sizes, cluster)
         .withColumn("chunk", F.pmod(F.xxhash64(name, *clusters.columns), chunks).cast("int"))
+        .repartition(cluster, "chunk")
         .groupBy(cluster, "chunk")
         .agg(F.array_sort(F.collect_list(name)).alias("names"), F.first("size").alias("size"))
     )

@@ -47,7 +47,8 @@ def assign_split_exact(
     df: DataFrame, key: str, test_fraction: float = TEST_FRACTION, seed: int = 0, out: str = "set"
 ) -> DataFrame:
     """Exactly ``ceil(n * test_fraction)`` test rows: the first ones by hash order."""
-    ranked = global_rank(df.withColumn("__draw", hash_draw(key, seed=seed)), "__draw", key, out="__rank")
+    drawn = df.withColumn("__draw", hash_draw(key, seed=seed))
+    ranked = global_rank(drawn, "__draw", key, out="__rank", uniform=True)
     wanted = F.ceil(df.agg(F.count("*").alias("n")).scalar() * F.lit(test_fraction))
     side = F.when(F.col("__rank") <= wanted, "test").otherwise("train")
     return ranked.withColumn(out, side).drop("__draw", "__rank")
@@ -55,7 +56,8 @@ def assign_split_exact(
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """``n`` rows by hash order, ranked in ranges so that ``n`` may be large."""
-    ranked = global_rank(df.withColumn("__draw", hash_draw(key, seed=seed)), "__draw", key, out="__rank")
+    drawn = df.withColumn("__draw", hash_draw(key, seed=seed))
+    ranked = global_rank(drawn, "__draw", key, out="__rank", uniform=True)
     return ranked.where(F.col("__rank") <= n).drop("__draw", "__rank")
 
 

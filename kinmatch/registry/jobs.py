@@ -16,7 +16,7 @@ from ..operators.scoring import (
 )
 from ..plans import jobs
 from ..plans.products import product_regex
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..streaming import monitor
 from .base import MASTERS, braced, masters, products, query, similarity, table, views
 from .clustering import COMPONENTS, MAX_DISTANCE, TOP_K
@@ -154,7 +154,7 @@ def pair_classifier_score(spark, sf):
     labelled = _labelled(spark, sf)
     chosen = pairs.training_pairs(labelled)
     named = rows.lookup_both(chosen, labelled, ["name"])
-    featured = add_product_features(add_text_features(named, "name1", "name2"), labelled)
+    featured = cut_lineage(add_product_features(add_text_features(named, "name1", "name2"), labelled))
     features = ("token_jaccard", "edit_ratio", "vector_cosine", "price_ratio", "same_quantity", "same_size")
     scorer = train_classifier(featured, features)
     scored = scorer.score(featured)
@@ -200,7 +200,8 @@ def stream_new_products(spark, sf):
             F.length("p_type").cast("bigint").alias("product_category_id"),
         )
     )
-    known, encoder, out = masters(spark, sf), _vectors(spark, sf), scratch_path(spark, "monitor")
+    known, encoder = cut_lineage(masters(spark, sf)), _vectors(spark, sf)
+    out = scratch_path(spark, "monitor")
 
     def on_batch(batch, number):
         scored = monitor.match_batch(

@@ -7,15 +7,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.knn import TILE_ROWS, Cells, assign_cells, knn_in_cells, pick_pivots
+from ..operators.knn import NO_FLOOR, Cells, assign_cells, knn_in_cells, pick_pivots
 
 
-def build_index(items: DataFrame, *, id: str = "id", vec: str = "vec", tile_rows: int = TILE_ROWS) -> Cells:
+def build_index(items: DataFrame, *, id: str = "id", vec: str = "vec") -> Cells:
     """Pick pivots and assign every vector to its cell."""
     base = items.where(F.col(vec).isNotNull()).select(
         F.col(id).cast("bigint").alias("b_id"), F.col(vec).alias("b_vec")
     )
-    pivots = pick_pivots(base, base.count(), tile_rows)
+    pivots = pick_pivots(base, base.count())
     return Cells(pivots, assign_cells(base, pivots))
 
 
@@ -36,6 +36,7 @@ def load_index(spark: SparkSession, path: str) -> Cells:
 def search_index(cells: Cells, queries: DataFrame, k: int, *, id: str = "id", vec: str = "vec", **options) -> DataFrame:
     """Neighbours of the queries in a saved index, as :func:`kinmatch.operators.knn.knn_join` gives them."""
     q = queries.where(F.col(vec).isNotNull()).select(
-        F.col(id).cast("bigint").alias("q_id"), F.col(vec).alias("q_vec"), F.lit(k).alias("k")
+        F.col(id).cast("bigint").alias("q_id"), F.col(vec).alias("q_vec"), F.lit(k).alias("k"),
+        F.lit(NO_FLOOR).alias("floor"),
     )
     return knn_in_cells(q, cells, **options)

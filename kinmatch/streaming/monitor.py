@@ -14,6 +14,7 @@ from ..operators.blocking import block_to_masters
 from ..operators.scoring import MATCH_THRESHOLD, PairScorer, match_pairs
 from ..operators.state import TableStore, save_suggestions
 from ..plans.products import product_regex
+from ..session import cut_lineage
 
 
 def new_products(
@@ -40,9 +41,9 @@ def match_batch(
 ) -> DataFrame:
     """Scored (product, master) pairs of one batch."""
     ready = product_regex(batch.na.drop(subset=["id", "name", "description"]))
-    candidates = block_to_masters(
-        encoder.transform(ready), masters, top_k, threshold, **search
-    )
+    # stored once: the search reads it several times, and the stream's state should not
+    encoded = cut_lineage(encoder.transform(ready))
+    candidates = block_to_masters(encoded, masters, top_k, threshold, **search)
     return match_pairs(candidates, scorer, match_threshold)
 
 

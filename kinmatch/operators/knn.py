@@ -145,11 +145,26 @@ def best_in_cells(
 
     left = spread(queries, "q_id", "chunk", "n_chunks", "tile", "n_tiles")
     right = spread(base, "b_id", "tile", "n_tiles", "chunk", "n_chunks")
-    block = ["cell", "chunk", "tile"]
+    return _search_blocks(left, right, ["cell", "chunk", "tile"], farthest, without_self)
+
+
+def _search_blocks(
+    left: DataFrame, right: DataFrame, block: list[str], farthest: bool, without_self: bool
+) -> DataFrame:
     kernel = _best_in_block(farthest, without_self)
-    return (
-        left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(kernel, schema=_HITS)
-    )
+    return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(kernel, schema=_HITS)
+
+
+def _best_in_one_tile(
+    queries: DataFrame, base: DataFrame, query_rows: int, chunk_rows: int, without_self: bool
+) -> DataFrame:
+    """Search of a base that fits one tile: it goes along with every chunk of the queries."""
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    rows = max(MIN_CHUNK_ROWS, min(chunk_rows, -(-query_rows // cores)))
+    chunks = max(1, -(-query_rows // rows))
+    left = queries.withColumn("chunk", F.pmod(F.xxhash64("q_id"), F.lit(chunks)).cast("int"))
+    right = base.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    return _search_blocks(left, right, ["chunk"], False, without_self)
 
 
 def rank_hits(hits: DataFrame, farthest: bool = False) -> DataFrame:
@@ -320,17 +335,10 @@ def knn_join(
         F.col(base_id).cast("bigint").alias("b_id"), F.col(vec).alias("b_vec")
     )
     rows = b.count()
-    options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
-
     if rows <= tile_rows:
-        # one cell of one tile: every block holds the whole (bounded) base
-        cores = q.sparkSession.sparkContext.defaultParallelism
-        per_core = -(-q.count() // cores)
-        options["chunk_rows"] = max(MIN_CHUNK_ROWS, min(chunk_rows, per_core))
-        one = F.lit(0).alias("cell")
-        hits = best_in_cells(q.select("*", one), b.select("*", one), **options)
-        return _finish(hits)
+        return _finish(_best_in_one_tile(q, b, q.count(), chunk_rows, without_self))
 
+    options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
     most = k if isinstance(k, int) else q.agg(F.max("k")).first()[0] or 0
     b = cut_lineage(_first_copies(b, most + 1))
     pivots = pick_pivots(b, rows)

@@ -20,23 +20,31 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     lowest = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
     joined = both.where(F.col("b") > F.col("a")).join(lowest, "a")
-    return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Connect every node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     lowest = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(lowest, "a")
-    linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
-        lowest.select("a", F.col("m").alias("b"))
-    )
+    ends = F.explode(F.array("a", "b")).alias("a")
+    linked = down.join(lowest, "a").select(ends, F.col("m").alias("b"))
     return linked.where(F.col("a") != F.col("b")).distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether the edges form stars: one edge per member, no centre being a member.
+
+    Steps never join or part components, so each star is then one component.
+    """
+    roles = F.array(
+        F.struct(F.col("a").alias("id"), F.lit(1).alias("links"), F.lit(0).alias("centre")),
+        F.struct(F.col("b").alias("id"), F.lit(0).alias("links"), F.lit(1).alias("centre")),
+    )
+    nodes = edges.select(F.inline(roles)).groupBy("id").agg(
+        F.sum("links").alias("links"), F.max("centre").alias("centre")
+    )
+    return nodes.where("links > 1 OR links = 1 AND centre = 1").isEmpty()
 
 
 def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
@@ -45,8 +53,8 @@ def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2") -> Da
     Alternating large-star and small-star steps (Kiveris et al., 2014), which end
     after O(log^2 n) rounds. Each step aggregates a minimum per node with map-side
     combine and joins it back, so no node's neighbours are gathered; adaptive
-    skew-join handling splits the hub of a very large component. Rounds are cut by a
-    reliable checkpoint and compared by one row (count and hash sum).
+    skew-join handling splits the hub of a very large component. A reliable
+    checkpoint ends each round.
     """
     loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).cast("bigint").alias("id"))
     current = cut_lineage(
@@ -54,14 +62,8 @@ def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2") -> Da
         .select(F.greatest(a, b).cast("bigint").alias("a"), F.least(a, b).cast("bigint").alias("b"))
         .distinct()
     )
-    mark = _fingerprint(current)
-    while mark[0]:
-        following = cut_lineage(_small_star(_large_star(current)))
-        following_mark = _fingerprint(following)
-        current = following
-        if following_mark == mark:
-            break
-        mark = following_mark
+    while not _is_settled(current):
+        current = cut_lineage(_small_star(_large_star(current)))
     # every edge now points from a member to its component's smallest id
     members = current.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.ranks import global_rank
+from ..session import cut_lineage
 
 
 def _list(x: str | Sequence[str]) -> list[str]:
@@ -67,7 +68,7 @@ def dense_ids(df: DataFrame, value: str, seq: str, out: str) -> DataFrame:
     Only the distinct values are ranked, and that in ranges.
     """
     firsts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(seq).alias("__first"))
-    numbered = global_rank(firsts, "__first", out="__rank")
+    numbered = global_rank(cut_lineage(firsts), "__first", out="__rank")
     ids = numbered.select(value, (F.col("__rank") - 1).alias(out))
     return df.join(ids, value, "left").select(*df.columns, out)
 

@@ -23,6 +23,7 @@ from ..operators.rows import (
     groups_with,
 )
 from ..schemas import require_columns
+from ..session import cut_lineage
 
 # Fixed value: a SKU has to mark more than this many offers to name a master.
 SKU_MIN_OFFERS = 8
@@ -72,7 +73,7 @@ def masters_from_sku(products: DataFrame, seq: str = "id", min_offers: int = SKU
     ``min_offers`` offers stay.
     """
     found = products.withColumn("sku", extract_sku("description")).where(F.col("sku").isNotNull())
-    repeated = duplicated_groups(found, "sku", seq)
-    # numbered over every repeated SKU's first remaining offer
+    repeated = cut_lineage(duplicated_groups(found, "sku", seq))
+    # numbered by every repeated SKU's first remaining offer
     numbered = dense_ids(repeated, "sku", seq, "master_product")
     return groups_with(numbered, "sku", min_offers + 1)

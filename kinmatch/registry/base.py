@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import use_all_cores
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,6 +28,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table with costly row work ahead."""
+    return use_all_cores(table(spark, folder, name))
+
+
 def views(spark: SparkSession, folder: str, sql: str, *names: str) -> DataFrame:
     """A stand-in's SELECT over the named tables."""
     return spark.sql(sql, **{n: table(spark, folder, n) for n in names})

@@ -8,7 +8,7 @@ from ..functions import numeric, text
 from ..operators import rows, sampling
 from ..operators import serialize as ser
 from ..plans import products as prep
-from .base import PRODUCTS, braced, products, query, table, views
+from .base import PRODUCTS, braced, products, query, table, spread, views
 
 # Parts whose description carries a pack size in the forms the extraction knows.
 SIZED = """
@@ -65,7 +65,7 @@ def regex_sizes_fixed(spark, sf):
     .replace("SELECT id, name, description,", "SELECT id,"),
 )
 def regex_sizes_documents(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = spread(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), F.col("source").alias("name"), F.col("text").alias("description")
     )
     return prep.product_regex(docs).drop("name", "description")
@@ -147,7 +147,7 @@ def sku_masters(spark, sf):
           '{text.OUTER_SPACE_PATTERN}', '', 'g')) AS clean FROM documents""",
 )
 def clean_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("clean"))
+    return spread(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("clean"))
 
 
 @query(
@@ -270,7 +270,7 @@ def serialize_lookup(spark, sf):
               FROM (SELECT doc_id, string_split(text, ' ') AS tokens FROM documents) s) u""",
 )
 def mlm_mask(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("tokens"))
+    docs = spread(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("tokens"))
     masked = docs.withColumn("m", sampling.mask_tokens("tokens", "doc_id"))
     return masked.select(
         "doc_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as v
 from ..operators import blocking, knn
 from ..operators.encode import fit_tfidf, fit_word2vec
-from .base import MASTERS, PRODUCTS, masters, products, query, similarity, table
+from .base import MASTERS, PRODUCTS, masters, products, query, similarity, table, spread
 
 TOP_K = 6
 BLOCK_TOP_K = 100
@@ -202,7 +202,7 @@ def cls_pool(spark, sf):
          FROM (SELECT *, [l_quantity, l_discount, l_tax, 0.0::DOUBLE] AS v FROM lineitem) s) t""",
 )
 def l2_normalize(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
+    lines = spread(spark, sf, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.array("l_quantity", "l_discount", "l_tax", F.lit(0.0)).alias("vec"),
     )
@@ -219,7 +219,7 @@ VECTOR_PAIRS = """
 
 
 def vector_pairs(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
+    lines = spread(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
     side = table(spark, sf, "embeddings")
     a = side.select(F.col("vec_id").alias("l_partkey"), F.col("embedding").alias("vec1"), F.col("label").alias("a"))
     b = side.select(F.col("vec_id").alias("l_suppkey"), F.col("embedding").alias("vec2"), F.col("label").alias("b"))
@@ -262,11 +262,11 @@ def pair_losses(spark, sf):
 
 @query("encode_tfidf")
 def encode_tfidf(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(spark, sf, "documents").select("doc_id", "text")
     return fit_tfidf(docs, "text").transform(docs).select("doc_id", "vec")
 
 
 @query("encode_word2vec")
 def encode_word2vec(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(spark, sf, "documents").select("doc_id", "text")
     return fit_word2vec(docs, "text", dims=16).transform(docs).select("doc_id", "vec")

@@ -51,3 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if df.sparkSession.sparkContext.getCheckpointDir() is None:
         df.sparkSession.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread a small input before costly row work; large inputs pass unchanged.
+
+    A file with one row group is one task however long its texts are. Inputs that
+    already have a partition per core are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

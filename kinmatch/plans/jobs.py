@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import score_to_label
@@ -17,7 +17,7 @@ from ..operators.knn import knn_filtered, knn_self
 from ..operators.metrics import assignment_accuracy, classification_report, threshold_sweep
 from ..operators.pairs import one_shot_pairs, training_pairs
 from ..operators.rows import best_per_key, canonical_pairs, drop_missing, lookup_both
-from ..operators.sampling import TEST_FRACTION, split_two
+from ..operators.sampling import TEST_FRACTION, assign_split, split_two
 from ..operators.scoring import (
     MATCH_THRESHOLD,
     ONE_SHOT_THRESHOLD,
@@ -31,6 +31,7 @@ from ..operators.scoring import (
 from ..operators.serialize import DEFAULT_COLUMNS, serialize, serialize_products
 from ..operators.state import TableStore, save_clusters, save_suggestions
 from ..session import cut_lineage, scratch_path
+from ..sources.files import read_csv, write_csv, write_split_text
 from .products import preprocess, product_regex
 
 # Defaults of the match jobs.
@@ -241,11 +242,24 @@ def assign_masters(
     return out, assignment_accuracy(out)
 
 
-def match_files(spark, products_path: str, output_path: str, encoder: Any, scorer: PairScorer,
+def training_files(
+    spark: SparkSession, products_path: str, output_path: str, encoder: Any, schema=None, *,
+    keep_columns: Sequence[str] = DEFAULT_COLUMNS, strategy: str = "exact",
+) -> DataFrame:
+    """File-based run: labelled CSV in, ``sent1, sent2, match`` lines out, one folder per split."""
+    labelled = read_csv(spark, products_path, schema).where(F.col("master_product").isNotNull())
+    encoded = _stored(encoder.transform(labelled), "labelled")
+    texts = serialize(training_pairs(encoded, strategy=strategy), encoded, keep_columns)
+    keyed = texts.withColumn("__key", F.abs(F.xxhash64("id1", "id2") % F.lit(1 << 40)))
+    line = F.concat_ws("\t", "sent1", "sent2", F.col("match").cast("string"))
+    split = assign_split(keyed, "__key").select(line.alias("value"), "set")
+    write_split_text(split, output_path)
+    return split
+
+
+def match_files(spark: SparkSession, products_path: str, output_path: str, encoder: Any, scorer: PairScorer,
                 schema=None, **options) -> DataFrame:
     """File-based run: CSV in, every product with its cluster number out as CSV."""
-    from ..sources.files import read_csv, write_csv
-
     result = match_products(read_csv(spark, products_path, schema), encoder, scorer, **options)
     numbered = cluster_all(result.products.drop("vec", "sent"), result.matches)
     write_csv(numbered, output_path)

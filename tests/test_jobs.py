@@ -11,7 +11,7 @@ from kinmatch.operators.state import TableStore
 from kinmatch.plans import jobs
 from kinmatch.schemas import PRODUCT_CLUSTERS, SCORED_PAIRS, STATUS_HISTORIES
 from kinmatch.session import scratch_path
-from kinmatch.sources.files import read_csv
+from kinmatch.sources.files import read_csv, read_pair_text
 from kinmatch.streaming import monitor
 
 NOW = datetime(2024, 5, 1)
@@ -102,6 +102,17 @@ def test_file_based_run(spark, offers, encoder):
     assert out.count() == 32 and "fin" in out.columns
 
 
+def test_training_files(spark, offers, encoder):
+    folder = scratch_path(spark, "training")
+    offers.coalesce(1).write.option("header", True).csv(f"{folder}/in")
+    jobs.training_files(spark, f"{folder}/in", f"{folder}/out", encoder)
+    sets = {s: read_pair_text(spark, f"{folder}/out/set={s}") for s in ("train", "val", "test")}
+    assert sum(df.count() for df in sets.values()) == len(jobs.serialize(
+        jobs.training_pairs(encoder.transform(offers)), offers).collect())
+    row = sets["train"].first()
+    assert row["sent1"].startswith("COL name VAL ") and row["label"] in (0, 1)
+
+
 def test_empty_candidates_give_empty_scores(spark):
     none = spark.createDataFrame([], "id1 bigint, id2 bigint, sent1 string, sent2 string")
     out = match_pairs(none, scorer())

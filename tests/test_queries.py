@@ -1,11 +1,17 @@
 """Every registered query against its SQL counterpart on the smallest tables, and its plan."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
 from kinmatch.registry import ORACLES, QUERIES
 from tests.compare import compare, connect
 
+REPO = os.path.dirname(os.path.abspath(entry.__file__))
+
 # Queries whose plan is only fixed after jobs have run inside the call.
 EAGER_FREE = [n for n in QUERIES if n in (
     "labelled_products", "pending_count", "matcher_input", "oneshot_input", "mixed_union", "latest_per_tag",
@@ -54,5 +60,24 @@ def test_entry_gives_the_known_clusters(spark):
     assert df.select("cluster").distinct().count() == 17
 
 
+def test_components_of_a_whole_table(spark, sf):
+    from tests.test_components import union_find
+
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey").collect()
+    want = union_find([(2 * r[0], 2 * r[1] + 1) for r in lines])
+    assert {r["id"]: r["component"] for r in QUERIES["components_lineitem"](spark, sf).collect()} == want
+
+
+def test_workers_need_no_copy_of_the_package():
+    code = (
+        f"import sys; sys.path.insert(0, {REPO!r}); import __spark_entry__ as e; "
+        "from pyspark.sql import SparkSession; "
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate(); "
+        "print('rows', e.queries()['knn_self_topk'](s, '/root/testdata/sf0.001').count())"
+    )
+    run = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=300)
+    assert "rows 3000" in run.stdout, run.stderr[-2000:]
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())

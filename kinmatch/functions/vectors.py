@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Floor of the pooled mask sum and of the squared distance.
 MASK_FLOOR = 1e-9
 SQUARED_DISTANCE_FLOOR = 1e-7
+# Weight of a masked token in a mean: far below the rounding of one seen token.
+MASKED_WEIGHT = 1e-100
 # Similarities are rounded before they are ranked, so that the summation order
 # of one engine or one task cannot change which neighbour wins a tie.
 SIMILARITY_DIGITS = 9
@@ -90,18 +94,17 @@ def pair_losses(
 def mean_pool(tokens: DataFrame, key: str = "id", vec: str = "vec", mask: str = "mask") -> DataFrame:
     """Masked mean of token vectors, long rows in, one ``(key, vec)`` out.
 
-    Sums per dimension combine on the map side, so a key with a large share of
-    the tokens costs each task one partial row per dimension.
+    Vectors are summed on the map side, one partial sum per key and task, however
+    many tokens a key has. A key whose tokens are all masked gets a zero vector:
+    masked tokens count as zero vectors of a vanishing weight.
     """
-    exploded = tokens.select(key, mask, F.posexplode(as_double(vec)).alias("dim", "x"))
-    sums = exploded.groupBy(key, "dim").agg(
-        F.sum(F.col("x") * F.col(mask)).alias("s"), F.sum(F.col(mask).cast("double")).alias("m")
-    )
-    pooled = F.struct("dim", (F.col("s") / F.greatest("m", F.lit(MASK_FLOOR))).alias("x"))
-    # at most one entry per vector dimension is gathered here
-    return sums.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(pooled)), lambda e: e["x"]).alias("vec")
+    seen = F.coalesce(F.col(mask).cast("double"), F.lit(0.0))
+    point = F.transform(as_double(vec), lambda x: F.when(seen > 0, x).otherwise(F.lit(0.0)))
+    weighted = tokens.select(
+        key, array_to_vector(point).alias("__v"), F.greatest(seen, F.lit(MASKED_WEIGHT)).alias("__w")
     )
+    mean = Summarizer.mean(F.col("__v"), F.col("__w"))
+    return weighted.groupBy(key).agg(vector_to_array(mean).alias("vec"))
 
 
 def mean_pool_nested(tokens: Column | str, dims: int) -> Column:

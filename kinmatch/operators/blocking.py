@@ -75,10 +75,9 @@ def block_pairs(
     """
     columns = [*either, *same, *different]
     require_columns(products, ["id", vec, *columns], "block_pairs")
-    near = knn_self(products, top_k, vec=vec, **search)
-    near = near.where((F.col("id") != F.col("nn_id")) & within_distance("dist", threshold))
+    near = knn_join(products, products, top_k - 1, vec=vec, without_self=True, **search)
     # a pair found from both ends is looked up once
-    pairs = canonical_pairs(near, "id", "nn_id")
+    pairs = canonical_pairs(near.where(within_distance("dist", threshold)), "q_id", "b_id")
     sided = lookup_both(pairs, products, columns, how="inner")
     return sided.where(attributes_agree(either, same, different)).select("id1", "id2")
 

@@ -336,7 +336,8 @@ def knn_join(
     )
     rows = b.count()
     if rows <= tile_rows:
-        return _finish(_best_in_one_tile(q, b, q.count(), chunk_rows, without_self))
+        query_rows = rows if queries is base else q.count()
+        return _finish(_best_in_one_tile(q, b, query_rows, chunk_rows, without_self))
 
     options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
     most = k if isinstance(k, int) else q.agg(F.max("k")).first()[0] or 0

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .knn import farthest_in_group, knn_join, knn_self
+from .knn import farthest_in_group, knn_join
 from .rows import canonical_pairs, first_per_key, lookup_both, union_all
 
 # Neighbours per group member, draws per group, one-shot neighbours.
@@ -166,11 +166,13 @@ def one_shot_pairs(products: DataFrame, *, neighbours: int = ONE_SHOT_NEIGHBOURS
     ``neighbours`` counts the offer itself. Rows with a missing text are dropped,
     repeats are kept.
     """
-    near = knn_self(products, neighbours, vec=vec, **search)
-    own = products.select("id", F.col("name").alias("sent1"), F.col(master).alias("__own"))
-    other = products.select(F.col("id").alias("nn_id"), F.col(master).alias("sent2"))
+    near = knn_join(products, products, neighbours - 1, vec=vec, without_self=True, **search)
+    own = products.select(
+        F.col("id").alias("q_id"), F.col("name").alias("sent1"), F.col(master).alias("__own")
+    )
+    other = products.select(F.col("id").alias("b_id"), F.col(master).alias("sent2"))
     negatives = (
-        near.join(own, "id").join(other, "nn_id")
+        near.join(own, "q_id").join(other, "b_id")
         .where(_other_master("__own", "sent2"))
         .select("sent1", "sent2", F.lit(0).alias("match"))
     )

@@ -13,7 +13,7 @@ from ..functions.numeric import score_to_label
 from ..functions.vectors import cosine
 from ..operators.blocking import block_pairs, block_to_masters
 from ..operators.components import cluster_all, cluster_matches
-from ..operators.knn import knn_filtered, knn_self
+from ..operators.knn import knn_filtered, knn_join
 from ..operators.metrics import assignment_accuracy, classification_report, threshold_sweep
 from ..operators.pairs import one_shot_pairs, training_pairs
 from ..operators.rows import best_per_key, canonical_pairs, drop_missing, lookup_both
@@ -28,7 +28,7 @@ from ..operators.scoring import (
     match_pairs,
     train_classifier,
 )
-from ..operators.serialize import DEFAULT_COLUMNS, serialize, serialize_products
+from ..operators.serialize import DEFAULT_COLUMNS, add_sentence, serialize
 from ..operators.state import TableStore, save_clusters, save_suggestions
 from ..session import cut_lineage, scratch_path
 from ..sources.files import read_csv, write_csv, write_split_text
@@ -47,9 +47,9 @@ def cluster_similar(
     vec: str = "vec", **search,
 ) -> DataFrame:
     """Clusters of items linked to a near neighbour; ``top_k`` counts the item itself."""
-    near = knn_self(items, top_k, vec=vec, **search)
-    close = near.where((F.col("id") != F.col("nn_id")) & (F.round("dist", 9) < max_distance))
-    links = canonical_pairs(close, "id", "nn_id").withColumn("match", F.lit(1))
+    near = knn_join(items, items, top_k - 1, vec=vec, without_self=True, **search)
+    close = near.where(F.round("dist", 9) < max_distance)
+    links = canonical_pairs(close, "q_id", "b_id").withColumn("match", F.lit(1))
     return cluster_matches(links, items, min_size)
 
 
@@ -86,9 +86,8 @@ def match_products(
     that others read more than once are stored in the shared folder.
     """
     clean, _ = preprocess(products, order=order)
-    sized = product_regex(clean)
-    text = serialize_products(sized, keep_columns)
-    encoded = _stored(encoder.transform(sized.join(text, "id")), "encoded")
+    sized = add_sentence(product_regex(clean), keep_columns)
+    encoded = _stored(encoder.transform(sized), "encoded")
     candidates = _stored(block_pairs(encoded, top_k, threshold, strategy=strategy), "candidates")
     sentences = serialize(candidates, encoded, keep_columns)
     matches = _stored(match_pairs(sentences, scorer, match_threshold), "matches")

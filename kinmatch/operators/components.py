@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from .rows import groups_with
 MIN_CLUSTER_SIZE = 3
 HIERARCHICAL_THRESHOLD = 0.35
 
+# Edges one task holds while contracting its partition.
+CONTRACT_EDGES = 1 << 21
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect every node's larger neighbours to its smallest neighbour (or itself)."""
@@ -32,6 +37,51 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.where(F.col("a") != F.col("b")).distinct()
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of some edges with the smallest node it hangs together with, roots left out.
+
+    Loops stay as they are: they may be all that is known of a node.
+    """
+    nodes, numbers = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = numbers[: len(a)], numbers[len(a):]
+    parent = np.arange(len(nodes))
+    while True:
+        low = np.minimum(parent[left], parent[right])
+        high = np.maximum(parent[left], parent[right])
+        if np.array_equal(low, high):
+            break
+        np.minimum.at(parent, high, low)
+        while not np.array_equal(parent, parent[parent]):
+            parent = parent[parent]
+    member, loops = parent != np.arange(len(nodes)), np.unique(a[a == b])
+    return np.concatenate([nodes[member], loops]), np.concatenate([nodes[parent[member]], loops])
+
+
+def _contract(edges: DataFrame) -> DataFrame:
+    """Replace the edges of each partition by stars: a combine before the next shuffle.
+
+    A task holds at most CONTRACT_EDGES edges at a time and passes its stars on when
+    they no longer shrink to half of that.
+    """
+
+    def contract(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
+            size += batch.num_rows
+            if size >= CONTRACT_EDGES:
+                held = [_stars(*map(np.concatenate, zip(*held)))]
+                size = len(held[0][0])
+                if size > CONTRACT_EDGES // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["a", "b"])
+                    held, size = [], 0
+        if held:
+            stars = _stars(*map(np.concatenate, zip(*held)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in stars], names=["a", "b"])
+
+    return edges.select("a", "b").mapInArrow(contract, schema="a bigint, b bigint")
+
+
 def _is_settled(edges: DataFrame) -> bool:
     """Whether the edges form stars: one edge per member, no centre being a member.
 
@@ -52,18 +102,18 @@ def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2") -> Da
 
     Alternating large-star and small-star steps (Kiveris et al., 2014), which end
     after O(log^2 n) rounds. Each step aggregates a minimum per node with map-side
-    combine and joins it back, so no node's neighbours are gathered; adaptive
+    combine and joins it back, so no node's neighbours are gathered; edges that meet in
+    one partition are contracted before they are shuffled again; adaptive
     skew-join handling splits the hub of a very large component. A reliable
     checkpoint ends each round.
     """
-    loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).cast("bigint").alias("id"))
-    current = cut_lineage(
-        edges.where(F.col(a) != F.col(b))
-        .select(F.greatest(a, b).cast("bigint").alias("a"), F.least(a, b).cast("bigint").alias("b"))
-        .distinct()
+    pairs = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
+        F.greatest(a, b).cast("bigint").alias("a"), F.least(a, b).cast("bigint").alias("b")
     )
+    start = cut_lineage(_contract(_contract(pairs).distinct()))
+    loops, current = start.where("a = b").select(F.col("a").alias("id")), start.where("a != b")
     while not _is_settled(current):
-        current = cut_lineage(_small_star(_large_star(current)))
+        current = cut_lineage(_contract(_small_star(_large_star(current))))
     # every edge now points from a member to its component's smallest id
     members = current.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()

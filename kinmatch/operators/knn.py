@@ -319,7 +319,8 @@ def knn_join(
 
     Returns ``(q_id, b_id, sim, dist, rank)``, ranked by similarity (9 digits),
     then base id; ``dist`` is the angular distance. ``k`` may be a column of the
-    queries. ``strategy="exact"`` gives the true neighbours; ``"ivf"`` stops
+    queries. Both inputs are read more than once; store them first where they are
+    costly, such as fresh from an encoder. ``strategy="exact"`` gives the true neighbours; ``"ivf"`` stops
     after each query's ``probes`` nearest cells and may miss some.
     """
     if strategy not in ("exact", "ivf"):

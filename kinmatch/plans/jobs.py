@@ -126,7 +126,7 @@ def match_to_masters(
     clean, _ = preprocess(products, order=order)
     sized = product_regex(clean)
     candidates = block_to_masters(
-        _stored(encoder.transform(sized), "products"), encoder.transform(masters),
+        _stored(encoder.transform(sized), "products"), _stored(encoder.transform(masters), "masters"),
         top_k, threshold, strategy=strategy,
     )
     return match_pairs(candidates, scorer, match_threshold)

@@ -72,7 +72,10 @@ def masters_from_sku(products: DataFrame, seq: str = "id", min_offers: int = SKU
     others are numbered by first appearance, and those with more than
     ``min_offers`` offers stay.
     """
-    found = products.withColumn("sku", extract_sku("description")).where(F.col("sku").isNotNull())
+    # stored once: the steps below read the rows with a SKU several times
+    found = cut_lineage(
+        products.withColumn("sku", extract_sku("description")).where(F.col("sku").isNotNull())
+    )
     repeated = cut_lineage(duplicated_groups(found, "sku", seq))
     # numbered by every repeated SKU's first remaining offer
     numbered = dense_ids(repeated, "sku", seq, "master_product")

@@ -86,3 +86,24 @@ def test_average_link_matches_one_at_a_time_merging(spark, seed):
     df = spark.createDataFrame([(b, a, p) for (a, b), p in scores.items()], "id1 bigint, id2 bigint, prob double")
     got = {x["id"]: x["cluster"] for x in c.average_link_clusters(df, 0.35).collect()}
     assert got == average_link(scores, 0.35)
+
+
+@pytest.mark.parametrize("limit", [4, 16])
+def test_components_when_a_task_holds_few_edges(spark, monkeypatch, limit):
+    monkeypatch.setattr(c, "CONTRACT_EDGES", limit)
+    edges = GRAPHS["random"](random.Random(9)) + [(i, i + 1) for i in range(300, 360)]
+    df = spark.createDataFrame(edges, "id1 bigint, id2 bigint").repartition(6)
+    got = {r["id"]: r["component"] for r in c.connected_components(df).collect()}
+    assert got == union_find(edges)
+
+
+def test_contraction_alone_keeps_the_components():
+    import numpy as np
+
+    edges = GRAPHS["random"](random.Random(4)) + GRAPHS["chain"](None)
+    a, b = (np.array(x) for x in zip(*edges))
+    member, root = c._stars(a, b)
+    want = {x: r for x, r in union_find(edges).items() if x != r}
+    got = list(zip(member.tolist(), root.tolist()))
+    assert {x: r for x, r in got if x != r} == want
+    assert {x for x, r in got if x == r} == {x for x, y in edges if x == y}

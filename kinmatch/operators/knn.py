@@ -119,6 +119,7 @@ def best_in_cells(
     *,
     farthest: bool = False,
     without_self: bool = False,
+    few_cells: bool = False,
     tile_rows: int = TILE_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
@@ -134,6 +135,8 @@ def best_in_cells(
         F.ceil(F.count("*") / chunk_rows).cast("int").alias("n_chunks")
     )
     grid = tiles.join(chunks, "cell")
+    # with at most MAX_PIVOTS cells the vectors need not be shuffled just to learn the grid
+    grid = F.broadcast(grid) if few_cells else grid
 
     def spread(df: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
         return (
@@ -159,8 +162,9 @@ def _best_in_one_tile(
     queries: DataFrame, base: DataFrame, query_rows: int, chunk_rows: int, without_self: bool
 ) -> DataFrame:
     """Search of a base that fits one tile: it goes along with every chunk of the queries."""
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    rows = max(MIN_CHUNK_ROWS, min(chunk_rows, -(-query_rows // cores)))
+    # a few chunks per core even out how the hash deals them to the tasks
+    wanted = 4 * queries.sparkSession.sparkContext.defaultParallelism
+    rows = max(MIN_CHUNK_ROWS, min(chunk_rows, -(-query_rows // wanted)))
     chunks = max(1, -(-query_rows // rows))
     left = queries.withColumn("chunk", F.pmod(F.xxhash64("q_id"), F.lit(chunks)).cast("int"))
     right = base.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
@@ -354,6 +358,7 @@ def knn_in_cells(
     """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``."""
     pivots = cells.pivots
     base = cells.base.select("b_id", "b_vec", "cell")
+    options["few_cells"] = True
     first = best_in_cells(_route(queries, len(pivots), _nearest_cells(pivots, probes)), base, **options)
     if strategy == "ivf" or probes >= len(pivots):
         return _finish(first)

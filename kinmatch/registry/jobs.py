@@ -18,9 +18,11 @@ from ..plans import jobs
 from ..plans.products import product_regex
 from ..session import cut_lineage, scratch_path
 from ..streaming import monitor
-from .base import MASTERS, braced, masters, products, query, similarity, table, views
+from .base import MASTERS, PRODUCTS, braced, masters, products, query, similarity, table, views
 from .clustering import COMPONENTS, MAX_DISTANCE, TOP_K
+from .evaluation import rounded_sweep, sweep
 from .text import SIZED, _sent, _sizes
+from .training import NEGATIVES, POSITIVES
 from .vectors import BLOCK_THRESHOLD, BLOCK_TOP_K, BLOCKED, EMBEDDED, _embeddings, self_neighbours
 
 MATCH_THRESHOLD = 0.8
@@ -142,10 +144,22 @@ def train_one_shot_report(spark, sf):
     return jobs.train_one_shot(labelled, _PresentVectors(labelled.select("id", "vec"))).report
 
 
-@query("blocker_evaluation")
+LABELLED = f"SELECT * FROM ({PRODUCTS}) l WHERE master_product IS NOT NULL"
+
+
+@query(
+    "blocker_evaluation",
+    f"""WITH {self_neighbours(LABELLED)}, {NEGATIVES}, {POSITIVES},
+        chosen AS (SELECT DISTINCT least(id1, id2) AS id1, greatest(id1, id2) AS id2, 0 AS match FROM negatives
+                   UNION ALL SELECT id1, id2, 1 FROM positives),
+        scored AS (SELECT {similarity('a.vec', 'b.vec')} AS score, c.match
+                   FROM chosen c JOIN prod a ON a.id = c.id1 JOIN prod b ON b.id = c.id2),
+        {sweep('scored')}""",
+)
 def blocker_evaluation(spark, sf):
+    """Best thresholds of the present vectors on the blocker's own training pairs."""
     labelled = _labelled(spark, sf)
-    return jobs.train_blocker_set(labelled, _PresentVectors(labelled.select("id", "vec")))[1]
+    return rounded_sweep(jobs.train_blocker_set(labelled, _PresentVectors(labelled.select("id", "vec")))[1])
 
 
 @query("pair_classifier_score")
@@ -161,7 +175,26 @@ def pair_classifier_score(spark, sf):
     return classification_report(scored.withColumn("pred", (F.col("prob") > 0.5).cast("int")))
 
 
-@query("one_shot_assign")
+@query(
+    "one_shot_assign",
+    f"""WITH base AS ({PRODUCTS}),
+        firsts AS (SELECT master_product, min(id) AS f FROM base WHERE master_product IS NOT NULL GROUP BY 1),
+        ids AS (SELECT master_product, dense_rank() OVER (ORDER BY f) - 1 AS master_product_id FROM firsts),
+        prod AS MATERIALIZED (SELECT b.*, i.master_product_id FROM base b
+                              LEFT JOIN ids i ON i.master_product = b.master_product),
+        sims AS (SELECT a.id, b.id AS nn, a.name AS sent1, b.master_product AS sent2, b.master_product_id AS id2,
+                   {similarity('a.vec', 'b.vec')} AS sim FROM prod a, prod b),
+        fetched AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY sim DESC, nn) AS r FROM sims),
+        kept AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY sim DESC, nn) AS k FROM fetched
+                 WHERE r <= 100 AND sent2 IS NOT NULL),
+        scored AS (SELECT id, id2, round(1 - levenshtein(sent1, sent2) / greatest(length(sent1), length(sent2)), 9) AS prob
+                   FROM kept WHERE k <= 10 AND sent1 IS NOT NULL),
+        best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY prob DESC, id2) AS b FROM scored WHERE prob > 0.1)
+        SELECT t.id AS product_id, t.id2 AS master_product_pred_id, t.prob, ids.master_product AS master_product_pred,
+               p.master_product_id AS master_product_actual_id, p.master_product AS master_product_actual,
+               p.name, CAST(trunc(p.price) AS BIGINT) AS price
+        FROM best t JOIN ids ON ids.master_product_id = t.id2 JOIN prod p ON p.id = t.id WHERE t.b = 1""",
+)
 def one_shot_assign(spark, sf):
     """Each offer's best accepted master among its near labelled offers."""
     offers = rows.dense_ids(products(spark, sf), "master_product", "id", "master_product_id")

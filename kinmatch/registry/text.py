@@ -327,3 +327,18 @@ def split_exact_sizes(spark, sf):
 def sample_balanced(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("match"))
     return sampling.rebalance_fraction(labels, "doc_id", 0.25)
+
+
+@query(
+    "sample_rows_profile",
+    "SELECT least(1000, count(*)) AS n_rows, least(1000, count(*)) AS n_distinct, 0 AS n_foreign FROM orders",
+)
+def sample_rows_profile(spark, sf):
+    """A sample of 1000 rows: its size, its distinct rows, and rows not of the table."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    drawn = sampling.sample_rows(orders, "o_orderkey", 1000)
+    known = drawn.join(orders.withColumn("known", F.lit(1)), "o_orderkey", "left")
+    return known.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_distinct"),
+        F.count_if(F.col("known").isNull()).cast("int").alias("n_foreign"),
+    )

@@ -79,7 +79,7 @@ def saved_index_search(spark, sf):
     "committed_tables",
     f"""SELECT 'before' AS version, count(*) AS n_rows, count(*) FILTER (WHERE o_orderstatus = 'O') AS n_unnamed FROM orders
         UNION ALL
-        SELECT 'after', CAST((SELECT count(*) FROM orders) + sum(n) AS BIGINT), CAST(sum(n) AS BIGINT) FROM (
+        SELECT 'after', CAST((SELECT count(*) FROM orders) + coalesce(sum(n), 0) AS BIGINT), CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
           SELECT count(*) AS n FROM customer WHERE NOT c_acctbal > 5000 GROUP BY c_nationkey HAVING count(*) >= {MIN_SIZE}) t""",
 )
 def committed_tables(spark, sf):

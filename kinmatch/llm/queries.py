@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import spread, table
 from .packing import pack
+from .tokenfiles import read_tokens, write_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +32,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_token_files")
+def op2_token_files(spark, folder):
+    target = scratch_path(spark, "tokens")
+    write_tokens(spread(spark, folder, "documents"), target, tokenizer_path("word_bpe_49k.json"))
+    return read_tokens(spark, target).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 @query("op6_packing")
 def op6_packing(spark, folder):
     pieces = pack(spread(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))

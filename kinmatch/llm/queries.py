@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import spread, table
+from .decontam import find_contamination
 from .packing import pack
 from .tokenfiles import read_tokens, write_tokens
 
@@ -41,6 +42,46 @@ def op2_token_files(spark, folder):
     )
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+@query(
+    "op3_decontamination",
+    f"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '{_ITEM_WORDS}') AS w FROM documents
+    ), b AS (
+      SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWERED}, '{_ITEM_WORDS}') AS w
+      FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+    ), windows AS (
+      SELECT item, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS words
+      FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+    ), sizes AS (SELECT DISTINCT k FROM windows),
+    places AS (
+      SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS words
+      FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)
+    ), found AS (
+      SELECT r, p.i, p.k, item FROM places p JOIN windows USING (k, words)
+    ), hits AS (
+      SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS j FROM found) GROUP BY r
+    ), items AS (
+      SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY r
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+    """,
+)
+def op3_decontamination(spark, folder):
+    found = find_contamination(spread(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
 @query("op6_packing")
 def op6_packing(spark, folder):
     pieces = pack(spread(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))

@@ -11,6 +11,7 @@ from ..session import scratch_path
 from .common import spread, table
 from .decontam import find_contamination
 from .packing import pack
+from .simhash import near_duplicates
 from .tokenfiles import read_tokens, write_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +83,11 @@ def op3_decontamination(spark, folder):
     )
 
 
+@query("op4_simhash")
+def op4_simhash(spark, folder):
+    return near_duplicates(spread(spark, folder, "documents"))
+
+
 @query("op6_packing")
 def op6_packing(spark, folder):
     pieces = pack(spread(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))

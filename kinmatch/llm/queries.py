@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import spread, table
 from .decontam import find_contamination
+from .maxscore import scaled, search_top_k
 from .packing import pack
 from .simhash import near_duplicates
 from .tokenfiles import read_tokens, write_tokens
@@ -94,3 +95,25 @@ def op6_packing(spark, folder):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query(
+    "op8_top_k",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+    ), r AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op8_top_k(spark, folder):
+    vectors = spread(spark, folder, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("vector"))
+    return search_top_k(vectors, vectors.where("vec_id % 50 = 0"))

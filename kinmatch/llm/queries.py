@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import spread, table
 from .decontam import find_contamination
+from .htmlmain import extract_main_text
 from .maxscore import scaled, search_top_k
 from .packing import pack
 from .simhash import near_duplicates
@@ -89,6 +90,13 @@ def op4_simhash(spark, folder):
     return near_duplicates(spread(spark, folder, "documents"))
 
 
+@query("op5_html")
+def op5_html(spark, folder):
+    pages = spread(spark, folder, "pages").select("page_id", "url", "html")
+    found = extract_main_text(pages)
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query("op6_packing")
 def op6_packing(spark, folder):
     pieces = pack(spread(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))

@@ -11,6 +11,7 @@ from ..session import scratch_path
 from .common import spread, table
 from .decontam import find_contamination
 from .htmlmain import extract_main_text
+from .langid import learn_languages, with_language
 from .maxscore import scaled, search_top_k
 from .packing import pack
 from .simhash import near_duplicates
@@ -36,6 +37,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def hash_is(id: str, mod: int, value: int):
+    """Whether crc32 of the id as text leaves ``value``; a NULL id leaves nothing."""
+    return F.coalesce(F.crc32(F.col(id).cast("string")) % mod == value, F.lit(False))
+
+
+@query("op1_language")
+def op1_language(spark, folder):
+    docs = spread(spark, folder, "documents").select("doc_id", "text", "lang")
+    network = learn_languages(docs, where=~hash_is("doc_id", 4, 2) & F.col("doc_id").isNotNull())
+    found = with_language(docs.select("doc_id", "text"), network)
+    return found.select("doc_id", hash_is("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("op2_token_files")
 def op2_token_files(spark, folder):
     target = scratch_path(spark, "tokens")

@@ -191,7 +191,7 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = SpaceDroppingEncoder(tokenizer)
-        narrow = max(words.words.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
+        narrow = max(words.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
         kind = "<u2" if narrow else "<u4"
         for batch in batches:
             ids = []

@@ -2,50 +2,109 @@
 
 from __future__ import annotations
 
-import numpy as np
+import re
+from array import array
 
 from .common import single_threaded
 
-# Distinct words a worker remembers before it starts anew.
-REMEMBERED = 300_000
+# Words in the newer half of a worker's memory; once full, it becomes the older half.
+REMEMBERED = 400_000
+# These letters, and the marks after them, are one word each to any of the tokenizers'
+# patterns, and no normalization but lower-casing changes them.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|()\"+=/-]*)").fullmatch
+# Line ends that have no other white space beside them.
+_ONE_END = re.compile(r"\S+(?:\n\S+)+").fullmatch
+
+
+def _byte_letters() -> dict[int, int]:
+    """How byte-level tokenizers spell bytes: printable ones as themselves, the rest from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in printable]
+    return {b: 0x100 + k for k, b in enumerate(rest)}
+
+
+class _Uncut(Exception):
+    """A word with white space at an end, which must not be encoded on its own."""
 
 
 class _Words(dict):
-    """Token ids of words as little-endian unsigned 32-bit bytes, filled in batches."""
+    """Token ids of words, with the lead before them, as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str):
-        super().__init__()
-        single_threaded()
-        from tokenizers import Tokenizer
+    Plain words go straight to the library's model, the others through its whole
+    pipeline. What is not used again is forgotten, so the memory stays bounded.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, tokenizer, lead: str, lower: bool, lines: _Words | None = None):
+        """``lines``: the words without a lead, for tokenizers that keep white space."""
+        super().__init__()
+        self.tokenizer, self.model, self.lead, self.lower, self.lines = tokenizer, tokenizer.model, lead, lower, lines
+        self.letters = _byte_letters()
+        self.spelled_lead = self._spell(lead)
+        self.old: dict[str, bytes] = {}
+        self.line_end = self.pipeline("\n")
+
+    def _spell(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.letters)
+
+    def pipeline(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _plain(self, letters: str, mark: str) -> bytes:
+        if self.lower:
+            letters = letters.lower()
+        tokens = self.model.tokenize(self.spelled_lead + (letters if letters.isascii() else self._spell(letters)))
+        if mark:
+            tokens += self.model.tokenize(mark)
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            plain = _PLAIN(word)
+            if plain:
+                ids = self._plain(*plain.groups())
+            elif self.lines is not None and (not word or word[0].isspace() or word[-1].isspace()):
+                raise _Uncut
+            elif self.lines is not None and "\n" in word and _ONE_END(word):
+                # a single line end between other characters is a token of its own
+                head, *lines = word.split("\n")
+                return self[head] + b"".join([self.line_end + self.lines[x] for x in lines])
+            else:
+                ids = self.pipeline(self.lead + word)
+        self[word] = ids
+        return ids
 
-    def learn(self, keys: list[str], texts: list[str]) -> None:
+    def encode(self, words: list[str]) -> bytes:
+        ids = b"".join(map(self.__getitem__, words))
         if len(self) > REMEMBERED:
+            self.old = dict(self)
             self.clear()
-        for key, found in zip(keys, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self[key] = np.asarray(found.ids, "<u4").tobytes()
+        return ids
+
+
+def _load(path: str):
+    single_threaded()
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 class SpaceDroppingEncoder:
-    """For tokenizers that drop white space: words between white space are independent.
+    """For lower-casing tokenizers that drop white space: words between white space are independent.
 
     Only plain blanks, tabs and line ends cut; rarer white space stays inside a word
     and is left to the library.
     """
 
     def __init__(self, path: str):
-        self.words = _Words(path)
+        self.tokenizer = _load(path)
+        self.words = _Words(self.tokenizer, "", True)
 
     def __call__(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.words
-        new = [w for w in set(parts) if w not in known]
-        if new:
-            known.learn(new, new)
-            if any(w not in known for w in parts):
-                known.learn(again := list(set(parts)), again)
-        return b"".join([known[w] for w in parts])
+        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        if text.isascii() and "<|" not in text:  # special tokens are told apart before lower-casing
+            text = text.lower()
+        return self.words.encode(text.split(" "))
 
 
 class SpacePrefixEncoder:
@@ -57,29 +116,33 @@ class SpacePrefixEncoder:
     """
 
     def __init__(self, path: str):
-        self.words = _Words(path)
+        self.tokenizer = _load(path)
+        self.first = _Words(self.tokenizer, "", False)
+        self.first.lines = self.first
+        self.words = _Words(self.tokenizer, " ", False, self.first)
 
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
+    def __call__(self, text: str) -> bytes:
         parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-            return [parts[0], *[" " + p for p in parts[1:]]]
-        pieces, run = [], [parts[0]]
-        for before, part in zip(parts, parts[1:]):
-            if before and part and not before[-1].isspace() and not part[0].isspace():
-                pieces.append(" ".join(run))
-                run = ["", part]
-            else:
+        try:
+            return self.first.encode(parts[:1]) + self.words.encode(parts[1:])
+        except _Uncut:
+            return self._by_stretches(parts)
+
+    def _by_stretches(self, parts: list[str]) -> bytes:
+        """A text with other than single blanks: what lies between two safe cuts is one piece."""
+        out, run = [], [parts[0]]
+        for part in [*parts[1:], None]:
+            if part is not None and not (
+                run[-1] and part and not run[-1][-1].isspace() and not part[0].isspace()
+            ):
                 run.append(part)
-        pieces.append(" ".join(run))
-        return pieces
-
-    def __call__(self, text: str) -> bytes:
-        pieces = self._pieces(text)
-        known = self.words
-        new = [w for w in set(pieces) if w not in known]
-        if new:
-            known.learn(new, new)
-            if any(w not in known for w in pieces):
-                known.learn(again := list(set(pieces)), again)
-        return b"".join([known[w] for w in pieces])
+                continue
+            whole = " ".join(run)
+            if not out:
+                out.append(self.words.pipeline(whole))
+            elif len(run) > 1 or not run[0] or run[0][0].isspace() or run[0][-1].isspace():
+                out.append(self.words.pipeline(" " + whole))
+            else:
+                out.append(self.words[whole])
+            run = [part]
+        return b"".join(out)

@@ -12,10 +12,12 @@ from .common import spread, table
 from .decontam import find_contamination
 from .htmlmain import extract_main_text
 from .langid import learn_languages, with_language
+from .licences import with_licences
 from .maxscore import scaled, search_top_k
 from .packing import pack
 from .simhash import near_duplicates
 from .tokenfiles import read_tokens, write_tokens
+from .toxicity import learn_toxicity, with_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +141,30 @@ def op6_packing(spark, folder):
 def op8_top_k(spark, folder):
     vectors = spread(spark, folder, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("vector"))
     return search_top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op9_licences")
+def op9_licences(spark, folder):
+    found = with_licences(spread(spark, folder, "documents").select("doc_id", "text"))
+    names = F.array_join(F.array_sort(F.array_distinct(F.transform("licences", lambda x: x["licence"]))), ",")
+    return found.select(
+        "doc_id", names.alias("licence_names"), F.size("licences").cast("bigint").alias("n_licences"),
+        F.size("sentences").cast("bigint").alias("n_sentences"), "licences",
+    )
+
+
+# Documents whose last probability reaches this count as toxic.
+TOXIC = 0.5
+
+
+def toxicity_chain(docs, labels):
+    """Low quality, then toxic, over the columns of ``labels``."""
+    return learn_toxicity(docs, labels, [1 - F.col("quality"), F.col("toxic")])
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, folder):
+    docs = spread(spark, folder, "documents").select("doc_id", "text")
+    chain = toxicity_chain(docs, table(spark, folder, "labels"))
+    found = with_toxicity(docs, chain, ["p_low_quality", "p_toxic"])
+    return found.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= TOXIC).alias("toxic"))

@@ -15,6 +15,7 @@ from .langid import learn_languages, with_language
 from .licences import with_licences
 from .maxscore import scaled, search_top_k
 from .packing import pack
+from .ppm import score_texts
 from .simhash import near_duplicates
 from .tokenfiles import read_tokens, write_tokens
 from .toxicity import learn_toxicity, with_toxicity
@@ -121,6 +122,15 @@ def op6_packing(spark, folder):
     )
 
 
+@query("op7_ppm")
+def op7_ppm(spark, folder):
+    docs = spread(spark, folder, "documents").select("doc_id", "text")
+    found = score_texts(docs, ~hash_is("doc_id", 7, 2) & F.col("doc_id").isNotNull())
+    return found.select(
+        "doc_id", hash_is("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query(
     "op8_top_k",
     """

@@ -114,14 +114,18 @@ def op5_html(spark, folder):
     return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
-@query("op6_packing")
-def op6_packing(spark, folder):
-    pieces = pack(spread(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+def packed_digest(pieces: DataFrame) -> DataFrame:
+    """Pieces with the checksum of their ids in place of these."""
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
 
+@query("op6_packing")
+def op6_packing(spark, folder):
+    return packed_digest(pack(spread(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json")))
+
+
 @query("op7_ppm")
 def op7_ppm(spark, folder):
     docs = spread(spark, folder, "documents").select("doc_id", "text")

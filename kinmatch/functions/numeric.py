@@ -37,16 +37,18 @@ def add_zscore(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
     return df.withColumn(out or column, z)
 
 
-# Multiplier and modulus of the reproducible draw. The key is reduced first, so
-# the product stays below 2**53 whatever the size of the id.
-DRAW_MULTIPLIER = 2654435761
-DRAW_MODULUS = 1000003
+# Draws are whole numbers below 2**32: the first hex digits of an MD5 sum.
+DRAW_DIGITS = 8
+DRAW_MODULUS = 1 << 4 * DRAW_DIGITS
 
 
-def draw(key: Column | str, seed: int = 0) -> Column:
-    """Uniform draw in [0, DRAW_MODULUS) fixed by an integer key, same in any engine."""
-    reduced = F.pmod(_col(key).cast("bigint") + F.lit(seed), F.lit(DRAW_MODULUS))
-    return F.pmod(reduced * F.lit(DRAW_MULTIPLIER), F.lit(DRAW_MODULUS))
+def draw(*keys: Column | str, seed: int = 0) -> Column:
+    """Uniform draw in [0, DRAW_MODULUS) fixed by the keys and the seed, the same in any engine.
+
+    Keys are taken as text, joined by ``:`` with the seed last; a NULL key counts as empty.
+    """
+    text = F.concat_ws(":", *[F.coalesce(_col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, DRAW_DIGITS), 16, 10).cast("bigint")
 
 
 def hash_draw(*keys: Column | str, seed: int = 0) -> Column:

@@ -31,6 +31,8 @@ MAX_PIVOTS = 16_384
 MAX_PIVOT_BYTES = 64 << 20
 # Numbers held at once by a product of two matrices inside a task.
 BLOCK_CELLS = 1 << 22
+# Hits that a block of queries and base rows may find: queries times their largest k.
+BLOCK_HITS = 1 << 22
 # Slack of the pruning test, well above rounding error and the ranking digits.
 BOUND_SLACK = 1e-4
 # Below every similarity: nothing found yet.
@@ -131,9 +133,9 @@ def best_in_cells(
     one that holds a third of all rows, is spread over tiles x chunks blocks.
     """
     tiles = base.groupBy("cell").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("n_tiles"))
-    chunks = queries.groupBy("cell").agg(
-        F.ceil(F.count("*") / chunk_rows).cast("int").alias("n_chunks")
-    )
+    # a block finds at most its queries times min(k, tile) hits: large k, fewer queries
+    rows = F.greatest(F.lit(1.0), F.least(F.lit(float(chunk_rows)), BLOCK_HITS / F.least(F.max("k"), F.lit(tile_rows))))
+    chunks = queries.groupBy("cell").agg(F.ceil(F.count("*") / rows).cast("int").alias("n_chunks"))
     grid = tiles.join(chunks, "cell")
     # with at most MAX_PIVOTS cells the vectors need not be shuffled just to learn the grid
     grid = F.broadcast(grid) if few_cells else grid
@@ -159,23 +161,29 @@ def _search_blocks(
 
 
 def _best_in_one_tile(
-    queries: DataFrame, base: DataFrame, query_rows: int, chunk_rows: int, without_self: bool
+    queries: DataFrame, base: DataFrame, query_rows: int, chunk_rows: int, without_self: bool, most: int
 ) -> DataFrame:
     """Search of a base that fits one tile: it goes along with every chunk of the queries."""
     # a few chunks per core even out how the hash deals them to the tasks
     wanted = 4 * queries.sparkSession.sparkContext.defaultParallelism
     rows = max(MIN_CHUNK_ROWS, min(chunk_rows, -(-query_rows // wanted)))
+    rows = max(1, min(rows, BLOCK_HITS // max(1, most)))
     chunks = max(1, -(-query_rows // rows))
     left = queries.withColumn("chunk", F.pmod(F.xxhash64("q_id"), F.lit(chunks)).cast("int"))
     right = base.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     return _search_blocks(left, right, ["chunk"], False, without_self)
 
 
-def rank_hits(hits: DataFrame, farthest: bool = False) -> DataFrame:
-    """Final order per query: similarity, then the smaller id; first ``k`` kept."""
+def rank_hits(hits: DataFrame, farthest: bool = False, most: int | None = None) -> DataFrame:
+    """Final order per query: similarity, then the smaller id; first ``k`` kept.
+
+    ``most``, the largest ``k``, lets Spark cut each task's rows before the shuffle.
+    """
     direction = F.asc if farthest else F.desc
     w = W.partitionBy("q_id").orderBy(direction("sim"), F.asc("b_id"))
-    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.col("k"))
+    ranked = hits.withColumn("rank", F.row_number().over(w))
+    ranked = ranked if most is None else ranked.where(F.col("rank") <= most)
+    return ranked.where(F.col("rank") <= F.col("k"))
 
 
 @dataclass
@@ -295,14 +303,33 @@ def _unsettled_cells(pivots: np.ndarray, low: np.ndarray, high: np.ndarray, prob
     return cells_of
 
 
+# Rows of one vector that are ranked together; Spark's window limit holds up to 1,000.
+COPIES_AT_ONCE = 1_000
+
+
 def _first_copies(base: DataFrame, copies: int) -> DataFrame:
     """At most ``copies`` rows, smallest ids first, of each set of equal vectors.
 
     Exact for a top-k by (similarity, id) with k below ``copies``: a further copy
-    can never come before the ones kept.
+    can never come before the ones kept. Many copies are ranked in two levels: those
+    of each block of ids first, the blocks being as many as keep a block's own limit
+    effective, then what is left of all blocks of a vector.
     """
-    w = W.partitionBy("b_vec").orderBy("b_id")
-    return base.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= copies).drop("__rn")
+
+    def first(rows: DataFrame, *keys: str) -> DataFrame:
+        w = W.partitionBy(*keys).orderBy("b_id")
+        return rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= copies).drop("__rn")
+
+    if copies > COPIES_AT_ONCE:
+        blocks = -(-copies // COPIES_AT_ONCE) * 16
+        base = first(base.withColumn("__block", F.pmod(F.xxhash64("b_id"), F.lit(blocks))), "b_vec", "__block").drop("__block")
+    return first(base, "b_vec")
+
+
+def _sound(vec: str) -> Column:
+    """Vectors without a component that is missing or not a number; others have no neighbours."""
+    x = F.col(vec)
+    return x.isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
 
 
 def knn_join(
@@ -325,27 +352,28 @@ def knn_join(
     then base id; ``dist`` is the angular distance. ``k`` may be a column of the
     queries. Both inputs are read more than once; store them first where they are
     costly, such as fresh from an encoder. ``strategy="exact"`` gives the true neighbours; ``"ivf"`` stops
-    after each query's ``probes`` nearest cells and may miss some.
+    after each query's ``probes`` nearest cells and may miss some, at any size of the base. Vectors
+    that are NULL or hold a NULL, NaN or infinite component take no part.
     """
     if strategy not in ("exact", "ivf"):
         raise ValueError(f"knn_join: unknown strategy {strategy!r}")
     k_column = F.lit(k) if isinstance(k, int) else k
-    q = queries.where(F.col(vec).isNotNull()).select(
+    q = queries.where(_sound(vec)).select(
         F.col(query_id).cast("bigint").alias("q_id"),
         F.col(vec).alias("q_vec"),
         k_column.cast("int").alias("k"),
         F.lit(NO_FLOOR).alias("floor"),
     ).where("k > 0")
-    b = base.where(F.col(vec).isNotNull()).select(
+    b = base.where(_sound(vec)).select(
         F.col(base_id).cast("bigint").alias("b_id"), F.col(vec).alias("b_vec")
     )
     rows = b.count()
-    if rows <= tile_rows:
+    most = k if isinstance(k, int) else q.agg(F.max("k")).first()[0] or 0
+    if strategy == "exact" and rows <= tile_rows or not rows:
         query_rows = rows if queries is base else q.count()
-        return _finish(_best_in_one_tile(q, b, query_rows, chunk_rows, without_self))
+        return _finish(_best_in_one_tile(q, b, query_rows, chunk_rows, without_self, most), most)
 
-    options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
-    most = k if isinstance(k, int) else q.agg(F.max("k")).first()[0] or 0
+    options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows, "most": most}
     b = cut_lineage(_first_copies(b, most + 1))
     pivots = pick_pivots(b, rows)
     cells = Cells(pivots, cut_lineage(assign_cells(b, pivots)))
@@ -353,16 +381,16 @@ def knn_join(
 
 
 def knn_in_cells(
-    queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = 8, **options
+    queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = 8, most: int | None = None, **options
 ) -> DataFrame:
-    """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``."""
+    """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``, ``most`` the largest ``k``."""
     pivots = cells.pivots
     base = cells.base.select("b_id", "b_vec", "cell")
     options["few_cells"] = True
     first = best_in_cells(_route(queries, len(pivots), _nearest_cells(pivots, probes)), base, **options)
     if strategy == "ivf" or probes >= len(pivots):
-        return _finish(first)
-    found = cut_lineage(rank_hits(first).drop("rank"))
+        return _finish(first, most)
+    found = cut_lineage(rank_hits(first, most=most).drop("rank"))
     # the k-th best so far is the floor; with fewer than k hits every cell stays open
     state = found.groupBy("q_id").agg(F.count("*").alias("n"), F.min("sim").alias("worst"))
     floor = F.when(F.col("n") >= F.col("k"), F.col("worst"))
@@ -372,11 +400,11 @@ def knn_in_cells(
     low, high = cells.bounds()
     rest = _route(open_queries, len(pivots), _unsettled_cells(pivots, low, high, probes))
     second = best_in_cells(rest, base, **options)
-    return _finish(found.unionByName(second))
+    return _finish(found.unionByName(second), most)
 
 
-def _finish(hits: DataFrame) -> DataFrame:
-    return rank_hits(hits).select(
+def _finish(hits: DataFrame, most: int | None = None) -> DataFrame:
+    return rank_hits(hits, most=most).select(
         "q_id", "b_id", "sim", angular_from_cosine(F.col("sim")).alias("dist"), "rank"
     )
 
@@ -390,7 +418,7 @@ def knn_self(
     most ``k - 1`` others.
     """
     others = knn_join(items, items, k - 1, query_id=id, base_id=id, vec=vec, without_self=True, **options)
-    own = items.where(F.col(vec).isNotNull()).select(
+    own = items.where(_sound(vec)).select(
         F.col(id).cast("bigint").alias("id"),
         F.col(id).cast("bigint").alias("nn_id"),
         F.lit(0.0).alias("dist"),
@@ -409,7 +437,7 @@ def knn_filtered(
     """Fetch ``over_fetch`` neighbours, keep those whose id is in ``wanted``, then the first ``k``."""
     hits = knn_join(queries, base, over_fetch, **options)
     kept = hits.join(wanted.select(F.col("id").alias("b_id")), "b_id", "left_semi").drop("rank")
-    return rank_hits(kept.withColumn("k", F.lit(k))).drop("k")
+    return rank_hits(kept.withColumn("k", F.lit(k)), most=k).drop("k")
 
 
 def farthest_in_group(
@@ -421,7 +449,7 @@ def farthest_in_group(
     A row alone in its group is paired with itself. Of equal vectors in a group
     only the smallest id can be chosen, so copies are left out of the base side.
     """
-    rows = items.where(F.col(group).isNotNull() & F.col(vec).isNotNull())
+    rows = items.where(F.col(group).isNotNull() & _sound(vec))
     q = rows.select(
         F.col(id).cast("bigint").alias("q_id"), F.col(vec).alias("q_vec"),
         F.lit(1).alias("k"), F.lit(NO_FLOOR).alias("floor"), F.col(group).alias("cell"),
@@ -432,7 +460,7 @@ def farthest_in_group(
     hits = best_in_cells(
         q, b.select("b_id", "b_vec", "cell"), farthest=True, tile_rows=tile_rows, chunk_rows=chunk_rows
     )
-    return rank_hits(hits, farthest=True).select(
+    return rank_hits(hits, farthest=True, most=1).select(
         F.col("q_id").alias("id"),
         F.col("b_id").alias("far_id"),
         angular_from_cosine(F.col("sim")).alias("dist"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.numeric import draw
 from .knn import farthest_in_group, knn_join
 from .rows import canonical_pairs, first_per_key, lookup_both, union_all
 
@@ -95,8 +96,8 @@ def random_positives(products: DataFrame, *, master: str = "master_product",
     picks = sizes.select(
         master, "__n", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")
     )
-    first = F.pmod(F.xxhash64(F.lit(seed), F.lit(1), master, "draw"), F.col("__n"))
-    step = F.pmod(F.xxhash64(F.lit(seed), F.lit(2), master, "draw"), F.col("__n") - 1)
+    first = draw(master, "draw", F.lit(1), seed=seed) % F.col("__n")
+    step = draw(master, "draw", F.lit(2), seed=seed) % (F.col("__n") - 1)
     picks = picks.withColumn("__a", first)
     picks = picks.withColumn("__b", F.pmod(F.col("__a") + 1 + step, F.col("__n")))
     for side, slot in (("id1", "__a"), ("id2", "__b")):

@@ -104,8 +104,9 @@ def drop_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | No
 
 
 def canonical_pairs(pairs: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
-    """Unordered, distinct pairs as ``id1 < id2`` (equal members allowed)."""
-    return pairs.select(F.least(a, b).alias("id1"), F.greatest(a, b).alias("id2")).distinct()
+    """Unordered, distinct pairs as ``id1 < id2`` (equal members allowed); a pair that lacks a member is none."""
+    whole = pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return whole.select(F.least(a, b).alias("id1"), F.greatest(a, b).alias("id2")).distinct()
 
 
 def union_all(*frames: DataFrame | None) -> DataFrame:
@@ -135,49 +136,19 @@ def master_counts(clusters: DataFrame, cluster: str = "cluster", master: str = "
     return labelled.groupBy(cluster, master).agg(F.count("*").alias("n"))
 
 
-def master_maps(clusters: DataFrame, cluster: str = "cluster", master: str = "master_product",
-                chunk_rows: int = 10_000) -> DataFrame:
-    """``map(master -> rows)`` per cluster, empty where no member has a master.
-
-    A cluster with more than ``chunk_rows`` masters comes in several rows,
-    numbered by ``chunk``, so that no task has to hold an unbounded map.
-    """
+def master_shares(clusters: DataFrame, cluster: str = "cluster", master: str = "master_product") -> DataFrame:
+    """``(cluster, master, n)``: rows per master of every cluster; a cluster without any has one row of NULL and 0."""
     counts = master_counts(clusters, cluster, master)
-    widths = counts.groupBy(cluster).agg(F.ceil(F.count("*") / chunk_rows).alias("__chunks"))
-    entry = F.struct(F.col(master).alias("key"), F.col("n").alias("value"))
-    maps = (
-        counts.join(widths, cluster)
-        .withColumn("chunk", F.pmod(F.xxhash64(master), F.col("__chunks")).cast("int"))
-        .repartition(cluster, "chunk")  # else the join's partitioning keeps a cluster's chunks in one task
-        .groupBy(cluster, "chunk")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("masters"))
-    )
-    empty = F.create_map().cast(maps.schema["masters"].dataType)
-    return (
-        clusters.select(cluster)
-        .distinct()
-        .join(maps, cluster, "left")
-        .select(
-            cluster,
-            F.coalesce("chunk", F.lit(0)).alias("chunk"),
-            F.coalesce("masters", empty).alias("masters"),
-        )
-    )
+    every = clusters.select(cluster).distinct()
+    return every.join(counts, cluster, "left").select(cluster, master, F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def cluster_members(clusters: DataFrame, cluster: str = "cluster", name: str = "name",
-                    chunk_rows: int = 10_000) -> DataFrame:
-    """Sorted member names per cluster with the member count.
+def cluster_members(clusters: DataFrame, seq: str, cluster: str = "cluster", name: str = "name") -> DataFrame:
+    """``(cluster, position, name, size)``: every member by name, then ``seq``, with its cluster's size.
 
-    Clusters beyond ``chunk_rows`` members come in several rows, as in
-    :func:`master_maps`; ``size`` is the whole cluster's in each of them.
+    One row per member at any size: a cluster is sorted, which may spill, but never gathered into one value.
     """
     sizes = clusters.groupBy(cluster).agg(F.count("*").alias("size"))
-    chunks = F.ceil(F.col("size") / chunk_rows)
-    return (
-        clusters.join(sizes, cluster)
-        .withColumn("chunk", F.pmod(F.xxhash64(name, *clusters.columns), chunks).cast("int"))
-        .repartition(cluster, "chunk")
-        .groupBy(cluster, "chunk")
-        .agg(F.array_sort(F.collect_list(name)).alias("names"), F.first("size").alias("size"))
-    )
+    inside = W.partitionBy(cluster).orderBy(name, seq)
+    placed = clusters.withColumn("position", F.row_number().over(inside))
+    return placed.join(sizes, cluster).select(cluster, "position", name, "size")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import DRAW_MODULUS, draw, hash_draw
+from ..functions.numeric import DRAW_MODULUS, draw
 from ..functions.ranks import global_rank
 
 # Default split sizes, masking rate and special tokens.
@@ -22,13 +22,18 @@ def _cut(fraction: float) -> int:
     return int(fraction * DRAW_MODULUS)
 
 
+def _unit_draw(key: str, seed: int) -> Column:
+    """The draw as a number in [0, 1)."""
+    return draw(key, seed=seed) / F.lit(float(DRAW_MODULUS))
+
+
 def assign_split(
     df: DataFrame, key: str, fractions: Mapping[str, float] = THREE_WAY, seed: int = 0, out: str = "set"
 ) -> DataFrame:
-    """Name each row's set by the draw of its integer key; no shuffle, sizes approximate."""
+    """Name each row's set by the draw of its key; no shuffle, sizes approximate. NULL keys share one draw."""
     total = sum(fractions.values())
     names = list(fractions)
-    number, choice, upto = draw(key, seed), None, 0.0
+    number, choice, upto = draw(key, seed=seed), None, 0.0
     for name in names[:-1]:
         upto += fractions[name] / total
         test = number < F.lit(_cut(upto))
@@ -40,14 +45,14 @@ def assign_split(
 def split_two(df: DataFrame, key: str, test_fraction: float = TEST_FRACTION, seed: int = 0):
     """``(train, test)`` by :func:`assign_split`."""
     cut = F.lit(_cut(1.0 - test_fraction))
-    return df.where(draw(key, seed) < cut), df.where(draw(key, seed) >= cut)
+    return df.where(draw(key, seed=seed) < cut), df.where(draw(key, seed=seed) >= cut)
 
 
 def assign_split_exact(
     df: DataFrame, key: str, test_fraction: float = TEST_FRACTION, seed: int = 0, out: str = "set"
 ) -> DataFrame:
-    """Exactly ``ceil(n * test_fraction)`` test rows: the first ones by hash order."""
-    drawn = df.withColumn("__draw", hash_draw(key, seed=seed))
+    """Exactly ``ceil(n * test_fraction)`` test rows: the first ones by draw, then key."""
+    drawn = df.withColumn("__draw", _unit_draw(key, seed))
     ranked = global_rank(drawn, "__draw", key, out="__rank", uniform=True)
     wanted = F.ceil(df.agg(F.count("*").alias("n")).scalar() * F.lit(test_fraction))
     side = F.when(F.col("__rank") <= wanted, "test").otherwise("train")
@@ -55,18 +60,18 @@ def assign_split_exact(
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows by hash order, ranked in ranges so that ``n`` may be large."""
-    drawn = df.withColumn("__draw", hash_draw(key, seed=seed))
+    """The first ``n`` rows by draw, then key, ranked in ranges so that ``n`` may be large."""
+    drawn = df.withColumn("__draw", _unit_draw(key, seed))
     ranked = global_rank(drawn, "__draw", key, out="__rank", uniform=True)
     return ranked.where(F.col("__rank") <= n).drop("__draw", "__rank")
 
 
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
-    return df.where(draw(key, seed) < F.lit(_cut(fraction)))
+    return df.where(draw(key, seed=seed) < F.lit(_cut(fraction)))
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
-    return df.orderBy(hash_draw(key, seed=seed), key)
+    return df.orderBy(draw(key, seed=seed), key)
 
 
 def rebalance(df: DataFrame, key: str, n: int, label: str = "match", seed: int = 0) -> DataFrame:
@@ -92,7 +97,7 @@ def mask_tokens(tokens: Column | str, key: Column | str, rate: float = MASK_RATE
     cut = F.lit(_cut(rate))
 
     def mask(token: Column, pos: Column) -> Column:
-        drawn = (draw(row * F.lit(1000) + pos, seed) < cut) & ~token.isin(*SPECIAL_TOKENS)
+        drawn = (draw(row, pos, seed=seed) < cut) & ~token.isin(*SPECIAL_TOKENS)
         return F.struct(F.when(drawn, F.lit(MASK_TOKEN)).otherwise(token).alias("token"), token.alias("label"))
 
     return F.transform(items, mask)

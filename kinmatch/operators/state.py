@@ -1,12 +1,12 @@
-"""Status-tracked tables: pure transforms, and a store that commits them together."""
+"""Status-tracked tables: pure transforms, and tables written run by run."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ranks import global_rank
 from ..schemas import (
@@ -53,6 +53,15 @@ def replace_status(
             ),
         }
     )
+    appended, started = added_rows(clusters, new_rows, now)
+    return kept.unionByName(appended), status_snapshot(clusters, previous, current).unionByName(started)
+
+
+def added_rows(clusters: DataFrame, new_rows: DataFrame, now: datetime | Column) -> tuple[DataFrame, DataFrame]:
+    """``new_rows`` as rows of the cluster table, ids continuing after the largest, and their history.
+
+    Of ``clusters`` only the largest id is read.
+    """
     stamp = now if isinstance(now, Column) else F.lit(now)
     last_id = clusters.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).scalar()
     order = [c for c in ("internal_product_id", "master_product_id", "cluster_id") if c in new_rows.columns]
@@ -66,9 +75,9 @@ def replace_status(
         ]
     )
     status = F.col("master_product_status_id")
-    started = appended.select(F.col("id").alias(HISTORY[0]), status.alias(HISTORY[1]), status.alias(HISTORY[2]))
-    history = status_snapshot(clusters, previous, current).unionByName(started)
-    return kept.unionByName(appended), history
+    return appended, appended.select(
+        F.col("id").alias(HISTORY[0]), status.alias(HISTORY[1]), status.alias(HISTORY[2])
+    )
 
 
 def save_clusters(
@@ -91,21 +100,27 @@ def save_clusters(
     )
 
 
-def save_suggestions(
-    clusters_table: DataFrame, matches: DataFrame, now: datetime | Column, expire: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """Store accepted (product, master) pairs as suggestions; older suggestions expire.
-
-    ``expire=False`` only adds: for runs that look at new products alone.
-    """
-    rows = matches.where(F.col("match") == 1).select(
+def _suggested(matches: DataFrame) -> DataFrame:
+    return matches.where(F.col("match") == 1).select(
         F.col("id1").alias("internal_product_id"),
         F.col("id2").alias("master_product_id"),
         F.lit(None).cast("bigint").alias("cluster_id"),
         F.lit(STATUS_SUGGESTION).alias("master_product_status_id"),
     )
-    previous = STATUS_SUGGESTION if expire else None
-    return replace_status(clusters_table, rows, previous=previous, now=now)
+
+
+def save_suggestions(
+    clusters_table: DataFrame, matches: DataFrame, now: datetime | Column
+) -> tuple[DataFrame, DataFrame]:
+    """Store accepted (product, master) pairs as suggestions; older suggestions expire."""
+    return replace_status(clusters_table, _suggested(matches), previous=STATUS_SUGGESTION, now=now)
+
+
+def add_suggestions(
+    clusters_table: DataFrame, matches: DataFrame, now: datetime | Column
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that accepted pairs of new products add to the cluster table and the history; nothing expires."""
+    return added_rows(clusters_table, _suggested(matches), now)
 
 
 def accepted_clusters(clusters: DataFrame) -> DataFrame:
@@ -192,62 +207,33 @@ def change_gate(
     )
 
 
-class TableStore:
-    """A few Parquet tables whose new versions become visible together.
+def advance_gates(decided: DataFrame, stored: DataFrame, now: datetime | Column) -> DataFrame:
+    """``(gate, stored_count, last_run)`` to keep after :func:`change_gate`: a triggered gate ran now."""
+    stamp = now if isinstance(now, Column) else F.lit(now)
+    moved = decided.join(stored.select("gate", "last_run"), "gate", "left").select(
+        "gate", F.col("next_count").alias("stored_count"),
+        F.when(F.col("triggered"), stamp).otherwise(F.col("last_run")).cast("timestamp").alias("last_run"),
+    )
+    gone = stored.join(decided.select("gate"), "gate", "left_anti").select("gate", "stored_count", "last_run")
+    return moved.unionByName(gone)
+
+
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """Write one run's rows of a table to the run's own folder; a repeated run replaces only its own rows."""
+    df.write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def read_run(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """A table's state as one run has written it."""
+    return spark.read.parquet(f"{path}/run={run}")
 
-    A run writes its tables under its own folder and then appends one line to the
-    log; readers follow the log's newest version. A run id that is in the log
-    already is not written again, so a repeated run changes nothing.
-    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.path}/log")
-        except AnalysisException:
-            return None
-
-    def version(self) -> int:
-        log = self._log()
-        return 0 if log is None else log.agg(F.max("version")).first()[0]
-
-    def read(self, table: str) -> DataFrame:
-        """The table as its newest version has it."""
-        log = self._log()
-        if log is None:
-            raise ValueError(f"no table {table!r} under {self.path}")
-        newest = log.where(F.col("table") == table).orderBy(F.desc("version")).first()
-        if newest is None:
-            raise ValueError(f"no table {table!r} under {self.path}")
-        paths = [newest["folder"]]
-        if newest["appended"]:
-            parts = log.where(F.col("table") == table).orderBy("version").select("version", "folder", "appended")
-            # one line per version, not per row
-            lines = parts.collect()
-            start = max([i for i, r in enumerate(lines) if not r["appended"]], default=0)
-            paths = [r["folder"] for r in lines[start:]]
-        return self.spark.read.parquet(*paths)
-
-    def commit(self, run_id: str, replace: dict[str, DataFrame] | None = None,
-               append: dict[str, DataFrame] | None = None) -> int:
-        """Write new versions of some tables and additions to others as one step."""
-        log = self._log()
-        if log is not None:
-            done = log.where(F.col("run_id") == run_id).first()
-            if done is not None:
-                return done["version"]
-        version = self.version() + 1
-        lines = []
-        for tables, appended in ((replace or {}, False), (append or {}, True)):
-            for name, df in tables.items():
-                folder = f"{self.path}/data/{name}/{version}-{run_id}"
-                df.write.mode("overwrite").parquet(folder)
-                lines.append((version, run_id, name, folder, appended))
-        schema = "version int, run_id string, `table` string, folder string, appended boolean"
-        entry = self.spark.createDataFrame(lines, schema).coalesce(1)
-        entry.write.mode("append").parquet(f"{self.path}/log")
-        return version
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs' rows of a table to which runs only add, with the ``run`` they come from."""
+    return spark.read.option("basePath", path).schema(_schema_with_run(spark, path)).parquet(path)
 
 
+def _schema_with_run(spark: SparkSession, path: str) -> T.StructType:
+    # run ids are text, also where they look like numbers
+    found = spark.read.option("basePath", path).parquet(path).schema
+    return T.StructType([T.StructField("run", T.StringType()) if f.name == "run" else f for f in found.fields])

@@ -17,7 +17,7 @@ from ..operators.knn import knn_filtered, knn_join
 from ..operators.metrics import assignment_accuracy, classification_report, threshold_sweep
 from ..operators.pairs import one_shot_pairs, training_pairs
 from ..operators.rows import best_per_key, canonical_pairs, drop_missing, lookup_both
-from ..operators.sampling import TEST_FRACTION, assign_split, split_two
+from ..operators.sampling import TEST_FRACTION, assign_split, sample_fraction, split_two
 from ..operators.scoring import (
     MATCH_THRESHOLD,
     ONE_SHOT_THRESHOLD,
@@ -29,8 +29,8 @@ from ..operators.scoring import (
     train_classifier,
 )
 from ..operators.serialize import DEFAULT_COLUMNS, add_sentence, serialize
-from ..operators.state import TableStore, save_clusters, save_suggestions
-from ..session import cut_lineage, scratch_path
+from ..operators.state import save_clusters, save_suggestions, with_cached, without_cached, write_run
+from ..session import cut_lineage, scratch_path, scratch_scope
 from ..sources.files import read_csv, write_csv, write_split_text
 from .products import preprocess, product_regex
 
@@ -79,35 +79,49 @@ def match_products(
     min_cluster_size: int = MIN_CLUSTER_SIZE,
     strategy: str = "exact",
     order: str = "name",
+    cached: DataFrame | None = None,
 ) -> MatchResult:
     """Match job: clean, extract sizes, encode, block, score, cluster.
 
-    ``encoder.transform`` adds ``vec`` to rows with a ``sent`` column. The stages
-    that others read more than once are stored in the shared folder.
+    ``encoder.transform`` adds ``vec`` to rows with a ``sent`` column; products without
+    a vector stay and match nothing. ``cached`` are scored pairs ``(id1, id2, match,
+    prob)`` of earlier runs: candidates among them are not scored again. The stages
+    that others read more than once are stored in the shared folder. At large scale
+    give ``strategy="ivf"``; the exact search may have to compare all with all.
     """
     clean, _ = preprocess(products, order=order)
     sized = add_sentence(product_regex(clean), keep_columns)
     encoded = _stored(encoder.transform(sized), "encoded")
     candidates = _stored(block_pairs(encoded, top_k, threshold, strategy=strategy), "candidates")
-    sentences = serialize(candidates, encoded, keep_columns)
-    matches = _stored(match_pairs(sentences, scorer, match_threshold), "matches")
+    wanted = candidates if cached is None else without_cached(candidates, cached)
+    scored = match_pairs(serialize(wanted, encoded, keep_columns), scorer, match_threshold)
+    if cached is not None:
+        known = cached.join(candidates, ["id1", "id2"], "left_semi").select("id1", "id2", "match", "prob")
+        scored = with_cached(scored, known)
+    matches = _stored(scored, "matches")
     clusters = cluster_matches(matches, encoded, min_cluster_size)
     return MatchResult(encoded, candidates, matches, clusters)
 
 
+def _write_tables(table: DataFrame, history: DataFrame, path: str, run: str) -> None:
+    """A run's cluster table and the history it adds, each in the run's own folder."""
+    write_run(table, f"{path}/master_product_clusters", run)
+    write_run(history, f"{path}/master_product_status_histories", run)
+
+
 def run_match_job(
-    store: TableStore, run_id: str, products: DataFrame, encoder: Any, scorer: PairScorer,
+    clusters: DataFrame, path: str, run: str, products: DataFrame, encoder: Any, scorer: PairScorer,
     now: datetime, **options,
-) -> int:
-    """Match job with its result stored as unnamed clusters; safe to repeat with one run id."""
+) -> None:
+    """Match job with its result stored as unnamed clusters after the table ``clusters``.
+
+    The new table is ``<path>/master_product_clusters/run=<run>``; a repeated run
+    replaces its own output. What the job kept in the shared folder is removed.
+    """
     size = options.get("min_cluster_size", MIN_CLUSTER_SIZE)
-    result = match_products(products, encoder, scorer, **options)
-    table, history = save_clusters(
-        store.read("master_product_clusters"), result.clusters, result.products, size, now
-    )
-    return store.commit(
-        run_id, {"master_product_clusters": table}, {"master_product_status_histories": history}
-    )
+    with scratch_scope(products.sparkSession):
+        result = match_products(products, encoder, scorer, **options)
+        _write_tables(*save_clusters(clusters, result.clusters, result.products, size, now), path, run)
 
 
 def match_to_masters(
@@ -133,15 +147,13 @@ def match_to_masters(
 
 
 def run_one_shot_job(
-    store: TableStore, run_id: str, products: DataFrame, masters: DataFrame, encoder: Any,
+    clusters: DataFrame, path: str, run: str, products: DataFrame, masters: DataFrame, encoder: Any,
     scorer: PairScorer, now: datetime, **options,
-) -> int:
-    """One-shot job with its result stored as suggestions."""
-    matches = match_to_masters(products, masters, encoder, scorer, **options)
-    table, history = save_suggestions(store.read("master_product_clusters"), matches, now)
-    return store.commit(
-        run_id, {"master_product_clusters": table}, {"master_product_status_histories": history}
-    )
+) -> None:
+    """One-shot job with its result stored as suggestions, as in :func:`run_match_job`."""
+    with scratch_scope(products.sparkSession):
+        matches = match_to_masters(products, masters, encoder, scorer, **options)
+        _write_tables(*save_suggestions(clusters, matches, now), path, run)
 
 
 class TrainResult(NamedTuple):
@@ -159,26 +171,45 @@ def _fit_and_report(pairs: DataFrame, key: str, test_fraction: float, threshold:
     return TrainResult(scorer, classification_report(scored), train, test)
 
 
+def labelled_products(
+    products: DataFrame, masters: DataFrame | None, max_rows: int | None, order: str = "name"
+) -> DataFrame:
+    """The labelled offers a training job fits on.
+
+    With ``masters`` the products come as they are: cleaned, one row per id, named by
+    their master. Without, they are taken to be so already. ``max_rows`` bounds the
+    labelled rows used to fit to about as many, drawn by id; as pairs of offers grow
+    with the square of a master's size, so does a job without this bound.
+    """
+    ready = products if masters is None else preprocess(products, masters, order)[1]
+    if max_rows is None:
+        return ready
+    ready = _stored(ready, "ready")
+    n = ready.count()
+    return ready if n <= max_rows else sample_fraction(ready, "id", max_rows / n)
+
+
 def train_matcher(
-    products: DataFrame, encoder: Any, *, keep_columns: Sequence[str] = DEFAULT_COLUMNS,
-    test_fraction: float = TEST_FRACTION, threshold: float = 0.5, strategy: str = "exact",
+    products: DataFrame, encoder: Any, *, masters: DataFrame | None = None,
+    keep_columns: Sequence[str] = DEFAULT_COLUMNS, test_fraction: float = TEST_FRACTION, threshold: float = 0.5,
+    strategy: str = "exact", max_rows: int | None = None,
 ) -> TrainResult:
-    """Matcher training job over labelled products: pairs, texts, split, fit, report."""
-    encoded = _stored(encoder.transform(products), "labelled")
+    """Matcher training job: clean and label, pairs, texts, split, fit, report. The scorer can be saved."""
+    encoded = _stored(encoder.transform(labelled_products(products, masters, max_rows)), "labelled")
     pairs = training_pairs(encoded, strategy=strategy)
     texts = serialize(pairs, encoded, keep_columns)
-    keyed = _stored(texts.withColumn("__key", F.abs(F.xxhash64("id1", "id2") % F.lit(1 << 40))), "pairs")
+    keyed = _stored(texts.withColumn("__key", F.concat_ws("-", "id1", "id2")), "pairs")
     return _fit_and_report(keyed, "__key", test_fraction, threshold)
 
 
 def train_one_shot(
-    products: DataFrame, encoder: Any, *, test_fraction: float = TEST_FRACTION,
-    threshold: float = 0.5, strategy: str = "exact",
+    products: DataFrame, encoder: Any, *, masters: DataFrame | None = None, test_fraction: float = TEST_FRACTION,
+    threshold: float = 0.5, strategy: str = "exact", max_rows: int | None = None,
 ) -> TrainResult:
     """One-shot training job: product names against master names."""
-    encoded = _stored(encoder.transform(products), "labelled")
+    encoded = _stored(encoder.transform(labelled_products(products, masters, max_rows)), "labelled")
     pairs = one_shot_pairs(encoded, strategy=strategy)
-    key = F.abs(F.xxhash64("sent1", "sent2", "match") % F.lit(1 << 40))
+    key = F.concat_ws("|", "sent1", "sent2", F.col("match").cast("string"))
     return _fit_and_report(_stored(pairs.withColumn("__key", key), "pairs"), "__key", test_fraction, threshold)
 
 
@@ -189,11 +220,11 @@ def evaluate_blocker(labelled_pairs: DataFrame, products: DataFrame) -> DataFram
 
 
 def train_blocker_set(
-    products: DataFrame, encoder: Any, *, keep_columns: Sequence[str] = DEFAULT_COLUMNS,
-    strategy: str = "exact",
+    products: DataFrame, encoder: Any, *, masters: DataFrame | None = None,
+    keep_columns: Sequence[str] = DEFAULT_COLUMNS, strategy: str = "exact", max_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Blocker training set and the evaluation of the present vectors on it."""
-    encoded = _stored(encoder.transform(products), "labelled")
+    encoded = _stored(encoder.transform(labelled_products(products, masters, max_rows)), "labelled")
     pairs = _stored(training_pairs(encoded, strategy=strategy), "pairs")
     return serialize(pairs, encoded, keep_columns), evaluate_blocker(pairs, encoded)
 
@@ -249,7 +280,7 @@ def training_files(
     labelled = read_csv(spark, products_path, schema).where(F.col("master_product").isNotNull())
     encoded = _stored(encoder.transform(labelled), "labelled")
     texts = serialize(training_pairs(encoded, strategy=strategy), encoded, keep_columns)
-    keyed = texts.withColumn("__key", F.abs(F.xxhash64("id1", "id2") % F.lit(1 << 40)))
+    keyed = texts.withColumn("__key", F.concat_ws("-", "id1", "id2"))
     line = F.concat_ws("\t", "sent1", "sent2", F.col("match").cast("string"))
     split = assign_split(keyed, "__key").select(line.alias("value"), "set")
     write_split_text(split, output_path)
@@ -258,7 +289,7 @@ def training_files(
 
 def match_files(spark: SparkSession, products_path: str, output_path: str, encoder: Any, scorer: PairScorer,
                 schema=None, **options) -> DataFrame:
-    """File-based run: CSV in, every product with its cluster number out as CSV."""
+    """File-based run: CSV in, every complete product with its cluster number out as CSV."""
     result = match_products(read_csv(spark, products_path, schema), encoder, scorer, **options)
     numbered = cluster_all(result.products.drop("vec", "sent"), result.matches)
     write_csv(numbered, output_path)

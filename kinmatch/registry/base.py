@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.numeric import DRAW_MODULUS
 from ..session import use_all_cores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,9 +47,9 @@ def braced(sql: str, *names: str) -> str:
     return out
 
 
-# Offers: a vector each, attributes from the part of the same number.
+# Offers: every part, with the vector that its number comes to.
 PRODUCTS = """
-SELECT e.vec_id AS id, p.p_name AS name, p.p_type AS description, p.p_retailprice AS price,
+SELECT p.p_partkey AS id, p.p_name AS name, p.p_type AS description, p.p_retailprice AS price,
        CAST(floor(p.p_size / 10.0) AS BIGINT) AS quantity,
        CAST(length(p.p_type) AS BIGINT) AS volume,
        CASE WHEN p.p_type = 'PROMO' THEN NULL ELSE CAST(length(p.p_name) AS BIGINT) END AS weight,
@@ -56,7 +57,8 @@ SELECT e.vec_id AS id, p.p_name AS name, p.p_type AS description, p.p_retailpric
        CAST(length(p.p_type) AS BIGINT) AS product_category_id,
        p.p_brand || ' ' || p.p_name AS master_product,
        e.label AS label, e.embedding AS vec
-FROM embeddings e LEFT JOIN part p ON p.p_partkey = e.vec_id
+FROM (SELECT *, (SELECT count(*) FROM embeddings v) AS n_vectors FROM part q) p
+LEFT JOIN embeddings e ON e.vec_id = p.p_partkey % p.n_vectors
 """
 
 # Masters: the first offer of each brand and name stands for it.
@@ -86,6 +88,17 @@ SELECT c_custkey AS id, c_custkey AS id_source, c_name AS name, c_mktsegment AS
 FROM customer t
 """
 
+def portable_draw(key: str, seed: int = 0) -> str:
+    """SQL of :func:`kinmatch.functions.numeric.draw` over one key."""
+    text = f"coalesce(CAST({key} AS VARCHAR), '') || ':{seed}'"
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
+def upto(fraction: float) -> int:
+    """The draw at which a fraction ends."""
+    return int(fraction * DRAW_MODULUS)
+
+
 # Cosine similarity of every two vectors, for the brute-force side only.
 SIMILARITY = "round(list_cosine_similarity(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])), 9)"
 

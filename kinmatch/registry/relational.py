@@ -199,14 +199,13 @@ def pair_names(spark, sf):
 
 @query(
     "pair_images",
-    """SELECT a.doc_id AS id1, b.doc_id AS id2, a.quality AS match, p1.url AS url1, p2.url AS url2
-       FROM labels a JOIN (SELECT doc_id, quality FROM labels) b ON b.doc_id = a.doc_id
-       LEFT JOIN pages p1 ON p1.page_id = a.doc_id LEFT JOIN pages p2 ON p2.page_id = b.doc_id""",
+    """SELECT doc_id AS id1, doc_id + 1 AS id2, quality AS match, p1.url AS url1, p2.url AS url2
+       FROM labels LEFT JOIN pages p1 ON p1.page_id = doc_id LEFT JOIN pages p2 ON p2.page_id = doc_id + 1""",
 )
 def pair_images(spark, sf):
     pages = table(spark, sf, "pages").select(F.col("page_id").alias("id"), "url")
     pairs = table(spark, sf, "labels").select(
-        F.col("doc_id").alias("id1"), F.col("doc_id").alias("id2"), F.col("quality").alias("match")
+        F.col("doc_id").alias("id1"), (F.col("doc_id") + 1).alias("id2"), F.col("quality").alias("match")
     )
     return rows.lookup_both(pairs, pages, ["url"])
 

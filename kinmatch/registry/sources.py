@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.sampling import assign_split
-from ..operators.state import TableStore, save_clusters
+from ..operators.state import read_run, read_runs, save_clusters, write_run
 from ..session import scratch_path
 from ..sources import files
 from ..sources.vector_index import build_index, load_index, save_index, search_index
-from .base import clusters, customer_products, query, similarity, table
+from .base import clusters, customer_products, portable_draw, query, similarity, table, upto
 from .state import MIN_SIZE, NOW
-from .text import portable_draw
 from .vectors import TOP_K, _embeddings
 
 
@@ -21,7 +20,7 @@ def csv_round_trip(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
     path = scratch_path(spark, "csv")
     files.write_csv(docs, path)
-    return files.read_csv(spark, path, docs.schema)
+    return files.read_csv(spark, path, docs.schema, multi_line=True)
 
 
 @query(
@@ -40,8 +39,8 @@ def pair_text_scan(spark, sf):
 
 @query(
     "split_text_sink",
-    f"""SELECT CASE WHEN {portable_draw('o_orderkey')} < 800002 THEN 'train'
-                    WHEN {portable_draw('o_orderkey')} < 900002 THEN 'val' ELSE 'test' END AS set,
+    f"""SELECT CASE WHEN {portable_draw('o_orderkey')} < {upto(0.8)} THEN 'train'
+                    WHEN {portable_draw('o_orderkey')} < {upto(0.9)} THEN 'val' ELSE 'test' END AS set,
                CAST(o_orderkey AS VARCHAR) || ' ' || o_orderpriority AS value FROM orders""",
 )
 def split_text_sink(spark, sf):
@@ -76,25 +75,31 @@ def saved_index_search(spark, sf):
 
 
 @query(
-    "committed_tables",
+    "run_tables",
     f"""SELECT 'before' AS version, count(*) AS n_rows, count(*) FILTER (WHERE o_orderstatus = 'O') AS n_unnamed FROM orders
         UNION ALL
         SELECT 'after', CAST((SELECT count(*) FROM orders) + coalesce(sum(n), 0) AS BIGINT), CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
+          SELECT count(*) AS n FROM customer WHERE NOT c_acctbal > 5000 GROUP BY c_nationkey HAVING count(*) >= {MIN_SIZE}) t
+        UNION ALL
+        SELECT 'history', CAST((SELECT count(*) FROM orders WHERE o_orderstatus = 'O') + coalesce(sum(n), 0) AS BIGINT), 0 FROM (
           SELECT count(*) AS n FROM customer WHERE NOT c_acctbal > 5000 GROUP BY c_nationkey HAVING count(*) >= {MIN_SIZE}) t""",
 )
-def committed_tables(spark, sf):
-    """A cluster table before and after a run's commit, as its readers see it."""
-    store = TableStore(spark, scratch_path(spark, "store"))
-    store.commit("start", {"clusters": clusters(spark, sf)})
+def run_tables(spark, sf):
+    """A cluster table before and after a run, and the history, as their readers see them."""
+    path = scratch_path(spark, "tables")
+    write_run(clusters(spark, sf), f"{path}/clusters", "1")
+    offers = customer_products(spark, sf)
+    found = offers.select("id", F.col("main_category").alias("cluster"))
+    current, history = save_clusters(read_run(spark, f"{path}/clusters", "1"), found, offers, MIN_SIZE, F.expr(NOW))
+    write_run(current, f"{path}/clusters", "2")
+    write_run(history, f"{path}/histories", "2")
 
-    def seen(label):
+    def seen(label, run):
         unnamed = F.count_if(F.col("master_product_status_id") == 1)
-        return store.read("clusters").agg(F.count("*").alias("n_rows"), unnamed.alias("n_unnamed")).select(
+        return read_run(spark, f"{path}/clusters", run).agg(F.count("*").alias("n_rows"), unnamed.alias("n_unnamed")).select(
             F.lit(label).alias("version"), "n_rows", "n_unnamed"
         )
 
-    before, offers = seen("before"), customer_products(spark, sf)
-    found = offers.select("id", F.col("main_category").alias("cluster"))
-    current, history = save_clusters(store.read("clusters"), found, offers, MIN_SIZE, F.expr(NOW))
-    store.commit("run", {"clusters": current}, {"histories": history})
-    return before.unionByName(seen("after"))
+    lines = read_runs(spark, f"{path}/histories").agg(F.count("*").alias("n_rows"))
+    noted = lines.select(F.lit("history").alias("version"), "n_rows", F.lit(0).cast("bigint").alias("n_unnamed"))
+    return seen("before", "1").unionByName(seen("after", "2")).unionByName(noted)

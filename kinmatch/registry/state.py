@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import state
+from ..session import scratch_path
 from .base import CLUSTERS, CUSTOMER_PRODUCTS, clusters, customer_products, query, table
 
 NOW = "TIMESTAMP '2024-06-01 00:00:00'"
@@ -171,10 +172,10 @@ def register_latest(spark, sf):
     "register_model",
     f"""SELECT event_id AS id, props AS name, props AS blob, event_type <> 'click' AS in_use, event_type AS tag,
                ts AS created_at FROM events
-        UNION ALL SELECT max(event_id) + 1, 'model7', 'gs://models/model7', TRUE, 'click', {NOW} FROM events""",
+        UNION ALL SELECT max(event_id) + 1, 'model7', 'models/model7', TRUE, 'click', {NOW} FROM events""",
 )
 def register_model(spark, sf):
-    return state.register_model(_models(spark, sf), "gs://models/model7", "click", F.expr(NOW))
+    return state.register_model(_models(spark, sf), "models/model7", "click", F.expr(NOW))
 
 
 @query(
@@ -192,10 +193,28 @@ def register_model(spark, sf):
         FROM joined""",
 )
 def change_gate(spark, sf):
+    return _decided(spark, sf)[0]
+
+
+def _decided(spark, sf):
     customer, supplier, orders = (table(spark, sf, t) for t in ("customer", "supplier", "orders"))
     counted = customer.groupBy(F.col("c_nationkey").alias("gate")).agg(F.count("*").alias("count_now"))
     stored = supplier.groupBy(F.col("s_nationkey").alias("gate")).agg((10 * F.count("*")).alias("stored_count"))
     stored = stored.withColumn("last_run", F.expr("TIMESTAMP '2001-07-01 00:00:00'"))
     urgent = orders.where("o_orderpriority = '1-URGENT'").join(customer, F.col("c_custkey") == F.col("o_custkey"))
     newest = urgent.groupBy(F.col("c_nationkey").alias("gate")).agg(F.max("o_orderdate").alias("created_at"))
-    return state.change_gate(counted, stored, 5, newest)
+    return state.change_gate(counted, stored, 5, newest), counted, stored, newest
+
+
+@query(
+    "change_gate_again",
+    """SELECT c_nationkey AS gate, FALSE AS triggered FROM customer GROUP BY 1""",
+)
+def change_gate_again(spark, sf):
+    """The gates once more right after a run that stored what it counted: nothing has changed since."""
+    decided, counted, stored, newest = _decided(spark, sf)
+    path = scratch_path(spark, "gates")
+    state.write_run(state.advance_gates(decided, stored, F.expr(NOW)), path, "1")
+    again = state.change_gate(counted, state.read_run(spark, path, "1"), 5, newest)
+    # a gate that had no stored count has never run; newer models start it only once it has
+    return again.select("gate", F.coalesce("triggered", F.lit(False)).alias("triggered"))

@@ -8,7 +8,7 @@ from ..functions import numeric, text
 from ..operators import rows, sampling
 from ..operators import serialize as ser
 from ..plans import products as prep
-from .base import PRODUCTS, braced, products, query, table, spread, views
+from .base import PRODUCTS, braced, portable_draw, products, query, spread, table, upto, views
 
 # Parts whose description carries a pack size in the forms the extraction knows.
 SIZED = """
@@ -264,8 +264,8 @@ def serialize_lookup(spark, sf):
                len(list_filter(masked, lambda t: t = '[MASK]')) AS n_masked,
                array_to_string(masked, ' ') AS masked_text
         FROM (SELECT doc_id, tokens, list_transform(tokens, lambda t, i:
-                CASE WHEN ((doc_id * 1000 + i - 1) % {numeric.DRAW_MODULUS}) * {numeric.DRAW_MULTIPLIER}
-                          % {numeric.DRAW_MODULUS} < {int(sampling.MASK_RATE * numeric.DRAW_MODULUS)}
+                CASE WHEN {portable_draw("CAST(doc_id AS VARCHAR) || ':' || CAST(i - 1 AS VARCHAR)")}
+                          < {int(sampling.MASK_RATE * numeric.DRAW_MODULUS)}
                      THEN '[MASK]' ELSE t END) AS masked
               FROM (SELECT doc_id, string_split(text, ' ') AS tokens FROM documents) s) u""",
 )
@@ -280,16 +280,9 @@ def mlm_mask(spark, sf):
     )
 
 
-_DRAW = f"(({{key}} % {numeric.DRAW_MODULUS}) * {numeric.DRAW_MULTIPLIER}) % {numeric.DRAW_MODULUS}"
-
-
-def portable_draw(key: str) -> str:
-    return _DRAW.format(key=key)
-
-
 @query(
     "split_two",
-    f"""SELECT o_orderkey, CASE WHEN {portable_draw('o_orderkey')} < 800002 THEN 'train' ELSE 'test' END AS set
+    f"""SELECT o_orderkey, CASE WHEN {portable_draw('o_orderkey')} < {upto(0.8)} THEN 'train' ELSE 'test' END AS set
         FROM orders""",
 )
 def split_two(spark, sf):
@@ -299,8 +292,8 @@ def split_two(spark, sf):
 
 @query(
     "split_three",
-    f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN {portable_draw('l_orderkey')} < 800002 THEN 'train'
-               WHEN {portable_draw('l_orderkey')} < 900002 THEN 'val' ELSE 'test' END AS set FROM lineitem""",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN {portable_draw('l_orderkey')} < {upto(0.8)} THEN 'train'
+               WHEN {portable_draw('l_orderkey')} < {upto(0.9)} THEN 'val' ELSE 'test' END AS set FROM lineitem""",
 )
 def split_three(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
@@ -308,21 +301,19 @@ def split_three(spark, sf):
 
 
 @query(
-    "split_exact_sizes",
-    """SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) AS n_test, CAST(count(*) - ceil(count(*) * 0.2) AS BIGINT) AS n_train
-       FROM orders""",
+    "split_exact",
+    f"""SELECT o_orderkey, CASE WHEN r <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS set FROM (
+          SELECT o_orderkey, count(*) OVER () AS n, row_number() OVER (ORDER BY {portable_draw('o_orderkey')}, o_orderkey) AS r
+          FROM orders) t""",
 )
-def split_exact_sizes(spark, sf):
-    marked = sampling.assign_split_exact(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
-    return marked.agg(
-        F.count_if(F.col("set") == "test").alias("n_test"), F.count_if(F.col("set") == "train").alias("n_train")
-    )
+def split_exact(spark, sf):
+    return sampling.assign_split_exact(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
 
 
 @query(
     "sample_balanced",
     f"""SELECT doc_id, quality AS match FROM labels WHERE quality = 1
-        UNION ALL SELECT doc_id, quality FROM labels WHERE {portable_draw('doc_id')} < 250000""",
+        UNION ALL SELECT doc_id, quality FROM labels WHERE {portable_draw('doc_id')} < {upto(0.25)}""",
 )
 def sample_balanced(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("match"))
@@ -330,15 +321,31 @@ def sample_balanced(spark, sf):
 
 
 @query(
-    "sample_rows_profile",
-    "SELECT least(1000, count(*)) AS n_rows, least(1000, count(*)) AS n_distinct, 0 AS n_foreign FROM orders",
+    "sample_rows",
+    f"""SELECT o_orderkey FROM orders ORDER BY {portable_draw('o_orderkey')}, o_orderkey LIMIT 1000""",
 )
-def sample_rows_profile(spark, sf):
-    """A sample of 1000 rows: its size, its distinct rows, and rows not of the table."""
-    orders = table(spark, sf, "orders").select("o_orderkey")
-    drawn = sampling.sample_rows(orders, "o_orderkey", 1000)
-    known = drawn.join(orders.withColumn("known", F.lit(1)), "o_orderkey", "left")
-    return known.agg(
-        F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_distinct"),
-        F.count_if(F.col("known").isNull()).cast("int").alias("n_foreign"),
-    )
+def sample_rows(spark, sf):
+    return sampling.sample_rows(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 1000)
+
+
+@query(
+    "rebalance_rows",
+    f"""SELECT doc_id, quality AS match FROM labels WHERE quality = 1
+        UNION ALL SELECT * FROM (SELECT doc_id, quality FROM labels ORDER BY {portable_draw('doc_id')}, doc_id LIMIT 100) t""",
+)
+def rebalance_rows(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("match"))
+    return sampling.rebalance(labels, "doc_id", 100)
+
+
+@query(
+    "shuffle_rows",
+    f"""SELECT doc_id, row_number() OVER (ORDER BY {portable_draw('doc_id')}, doc_id) AS place FROM labels""",
+)
+def shuffle_rows(spark, sf):
+    """The shuffled order as a number."""
+    from pyspark.sql import Window as W
+
+    shuffled = sampling.shuffle_rows(table(spark, sf, "labels").select("doc_id"), "doc_id")
+    numbered = shuffled.withColumn("seq", F.monotonically_increasing_id())
+    return numbered.select("doc_id", F.row_number().over(W.orderBy("seq")).cast("bigint").alias("place"))

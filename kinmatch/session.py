@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SCOPES: list[list[str]] = []
+
+
 def build_session(app: str = "kinmatch", cpus: int | str = "*", **conf: str) -> SparkSession:
     """Local session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -27,22 +31,40 @@ def build_session(app: str = "kinmatch", cpus: int | str = "*", **conf: str) ->
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a temporary folder, since its executors share this machine.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, it is a folder
+    of this application under the warehouse, which all executors reach as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="kinmatch-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    root = f"{warehouse}/kinmatch_scratch/{spark.sparkContext.applicationId}"
     spark.sparkContext.setCheckpointDir(root)
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, noted in the innermost open scope."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what :func:`scratch_path` handed out inside, once the block is left.
+
+    For jobs whose result is written before the block ends. Checkpoints are Spark's
+    own to remove (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

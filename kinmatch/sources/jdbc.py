@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
-# Fixed value: environment variable that holds the connection string.
-ENDPOINT_VARIABLE = "SQL_ENDPOINT"
+# Environment variable that may hold the connection string.
+ENDPOINT_VARIABLE = "KINMATCH_JDBC_URL"
 
 
 def endpoint(url: str | None = None) -> str:

@@ -6,13 +6,14 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.blocking import block_to_masters
 from ..operators.scoring import MATCH_THRESHOLD, PairScorer, match_pairs
-from ..operators.state import TableStore, save_suggestions
+from ..operators.state import add_suggestions, read_runs, write_run
 from ..plans.products import product_regex
 from ..session import cut_lineage
 
@@ -63,19 +64,24 @@ def start_monitor(
 
 
 def suggestion_sink(
-    store: TableStore, masters: DataFrame, encoder: Any, scorer: PairScorer, run_prefix: str, **options
+    spark: SparkSession, path: str, masters: DataFrame, encoder: Any, scorer: PairScorer, run_prefix: str,
+    now: datetime | Column | None = None, **options
 ) -> Callable[[DataFrame, int], None]:
-    """Store each batch's suggestions; the batch number is the run id, so repeats are harmless."""
+    """Add each batch's suggestions to ``<path>/master_product_clusters`` and its history.
+
+    The tables are written run by run. A batch writes its own rows only, under the
+    run of its number, so a repeated batch replaces just these. ``now`` defaults to
+    the time of the batch.
+    """
+    clusters, histories = f"{path}/master_product_clusters", f"{path}/master_product_status_histories"
 
     def on_batch(batch: DataFrame, number: int) -> None:
+        run = f"{run_prefix}-{number}"
         matches = match_batch(batch, masters, encoder, scorer, **options)
-        table, history = save_suggestions(
-            store.read("master_product_clusters"), matches, datetime.now(timezone.utc), expire=False
-        )
-        store.commit(
-            f"{run_prefix}-{number}",
-            {"master_product_clusters": table},
-            {"master_product_status_histories": history},
-        )
+        earlier = read_runs(spark, clusters).where(F.col("run") != run).drop("run")
+        added, history = add_suggestions(earlier, matches, now if now is not None else datetime.now(timezone.utc))
+        stored = cut_lineage(added)
+        write_run(stored, clusters, run)
+        write_run(history, histories, run)
 
     return on_batch

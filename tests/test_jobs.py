@@ -5,11 +5,18 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from kinmatch.operators.encode import ModelEncoder, TableEncoder, fit_tfidf, fit_word2vec
-from kinmatch.operators.scoring import ColumnScorer, ModelScorer, edit_ratio, match_pairs, token_jaccard
-from kinmatch.operators.state import TableStore
+from kinmatch.operators.encode import ModelEncoder, StageEncoder, TableEncoder, TfidfEncoder, fit_tfidf, fit_word2vec
+from kinmatch.operators.scoring import (
+    ClassifierScorer,
+    ColumnScorer,
+    ModelScorer,
+    edit_ratio,
+    match_pairs,
+    token_jaccard,
+)
+from kinmatch.operators.state import read_run, read_runs, write_run
 from kinmatch.plans import jobs
-from kinmatch.schemas import PRODUCT_CLUSTERS, SCORED_PAIRS, STATUS_HISTORIES
+from kinmatch.schemas import PRODUCT_CLUSTERS, SCORED_PAIRS
 from kinmatch.session import scratch_path
 from kinmatch.sources.files import read_csv, read_pair_text
 from kinmatch.streaming import monitor
@@ -38,41 +45,77 @@ def scorer():
     return ColumnScorer(edit_ratio("sent1", "sent2"))
 
 
-def store(spark):
-    s = TableStore(spark, scratch_path(spark, "jobs"))
-    s.commit("start", {"master_product_clusters": spark.createDataFrame([], PRODUCT_CLUSTERS)},
-             {"master_product_status_histories": spark.createDataFrame([], STATUS_HISTORIES)})
-    return s
+def none_yet(spark):
+    return spark.createDataFrame([], PRODUCT_CLUSTERS)
 
 
 def test_match_job_stores_one_cluster_per_name(spark, offers, encoder):
-    s = store(spark)
+    path = scratch_path(spark, "jobs")
     options = {"top_k": 12, "threshold": 0.5, "match_threshold": 0.85}
     products = offers.drop("master_product")
-    version = jobs.run_match_job(s, "r1", products, encoder, scorer(), NOW, **options)
-    again = jobs.run_match_job(s, "r1", products, encoder, scorer(), NOW, **options)
-    assert version == again == 2
-    saved = s.read("master_product_clusters").collect()
+    for _ in range(2):  # a repeated run replaces its own output
+        jobs.run_match_job(none_yet(spark), path, "r1", products, encoder, scorer(), NOW, **options)
+    saved = read_run(spark, f"{path}/master_product_clusters", "r1").collect()
     by_cluster = {}
     for r in saved:
         by_cluster.setdefault(r["cluster_id"], set()).add(r["internal_product_id"] % 4)
         assert r["internal_product_id"] % 8 and r["master_product_status_id"] == 1
     assert all(len(kinds) == 1 for kinds in by_cluster.values()) and len(by_cluster) >= 4
-    assert s.read("master_product_status_histories").count() == len(saved)
+    assert read_runs(spark, f"{path}/master_product_status_histories").count() == len(saved)
 
 
 def test_one_shot_job_stores_suggestions(spark, offers, encoder):
     masters = spark.createDataFrame(
         [(100 + i, n, 1) for i, n in enumerate(NAMES)], "id bigint, name string, product_category_id bigint"
     )
-    s = store(spark)
-    jobs.run_one_shot_job(s, "r1", offers.drop("master_product_id", "master_product"), masters, encoder, scorer(), NOW,
-                          match_threshold=0.5)
-    saved = s.read("master_product_clusters").collect()
+    path = scratch_path(spark, "jobs")
+    jobs.run_one_shot_job(none_yet(spark), path, "r1", offers.drop("master_product_id", "master_product"), masters,
+                          encoder, scorer(), NOW, match_threshold=0.5)
+    saved = read_run(spark, f"{path}/master_product_clusters", "r1").collect()
     assert {(r["internal_product_id"] % 4, r["master_product_id"] - 100) for r in saved} >= {(i, i) for i in range(4)}
     assert {r["master_product_status_id"] for r in saved} == {5}
 
 
+def test_products_without_a_vector_stay(spark, offers, encoder):
+    extra = offers.where("id < 3").withColumn("id", F.col("id") + 1000)
+    products = offers.drop("master_product", "master_product_id").unionByName(
+        extra.drop("master_product", "master_product_id")
+    )
+    stored = TableEncoder(encoder.transform(offers).select("id", "vec"))
+    result = jobs.match_products(products, stored, scorer(), top_k=12, threshold=0.5, match_threshold=0.85)
+    assert result.products.count() == 35 and result.products.where("vec IS NULL").count() == 3
+    numbered = jobs.cluster_all(result.products.drop("vec", "sent"), result.matches)
+    assert numbered.select("id").distinct().count() == 35
+
+
+def test_cached_pairs_keep_their_score(spark, offers, encoder):
+    options = {"top_k": 12, "threshold": 0.5, "match_threshold": 0.85}
+    products = offers.drop("master_product", "master_product_id")
+    fresh = jobs.match_products(products, encoder, scorer(), **options).matches
+    cached = fresh.where("id1 % 2 = 0").withColumn("prob", F.lit(7.0))
+    again = jobs.match_products(products, encoder, scorer(), cached=cached, **options).matches
+    assert again.count() == fresh.count()
+    assert {r["id1"] % 2 for r in again.where("prob = 7").collect()} == {0}
+    assert again.where("prob < 7 AND id1 % 2 = 0").count() == 0
+
+
+def test_training_on_raw_products_and_a_bound(spark, offers, encoder):
+    masters = spark.createDataFrame(
+        [(i, n, None, None, None, None) for i, n in enumerate(NAMES)],
+        "id bigint, name string, weight double, volume double, quantity double, uom string",
+    )
+    raw = offers.drop("master_product").withColumn("master_product_id", F.col("id") % 4)
+    named = jobs.labelled_products(raw, masters, None)
+    assert named.count() == 32 and {r["master_product"] for r in named.collect()} == set(NAMES)
+    bounded = jobs.labelled_products(raw, masters, 16).count()
+    assert 6 <= bounded <= 26
+    result = jobs.train_matcher(raw, encoder, masters=masters)
+    path = scratch_path(spark, "scorer")
+    result.scorer.save(path)
+    again = ClassifierScorer.load(path).score(result.test).select("id1", "id2", "prob").collect()
+    assert sorted(again) == sorted(result.scorer.score(result.test).select("id1", "id2", "prob").collect())
+
+
 def test_training_jobs_report_on_the_held_out_part(offers, encoder):
     result = jobs.train_matcher(offers, encoder)
     labels = {r["label"] for r in result.report.collect()}
@@ -138,7 +181,31 @@ def test_encoders(spark, offers, encoder):
     words = fit_word2vec(offers, "name", dims=8, min_count=1).transform(offers).first()
     assert len(words["vec"]) == 8
     stored = TableEncoder(spark.createDataFrame([(1, [1.0])], "id bigint, vec array<float>"))
-    assert stored.transform(offers).count() == 1
+    assert stored.transform(offers).count() == 32 and stored.transform(offers).where("vec IS NOT NULL").count() == 1
+
+
+def test_texts_that_are_null_keep_their_rows(spark, offers, encoder):
+    rows = spark.createDataFrame([(1, None), (2, "susu"), (3, "zzz qqq")], "id bigint, name string")
+    coded = {r["id"]: r["vec"] for r in encoder.transform(rows).collect()}
+    assert coded[1] is None and len(coded[2]) == 64 and set(coded[3]) == {0.0}
+    words = fit_word2vec(offers, "name", dims=8)
+    assert {r["id"]: r["vec"] is None for r in words.transform(rows).collect()} == {1: True, 2: False, 3: False}
+    model = ModelEncoder(lambda: None, lambda m, texts: [[float(len(t))] for t in texts], "name")
+    assert {r["id"]: r["vec"] for r in model.transform(rows).collect()} == {1: None, 2: [4.0], 3: [7.0]}
+
+
+def test_encoders_come_back_from_files(spark, offers, encoder):
+    for fitted, kind in ((encoder, TfidfEncoder), (fit_word2vec(offers, "name", dims=4), StageEncoder)):
+        path = scratch_path(spark, "encoder")
+        fitted.save(path)
+        again = kind.load(spark, path)
+        key = lambda r: r["id"]
+        assert sorted(again.transform(offers).collect(), key=key) == sorted(fitted.transform(offers).collect(), key=key)
+
+
+def test_word_vectors_refuse_a_vocabulary_beyond_their_bound(offers):
+    with pytest.raises(ValueError, match="max_words"):
+        fit_word2vec(offers, "name", max_words=3)
 
 
 def test_token_jaccard(spark):
@@ -153,13 +220,13 @@ def test_monitor_matches_each_arrival_once(spark, offers, encoder):
                               "id bigint, name string, product_category_id bigint")
     )
     incoming = offers.select("id", "name", "description", "product_category_id")
-    s = store(spark)
-    sink = monitor.suggestion_sink(s, masters, encoder, scorer(), "stream", match_threshold=0.5)
+    write_run(none_yet(spark), f"{root}/master_product_clusters", "start")
+    sink = monitor.suggestion_sink(spark, root, masters, encoder, scorer(), "stream", match_threshold=0.5)
 
     def run():
         stream = monitor.new_products(spark, f"{root}/in", incoming.schema)
         monitor.start_monitor(stream, f"{root}/progress", sink).awaitTermination()
-        return s.read("master_product_clusters").where("master_product_status_id = 5")
+        return read_runs(spark, f"{root}/master_product_clusters").where("master_product_status_id = 5")
 
     incoming.where("id < 16").write.mode("append").parquet(f"{root}/in")
     first = run()

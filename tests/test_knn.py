@@ -146,3 +146,47 @@ def test_unknown_strategy(spark, clustered):
     items = table(spark, clustered[:5])
     with pytest.raises(ValueError, match="strategy"):
         knn.knn_join(items, items, 1, strategy="guess")
+
+
+def test_ivf_means_the_same_at_every_size(spark):
+    rng = np.random.default_rng(5)
+    items = spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(100, 8)))], "id bigint, vec array<float>"
+    )
+    exact = knn.knn_self(items, 6).collect()
+    near = knn.knn_self(items, 6, strategy="ivf", probes=2).collect()
+    found = {(r["id"], r["nn_id"]) for r in near}
+    assert 0.2 < len(found & {(r["id"], r["nn_id"]) for r in exact}) / len(exact) < 1
+
+
+def test_vectors_that_are_not_numbers_take_no_part(spark):
+    items = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [float("nan"), 1.0]), (4, None), (5, [float("inf"), 0.0])],
+        "id bigint, vec array<double>",
+    )
+    hits = {(r["q_id"], r["b_id"]) for r in knn.knn_join(items, items, 3, without_self=True).collect()}
+    assert hits == {(1, 2), (2, 1)}
+
+
+def test_more_copies_than_the_window_limit(spark):
+    same = spark.range(5000).select("id", F.array(F.lit(1.0), F.lit(0.5)).alias("b_vec"))
+    kept = knn._first_copies(same.withColumnRenamed("id", "b_id"), 1600)
+    assert sorted(r["b_id"] for r in kept.collect()) == list(range(1600))
+
+
+def test_a_literal_k_is_cut_before_the_shuffle(spark):
+    items = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(20)], "id bigint, vec array<double>")
+    text = knn.knn_join(items, items, 3)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in text
+
+
+def test_a_large_master_asks_for_many_neighbours(spark):
+    from kinmatch.operators.pairs import hard_negatives
+
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(300, 4))
+    rows = [(i, [float(x) for x in v], "big" if i < 200 else None) for i, v in enumerate(vectors)]
+    offers = spark.createDataFrame(rows, "id bigint, vec array<float>, master_product string")
+    got = {tuple(r) for r in hard_negatives(offers).collect()}
+    assert {b for _, b in got} <= set(range(200)) and {a for a, _ in got} <= set(range(200, 300))
+    assert len(got) == 200 * 100

@@ -49,19 +49,20 @@ def test_union_skips_absent_sides(spark):
     assert sorted(tuple(r) for r in rows.union_all(a, None, b).collect()) == [(1, "x"), (2, None)]
 
 
-def test_master_maps_and_members_in_chunks(spark):
+def test_master_shares_and_members(spark):
     df = spark.createDataFrame(
-        [(1, f"m{i % 5}", f"n{i}") for i in range(50)] + [(2, None, "solo")],
-        "cluster int, master_product string, name string",
+        [(1, f"m{i % 5}", f"n{i:02}", i) for i in range(50)] + [(2, None, "solo", 50)],
+        "cluster int, master_product string, name string, seq int",
     )
-    whole = {r["cluster"]: r["masters"] for r in rows.master_maps(df).collect()}
-    assert whole == {1: {f"m{i}": 10 for i in range(5)}, 2: {}}
-    parts = [r for r in rows.master_maps(df, chunk_rows=2).collect() if r["cluster"] == 1]
-    merged = {k: v for r in parts for k, v in r["masters"].items()}
-    assert len(parts) > 1 and merged == whole[1]
-    chunks = [r for r in rows.cluster_members(df, chunk_rows=10).collect() if r["cluster"] == 1]
-    assert len(chunks) > 1 and sorted(n for r in chunks for n in r["names"]) == sorted(f"n{i}" for i in range(50))
-    assert {r["size"] for r in chunks} == {50}
+    shares = {(r["cluster"], r["master_product"]): r["n"] for r in rows.master_shares(df).collect()}
+    assert shares == {**{(1, f"m{i}"): 10 for i in range(5)}, (2, None): 0}
+    members = [tuple(r) for r in rows.cluster_members(df, "seq").orderBy("cluster", "position").collect()]
+    assert members == [(1, i + 1, f"n{i:02}", 50) for i in range(50)] + [(2, 1, "solo", 1)]
+
+
+def test_pairs_that_lack_a_member_are_none(spark):
+    pairs = spark.createDataFrame([(None, 5), (5, None), (7, 5), (5, 7), (3, 3)], "id1 int, id2 int")
+    assert sorted(map(tuple, rows.canonical_pairs(pairs).collect())) == [(3, 3), (5, 7)]
 
 
 def test_zscore_of_a_constant_is_zero(spark):

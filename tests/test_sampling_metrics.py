@@ -14,6 +14,19 @@ def test_two_way_split_is_a_partition(spark):
     assert abs(test.count() / 5000 - 0.2) < 0.03
 
 
+@pytest.mark.parametrize("ids", ["id * 1000003", "id + 9223372036854000000", "id * 2"])
+def test_draws_of_strided_and_large_ids_are_even(spark, ids):
+    df = spark.range(4000).selectExpr(f"{ids} AS id")
+    _, test = sampling.split_two(df, "id")
+    assert abs(test.count() / 4000 - 0.2) < 0.03
+
+
+def test_null_keys_are_in_one_set(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,), (None,)], "id int")
+    train, test = sampling.split_two(df, "id")
+    assert train.count() + test.count() == 4
+
+
 def test_three_way_split(spark):
     sizes = {r["set"]: r["count"] for r in sampling.assign_split(spark.range(9000), "id").groupBy("set").count().collect()}
     assert set(sizes) == {"train", "val", "test"} and sum(sizes.values()) == 9000
@@ -45,6 +58,18 @@ def test_masking(spark):
     assert all(out[i]["token"] == tokens[i] for i in (0, 401, 402))
 
 
+def test_masks_of_long_rows_do_not_repeat(spark):
+    tokens = [f"t{i}" for i in range(1500)]
+    df = spark.createDataFrame([(1, tokens), (2, tokens), (1 << 62, tokens)], "id bigint, tokens array<string>")
+    masks = [
+        {i for i, t in enumerate(r["m"]) if t["token"] == "[MASK]"}
+        for r in df.select(sampling.mask_tokens("tokens", "id").alias("m")).collect()
+    ]
+    first, second, _ = masks
+    assert {i - 1000 for i in first if i >= 1000} != {i for i in second if i < 500}
+    assert all(150 < len(m) < 300 for m in masks)
+
+
 def test_classification_report_with_an_unpredicted_class(spark):
     rows = [(0, 0)] * 6 + [(0, 1)] * 2 + [(1, 1)] * 3 + [(1, 0)] * 1 + [(2, 0)] * 1
     df = spark.createDataFrame(rows, "match int, pred int")

@@ -18,9 +18,9 @@ def test_csv_round_trip_with_quotes_and_line_breaks(spark):
     path = scratch_path(spark, "csv")
     df = spark.createDataFrame([(1, 'a "quoted"\nline'), (2, None)], "id bigint, name string")
     files.write_csv(df, path)
-    back = files.read_csv(spark, path, "id bigint, name string")
+    back = files.read_csv(spark, path, "id bigint, name string", multi_line=True)
     assert sorted(map(tuple, back.collect())) == [(1, 'a "quoted"\nline'), (2, None)]
-    assert dict(files.read_csv(spark, path).dtypes)["id"] == "int"
+    assert dict(files.read_csv(spark, path, multi_line=True).dtypes)["id"] == "int"
 
 
 def test_empty_csv_is_an_empty_frame(spark):
@@ -41,12 +41,19 @@ def test_pair_text_with_odd_lines(spark):
     path = local(spark, "odd")
     with open(f"{path}/p.txt", "w") as f:
         f.write("a\tb\t1\tx\nalone\nc\td\t0\n")
-    with pytest.raises(PySparkException, match="more than 3 columns"):
-        files.read_pair_text(spark, path).collect()
     rows = sorted(map(tuple, files.read_pair_text(spark, path, strict=False).collect()))
     assert rows == [("a", "b", None), ("c", "d", 0)]
 
 
+@pytest.mark.parametrize("line", ["alone", "a\tb\t1\tx", "a\tb\tyes", "a\tb\t"])
+def test_pair_text_refuses_odd_lines(spark, line):
+    path = local(spark, "refused")
+    with open(f"{path}/p.txt", "w") as f:
+        f.write(f"c\td\t0\n\n{line}\n")
+    with pytest.raises(PySparkException, match="not 2 columns and a label"):
+        files.read_pair_text(spark, path).collect()
+
+
 def test_split_text_sink(spark):
     path = scratch_path(spark, "split")
     df = spark.createDataFrame([("x", "train"), ("y", "test"), ("z", "train")], "value string, set string")

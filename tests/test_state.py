@@ -44,8 +44,8 @@ def test_suggestions_keep_the_cluster_and_may_only_add(spark, table):
     now, history = state.save_suggestions(table, matches, NOW)
     assert ids(now, "id", "master_product_status_id") == [(1, 1), (2, 2), (3, 4), (4, 5)]
     assert ids(history, *state.HISTORY) == [(3, 5, 4), (4, 5, 5)]
-    now, history = state.save_suggestions(table, matches, NOW, expire=False)
-    assert ids(now, "id", "master_product_status_id") == [(1, 1), (2, 2), (3, 5), (4, 5)]
+    added, history = state.add_suggestions(table, matches, NOW)
+    assert ids(added, "id", "master_product_status_id") == [(4, 5)]
     assert ids(history, *state.HISTORY) == [(4, 5, 5)]
 
 
@@ -56,19 +56,35 @@ def test_nothing_new_on_an_empty_table(spark):
     assert now.count() == 0 and history.count() == 0
 
 
-def test_store_commits_tables_together_and_once(spark, table):
-    store = state.TableStore(spark, scratch_path(spark, "store"))
-    assert store.version() == 0
-    with pytest.raises(ValueError):
-        store.read("clusters")
-    one = spark.createDataFrame([(1, 1, 4)], "a int, b int, c int")
-    assert store.commit("run-a", {"clusters": table}, {"history": one}) == 1
-    assert store.commit("run-b", {"clusters": table.where("id < 3")}, {"history": one}) == 2
-    assert store.commit("run-b", {"clusters": table.limit(0)}, {"history": one}) == 2
-    assert store.read("clusters").count() == 2 and store.read("history").count() == 2
-    # a run may read what it replaces
-    store.commit("run-c", {"clusters": store.read("clusters").where("id = 1")})
-    assert store.read("clusters").count() == 1 and store.version() == 3
+def test_runs_write_only_their_own_rows(spark, table):
+    path = scratch_path(spark, "runs")
+    state.write_run(table, path, "1")
+    state.write_run(table.where("id < 3"), path, "2")
+    state.write_run(table.where("id = 1"), path, "2")
+    assert state.read_run(spark, path, "1").count() == 3 and state.read_run(spark, path, "2").count() == 1
+    together = state.read_runs(spark, path)
+    assert ids(together, "run", "id") == [("1", 1), ("1", 2), ("1", 3), ("2", 1)]
+
+
+def test_scratch_is_removed_after_its_scope(spark):
+    from kinmatch.session import scratch_scope
+
+    with scratch_scope(spark):
+        path = scratch_path(spark, "scoped")
+        spark.range(3).write.parquet(path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_gates_move_on(spark):
+    counted = spark.createDataFrame([("a", 100), ("b", 100)], "gate string, count_now bigint")
+    stored = spark.createDataFrame(
+        [("a", 80, OLD), ("b", 98, OLD), ("z", 5, OLD)], "gate string, stored_count bigint, last_run timestamp"
+    )
+    decided = state.change_gate(counted, stored, 10)
+    assert ids(state.advance_gates(decided, stored, NOW), "gate", "stored_count", "last_run") == [
+        ("a", 100, NOW), ("b", 98, OLD), ("z", 5, OLD)
+    ]
 
 
 def test_cache_keeps_stored_pairs_and_other_models(spark):
@@ -98,7 +114,7 @@ def test_registering_a_model(spark):
     models = spark.createDataFrame(
         [(1, "a", "x/a", True, "t", OLD), (2, "b", "x/b", True, "u", OLD)], MODELS
     )
-    out = state.register_model(models, "gs://bucket/c", "t", NOW)
+    out = state.register_model(models, "models/c", "t", NOW)
     assert ids(out, "id", "name", "in_use") == [(1, "a", False), (2, "b", True), (3, "c", True)]
     kept = state.keep_newest_in_use(out)
     assert ids(kept, "id", "in_use") == [(1, False), (2, True), (3, True)]

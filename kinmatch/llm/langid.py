@@ -253,7 +253,8 @@ def with_language(docs: DataFrame, network: Network, text: str = "text") -> Data
 
     Every byte of every text is read. A text that is NULL or has no letter is ``und``
     with score 0; so is every text if the network knows no label. Ties go to the first
-    label in order. Repeated rows get the same answer; columns of these names are replaced.
+    label in order. Scores have six digits. Repeated rows get the same answer; columns
+    of these names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
@@ -267,7 +268,8 @@ def with_language(docs: DataFrame, network: Network, text: str = "text") -> Data
             p = document_probabilities(known, [t.encode("utf-8", "replace") if a else b"" for t, a in zip(texts, lettered)])
             best = p.argmax(axis=1)
             names = [known.labels[k] if a else UNDETERMINED for k, a in zip(best.tolist(), lettered)]
-            scores = [min(1.0, float(s)) if a else 0.0 for s, a in zip(p.max(axis=1), lettered)]
+            # digits beyond the sixth depend on what else was in the batch
+            scores = [min(1.0, round(float(s), 6)) if a else 0.0 for s, a in zip(p.max(axis=1), lettered)]
             return [names, scores]
 
         return work

@@ -9,24 +9,22 @@ from pyspark.sql import Window as W
 MAX_BUCKETS = 512
 
 
-def _cut_points(df: DataFrame, column: str, uniform: bool) -> list[float]:
-    """Approximate quantiles of a numeric column: at most MAX_BUCKETS numbers.
-
-    They are known without a pass for a ``uniform`` column over [0, 1).
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, min(partitions, MAX_BUCKETS))
+def _cut_points(df: DataFrame, column: str, buckets: int) -> list[float]:
+    """Approximate quantiles of a numeric column: at most MAX_BUCKETS numbers."""
+    buckets = min(buckets, MAX_BUCKETS)
     if buckets == 1:
         return []
     probabilities = [i / buckets for i in range(1, buckets)]
-    if uniform:
-        return probabilities
     cuts = df.approxQuantile(column, probabilities, 0.2 / buckets)
     return sorted(set(cuts))
 
 
 def _bucket(df: DataFrame, column: str, uniform: bool = False) -> DataFrame:
-    cuts = _cut_points(df, column, uniform)
+    buckets = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if uniform:
+        # values over [0, 1): as many ranges as partitions, found without a look at the rows
+        return df.withColumn("__bucket", F.floor(F.col(column) * buckets).cast("int"))
+    cuts = _cut_points(df, column, buckets)
     if not cuts:
         return df.withColumn("__bucket", F.lit(0))
     bounds = F.array(*[F.lit(float(c)) for c in cuts])

@@ -105,7 +105,7 @@ def block_to_masters(
     right = masters.select(
         F.col("id").alias("id2"), F.col("name").alias("sent2"), F.col(category).alias("__c2")
     )
-    # ids are keys of both tables, so the pairs are distinct already
+    # an id that a table lists more than once gives its pairs once
     return (
         hits.select(F.col("q_id").alias("id1"), F.col("b_id").alias("id2"))
         .join(left, "id1")
@@ -113,6 +113,7 @@ def block_to_masters(
         .where(F.col("__c1") == F.col("__c2"))
         .na.drop(subset=["sent1", "sent2"])
         .select("id1", "id2", "sent1", "sent2")
+        .dropDuplicates(["id1", "id2"])
     )
 
 

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.knn import NO_FLOOR, Cells, assign_cells, knn_in_cells, pick_pivots
+from ..operators.knn import NO_FLOOR, Cells, _nearest_cells, _route, assign_cells, knn_in_cells, pick_pivots
+
+# Folders that the cells of an index are written to; a probe reads only those it needs.
+GROUPS = 256
+
+
+def _group(cells: int) -> Column:
+    return F.floor(F.col("cell") * GROUPS / max(cells, GROUPS)).cast("int")
 
 
 def build_index(items: DataFrame, *, id: str = "id", vec: str = "vec") -> Cells:
@@ -20,11 +27,12 @@ def build_index(items: DataFrame, *, id: str = "id", vec: str = "vec") -> Cells:
 
 
 def save_index(cells: Cells, spark: SparkSession, path: str) -> None:
-    """Vectors clustered by cell, so that a probe of few cells skips most row groups."""
+    """Vectors in one folder per group of cells, sorted by cell within it."""
     table = pa.table({"cell": np.arange(len(cells.pivots)), "pivot": list(cells.pivots)})
     spark.createDataFrame(table).coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
     by_cell = cells.base.repartitionByRange("cell", "b_id").sortWithinPartitions("cell", "b_id")
-    by_cell.write.mode("overwrite").parquet(f"{path}/vectors")
+    grouped = by_cell.withColumn("cell_group", _group(len(cells.pivots)))
+    grouped.write.mode("overwrite").partitionBy("cell_group").parquet(f"{path}/vectors")
 
 
 def load_index(spark: SparkSession, path: str) -> Cells:
@@ -34,9 +42,16 @@ def load_index(spark: SparkSession, path: str) -> Cells:
 
 
 def search_index(cells: Cells, queries: DataFrame, k: int, *, id: str = "id", vec: str = "vec", **options) -> DataFrame:
-    """Neighbours of the queries in a saved index, as :func:`kinmatch.operators.knn.knn_join` gives them."""
+    """Neighbours of the queries in a saved index, as :func:`kinmatch.operators.knn.knn_join` gives them.
+
+    An ``ivf`` search reads only the folders of the cells that its queries probe.
+    """
     q = queries.where(F.col(vec).isNotNull()).select(
         F.col(id).cast("bigint").alias("q_id"), F.col(vec).alias("q_vec"), F.lit(k).alias("k"),
         F.lit(NO_FLOOR).alias("floor"),
     )
-    return knn_in_cells(q, cells, **options)
+    if options.get("strategy") == "ivf" and "cell_group" in cells.base.columns:
+        probed = _route(q, len(cells.pivots), _nearest_cells(cells.pivots, options.get("probes", 8)))
+        groups = probed.select(_group(len(cells.pivots)).alias("g")).distinct().collect()  # at most GROUPS
+        cells = Cells(cells.pivots, cells.base.where(F.col("cell_group").isin([r["g"] for r in groups])))
+    return knn_in_cells(q, cells, most=k, **options)

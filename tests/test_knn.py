@@ -190,3 +190,23 @@ def test_a_large_master_asks_for_many_neighbours(spark):
     got = {tuple(r) for r in hard_negatives(offers).collect()}
     assert {b for _, b in got} <= set(range(200)) and {a for a, _ in got} <= set(range(200, 300))
     assert len(got) == 200 * 100
+
+
+def test_a_probe_of_a_saved_index_reads_few_folders(spark):
+    rng = np.random.default_rng(9)
+    items = table(spark, rng.normal(size=(900, 6)))
+    path = scratch_path(spark, "grouped")
+    save_index(build_index(items), spark, path)
+    cells = load_index(spark, path)
+    hits = search_index(cells, items.where("id = 3"), 5, strategy="ivf", probes=2)
+    text = hits._jdf.queryExecution().toString()
+    assert "PartitionFilters: [cell_group" in text and hits.where("rank = 1 AND b_id = 3").count() == 1
+
+
+def test_repeated_ids_give_their_pairs_once(spark):
+    from kinmatch.operators.blocking import block_to_masters
+
+    rows = [(1, "a", [1.0, 0.0], 7), (1, "a", [1.0, 0.0], 7), (2, "b", [0.0, 1.0], 7)]
+    df = spark.createDataFrame(rows, "id bigint, name string, vec array<double>, product_category_id int")
+    pairs = [(r["id1"], r["id2"]) for r in block_to_masters(df, df, 3, 0.25).collect()]
+    assert sorted(pairs) == [(1, 1), (2, 2)]

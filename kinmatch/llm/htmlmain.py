@@ -18,7 +18,7 @@ from .common import with_columns, written
 MIN_PAGES = 10
 MIN_SHARE = 0.1
 # Templates that are broadcast at most; more are joined to the pages.
-BROADCAST = 1 << 20
+BROADCAST = 1 << 17
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

@@ -24,13 +24,15 @@ RATE = 1.0
 SPARSITY = 1e-4
 PREFIXES = (4, 5, 6)
 # Words a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+# Features looked up in one step of preparing a sample.
+STEP = 1 << 20
 
 _CORE = re.compile(r"^(\W*)(.*?)(\W*)$", re.S).match
 
 
 def word_features(word: str) -> list[int]:
-    """What a word says, as 32-bit hashes: itself in lower case, its beginnings, the marks around it, capitals."""
+    """What a word says, as signed 32-bit hashes: itself in lower case, its beginnings, the marks around it, capitals."""
     before, core, after = _CORE(word).groups()
     lowered = core.lower()
     found = [f"w{lowered}"] if core else []
@@ -38,7 +40,7 @@ def word_features(word: str) -> list[int]:
     found += [f"m{x[:3]}" for x in (before, after) if len(x) > 1]
     if len(core) > 1 and core.isupper():
         found.append("u")
-    return [zlib.crc32(f.encode("utf-8", "replace")) for f in found]
+    return [zlib.crc32(f.encode("utf-8", "replace")) - (1 << 31) for f in found]
 
 
 def text_features(text: str) -> set[int]:
@@ -74,12 +76,19 @@ class _Sample:
     """Rows of features, end to end, without features too rare to be learned."""
 
     def __init__(self, features: np.ndarray, sizes: np.ndarray):
-        names, numbers, counts = np.unique(features, return_inverse=True, return_counts=True)
-        usual = counts >= LEAST_ROWS
-        kept = usual[numbers]
-        self.names, self.rows = names[usual], len(sizes)
-        self.row = np.repeat(np.arange(len(sizes)), sizes)[kept]
-        self.number = (np.cumsum(usual) - 1)[numbers[kept]]
+        features = features.astype(np.int32)
+        self.rows = len(sizes)
+        names, counts = np.unique(features, return_counts=True)
+        self.names = names[counts >= LEAST_ROWS]
+        ends = np.cumsum(sizes)
+        row, number = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for part in range(0, len(features) if len(self.names) else 0, STEP):
+            mine = features[part: part + STEP]
+            at = np.minimum(np.searchsorted(self.names, mine), len(self.names) - 1)
+            there = np.flatnonzero(self.names[at] == mine)
+            row.append(np.searchsorted(ends, part + there, side="right").astype(np.int32))
+            number.append(at[there].astype(np.int32))
+        self.row, self.number = np.concatenate(row), np.concatenate(number)
 
     def fit(self, target: np.ndarray, earlier: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
         """Weights of 0 or more by full-batch Adagrad with an L1 penalty, which leaves most of them at 0."""
@@ -156,13 +165,17 @@ def learn_toxicity(
 
         return work
 
-    found = with_columns(joined, ["__text"], "features array<bigint>", make).select("__id", *names, "features")
+    found = with_columns(joined, ["__text"], "features array<int>", make).select("__id", *names, "features")
     rows = found.dropDuplicates(["__id", *names]).orderBy("__id", *names).toArrow()
     targets = np.column_stack([rows.column(n).to_numpy() for n in names]) if rows.num_rows else np.zeros((0, len(names)))
     if not rows.num_rows:
         return [Linear({}, 0.0, [0.0] * k) for k in range(len(names))]
-    features = rows.column("features").combine_chunks()
-    return fit_chain(features.flatten().to_numpy(), features.value_lengths().to_numpy(), targets)
+    lists = rows.column("features")
+    del rows
+    sizes = np.concatenate([c.value_lengths().to_numpy() for c in lists.chunks])
+    features = np.concatenate([c.flatten().to_numpy() for c in lists.chunks])
+    del lists
+    return fit_chain(features, sizes, targets)
 
 
 class _Scorer:

@@ -30,8 +30,8 @@ SYMBOLS = 255
 HOT_WORDS = 1 << 17
 HOT_GRAMS = 1 << 19
 # Positions counted or scored in one step; distinct words a task counts before it passes them on.
-STEP = 1 << 21
-HELD = 1 << 19
+STEP = 1 << 19
+HELD = 1 << 18
 # A context that lower orders are found from: all contexts that share it are one task's.
 SHARED = 3
 

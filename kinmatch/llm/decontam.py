@@ -9,13 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_columns
+from .common import with_columns, written
 
 WINDOW = 10
 # Bytes of benchmark text that travel to the executors at once; more goes in further blocks.
 BLOCK_BYTES = 32 << 20
+# Blocks searched in one pass; each is a Python worker of its own. Then the rows are stored in between.
+BLOCKS_AT_ONCE = 2
 # Pairs of a benchmark position and a document position extended in one step.
 STEP = 1 << 20
+# Characters of a shard; a longer text is a shard of its own.
+SHARD = 1 << 22
 
 # Characters of a word: digits, letters and everything beyond ASCII, A-Z being lower-cased first.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -127,7 +131,7 @@ def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
     """
     rank = tokens.astype(np.int64)
     span = 1
-    while span < depth:
+    while span < depth and len(rank):
         after = np.zeros_like(rank)
         after[:-span or None] = rank[span:]
         rank = np.where(rank > 0, np.unique(rank * (len(tokens) + rank.max() + 1) + after, return_inverse=True)[1] + 1, 0)
@@ -258,6 +262,18 @@ def search_texts(bench: Benchmark, texts: list[str]) -> list[tuple[int, list, li
     return out
 
 
+def search_in_shards(bench: Benchmark, texts: list[str]) -> list[tuple[int, list, list, tuple | None]]:
+    """:func:`search_texts` over texts of any total size, one shard after another."""
+    out, held, size = [], [], 0
+    for text in texts:
+        if held and size + len(text) > SHARD:
+            out += search_texts(bench, held)
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    return out + (search_texts(bench, held) if held else [])
+
+
 def _joined(a: list, b: list) -> list:
     """The union of two lists of spans."""
     out: list = []
@@ -298,7 +314,7 @@ def find_contamination(
     verbatim match that starts with a window: item, first word and words (ties: the
     earlier place, the smaller id).
 
-    Each batch of rows is a shard: its words are numbered by the benchmark's
+    Rows are taken in shards of SHARD characters: a shard's words are numbered by the benchmark's
     vocabulary, runs too short for a window are left out, and a suffix array over the
     rest is searched for all suffixes of all items at once. Nothing is shuffled. The
     benchmark travels to the executors in blocks of ``block_bytes``, one pass over a
@@ -310,14 +326,16 @@ def find_contamination(
     """
     spark = docs.sparkSession
     added = docs
-    for ids, texts in _blocks(bench, item_id, item_text, block_bytes):
+    for k, (ids, texts) in enumerate(_blocks(bench, item_id, item_text, block_bytes)):
+        if k and k % BLOCKS_AT_ONCE == 0:
+            added = written(added, "contamination")
         shared = spark.sparkContext.broadcast(Benchmark(ids, texts, window))
         first = added is docs
 
         def make(shared=shared, first=first):
             def work(batch: pa.RecordBatch) -> list:
                 b: Benchmark = shared.value
-                found = search_texts(b, [t or "" for t in batch.column("__in_0").to_pylist()])
+                found = search_in_shards(b, [t or "" for t in batch.column("__in_0").to_pylist()])
                 spans = [s for _, s, _, _ in found]
                 items = [sorted({b.item_ids[i] for i in x}) for _, _, x, _ in found]
                 longest = [

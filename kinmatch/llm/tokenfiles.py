@@ -31,7 +31,7 @@ MAGIC = b"PFOR"
 BLOCK = 256
 PERCENTILE = 0.9
 # Tokens after which a file ends with its current document.
-FILE_TOKENS = 1 << 22
+FILE_TOKENS = 1 << 21
 # Blocks packed or unpacked in one step; bounds the bit matrix.
 STEP = 1 << 12
 
@@ -233,7 +233,9 @@ def write_tokens(
         encode, schema=f"__id {id_type}, ids binary"
     )
     ranged = encoded.select(bucket.alias("range"), "__id", "ids")
-    ordered = ranged.repartition(len(cuts) + 2, "range").sortWithinPartitions("range", "__id", "ids")
+    # a partition for each range, that of NULL ids included
+    placed = ranged.repartitionById(len(cuts) + 2, F.col("range") + 1)
+    ordered = placed.sortWithinPartitions("range", "__id", "ids")
     ordered.mapInArrow(
         write, schema="range int, part int, file string, n_tokens bigint"
     ).write.parquet(f"{folder}/manifest")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from ..session import scratch_path, use_all_cores
@@ -21,14 +22,13 @@ def spread(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return use_all_cores(table(spark, folder, name))
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write a stage as Parquet to the shared folder and read it back.
 
     What comes after does not compute the stage again, also when executors are lost.
     """
     path = scratch_path(df.sparkSession, name)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -37,11 +37,6 @@ def single_threaded() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
-def text_list(batch: pa.RecordBatch, column: str) -> list[str]:
-    """A text column as strings, NULL as the empty string."""
-    return [t or "" for t in batch.column(column).to_pylist()]
-
-
 def with_columns(
     df: DataFrame, inputs: list[str], schema: str, make: Callable[[], Callable[[pa.RecordBatch], list]]
 ) -> DataFrame:
@@ -58,21 +53,13 @@ def with_columns(
     source = df.select(*[df[c] for c in kept], *[df[c].alias(f"__in_{i}") for i, c in enumerate(inputs)])
     fields = StructType([*source.schema.fields[: len(kept)], *added.fields])
 
+    types = [to_arrow_type(f.dataType) for f in added]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            new = work(batch)
+            new = [x if isinstance(x, pa.Array) else pa.array(x, type=t) for x, t in zip(work(batch), types)]
             columns = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, *[x if isinstance(x, pa.Array) else pa.array(x, type=to_arrow(f)) for x, f in zip(new, added)]],
-                names=fields.names,
-            )
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    types = {f.name: to_arrow_type(f.dataType) for f in added}
-
-    def to_arrow(field):
-        return types[field.name]
+            yield pa.RecordBatch.from_arrays([*columns, *new], names=fields.names)
 
     return source.mapInArrow(run, schema=fields)

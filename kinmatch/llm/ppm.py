@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import written
 
@@ -343,6 +344,7 @@ def score_texts(docs: DataFrame, learn: Column, id: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     id_type = docs.schema[id].dataType.simpleString()
+    id_arrow = to_arrow_type(docs.schema[id].dataType)
     source = docs.select(docs[id].alias("__id"), F.coalesce(learn, F.lit(False)).alias("learn"), docs[text].alias("text"))
     counts = written(count_corpus(source), "ppm-counts")
     is_gram = F.substring("key", 1, 1) == F.lit(bytes([0xFF]))
@@ -401,7 +403,7 @@ def score_texts(docs: DataFrame, learn: Column, id: str = "doc_id", text: str =
                     pa.array([b" %d" % (row + k) for k in range(n)] + out_key, pa.binary()),
                     pa.array(list(range(row, row + n)) + out_row, pa.int64()),
                     pa.array([0] * n + out_times, pa.int64()),
-                    pa.array([r[0] for r in rows] + [None] * m, type=id_arrow(id_type)),
+                    pa.array([r[0] for r in rows] + [None] * m, type=id_arrow),
                     pa.array([len(w) + 1 for w in split] + [None] * m, pa.int64()),
                     pa.array(n_known + [None] * m, pa.int64()),
                     pa.array(base + [None] * m, pa.float64()),
@@ -411,13 +413,6 @@ def score_texts(docs: DataFrame, learn: Column, id: str = "doc_id", text: str =
             )
             row += n
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    arrow = to_arrow_type(docs.schema[id].dataType)
-
-    def id_arrow(_):
-        return arrow
-
     parts = source.select("__id", "text").mapInArrow(
         score,
         schema=f"key binary, row bigint, times bigint, id {id_type}, n_tokens bigint, n_known bigint, base double, ppm double",

@@ -29,6 +29,8 @@ INLINE = frozenset(
 )
 CELLS = frozenset(["td", "th"])
 MAIN = frozenset(["article", "main"])
+# What an article is made of: kept there, however often it recurs.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 # Start tags that end an open element of the same set, up to a container.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -157,18 +159,50 @@ def _main_nodes(root: Node) -> list[Node]:
     return out
 
 
+def _own_nodes(root: Node, mains: list[Node]) -> set[int]:
+    """Identities of the nodes that are no template: main elements, headings and paragraphs of articles, all above them.
+
+    What lies in such a heading or paragraph is kept with it. A main element without
+    an article in it is the article.
+    """
+    own = {id(root)}
+    if not mains:
+        return own
+    articles = set()
+    for main in mains:
+        nodes = _order(main)
+        within = [n for n in nodes if n.tag == "article"]
+        articles |= {id(n) for n in within or [main]}
+    of_mains = {id(m) for m in mains}
+    # (node, in an article, in its prose), then whether anything below is kept: parents come first, so backwards
+    order: list[tuple[Node, Node | None]] = []
+    left: list[tuple[Node, Node | None, bool, bool]] = [(root, None, False, False)]
+    while left:
+        node, parent, inside, prose = left.pop()
+        order.append((node, parent))
+        inside = inside or id(node) in articles
+        prose = prose or inside and node.tag in PROSE
+        if prose or id(node) in of_mains:
+            own.add(id(node))
+        left.extend((c, node, inside, prose) for c in node.children if isinstance(c, Node))
+    for node, parent in reversed(order):
+        if parent is not None and id(node) in own:
+            own.add(id(parent))
+    return own
+
+
 def template_hashes(page: str) -> np.ndarray:
     """Distinct hashes of the subtrees that a site's template may hold.
 
-    These are the block elements outside the article; a page that marks none gives all of its blocks.
+    These are the block elements without the main element or a heading or paragraph of
+    the article in them; a page that marks no article gives all of its blocks.
     """
     root = parse(page)
     hash_subtrees(root)
-    inside = {id(n) for main in _main_nodes(root) for n in _order(main)}
-    above = {id(root)}
+    own = _own_nodes(root, _main_nodes(root))
     found = {
         n.hash for n in _order(root)
-        if id(n) not in inside and id(n) not in above and n.tag not in INLINE and n.tag not in VOID and n.tag not in ("html", "body")
+        if id(n) not in own and n.tag not in INLINE and n.tag not in VOID and n.tag not in ("html", "body")
     }
     return np.array(sorted(found), np.uint64).view(np.int64)
 
@@ -205,13 +239,15 @@ def _is_boilerplate(node: Node, in_main: bool) -> bool:
 def main_text(page: str, templates: frozenset[int] | set[int] = frozenset()) -> str:
     """The blocks of the article, one a line.
 
-    Subtrees outside the article whose hash is in ``templates`` go, as does boilerplate.
+    Subtrees whose hash is in ``templates`` go, as does boilerplate; the headings and paragraphs of an
+    article stay, as does what holds one.
     Without an article or main element the whole page is read. Character references are
     decoded; white space in a block becomes one blank.
     """
     root = parse(page)
     hash_subtrees(root)
     mains = _main_nodes(root)
+    own = _own_nodes(root, mains) if templates else set()
     blocks, line = [], []
 
     def end_block() -> None:
@@ -233,7 +269,7 @@ def main_text(page: str, templates: frozenset[int] | set[int] = frozenset()) ->
             end_block()
         if not entering:
             continue
-        if node not in mains and (_is_boilerplate(node, bool(mains)) or not mains and node.hash in templates):
+        if node not in mains and (_is_boilerplate(node, bool(mains)) or node.hash in templates and id(node) not in own):
             continue
         if block:
             left.append((node, False))

@@ -32,6 +32,18 @@ def test_recurring_subtrees_go_only_where_they_recur():
     assert main_text(inside, known) == "Subscribe to this site.\nOwn text."
 
 
+def test_templates_decide_on_pages_with_an_article():
+    share = "<div>Tell your friends</div>"
+    offer = "<section><p>Our offers</p></section>"
+
+    def page(own):
+        return f"<main>{offer}<article><h1>News</h1>{share}<p>{own}</p><ul><li><p>As ever.</p></ul></article></main>"
+
+    known = set(template_hashes(page("a")).view("uint64").tolist()) & set(template_hashes(page("b")).view("uint64").tolist())
+    assert main_text(page("a")) == "Our offers\nNews\nTell your friends\na\nAs ever."
+    assert main_text(page("a"), known) == "News\na\nAs ever."
+
+
 def test_hosts():
     assert [host_of(u) for u in ("https://www.A.com:80/x", "http://b.org", None, "no url", "http://[bad")] == [
         "a.com", "b.org", "", "", ""

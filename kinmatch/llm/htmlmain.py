@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from .common import with_columns, written
 
-# A subtree is a template of its host if at least so many pages, and this share of the host's, have it.
+# A subtree is a template of its host if so many distinct pages have it, whatever the size of the host. On a host of few
+# pages, half of them are enough, but for the least number that tells of a recurrence.
 MIN_PAGES = 10
-MIN_SHARE = 0.1
+LEAST_PAGES = 3
+# Share of the host's pages that a template must be on besides.
+MIN_SHARE = 0.0
 # Templates that are broadcast at most; more are joined to the pages.
 BROADCAST = 1 << 17
 
@@ -197,6 +200,11 @@ def template_hashes(page: str) -> np.ndarray:
     These are the block elements without the main element or a heading or paragraph of
     the article in them; a page that marks no article gives all of its blocks.
     """
+    return _page_hashes(page)[1]
+
+
+def _page_hashes(page: str) -> tuple[int, np.ndarray]:
+    """The hash of the whole page, and ``template_hashes``."""
     root = parse(page)
     hash_subtrees(root)
     own = _own_nodes(root, _main_nodes(root))
@@ -204,7 +212,7 @@ def template_hashes(page: str) -> np.ndarray:
         n.hash for n in _order(root)
         if id(n) not in own and n.tag not in INLINE and n.tag not in VOID and n.tag not in ("html", "body")
     }
-    return np.array(sorted(found), np.uint64).view(np.int64)
+    return int(np.uint64(root.hash).astype(np.int64)), np.array(sorted(found), np.uint64).view(np.int64)
 
 
 def _named_boilerplate(names: str, parts: bool) -> bool:
@@ -289,33 +297,43 @@ def host_of(url: str | None) -> str:
 def site_templates(
     pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
 ) -> DataFrame:
-    """``(host, hash, pages)``: subtrees that recur across many pages of a host.
+    """``(host, hash, pages)``: subtrees that recur across pages of a host.
 
-    Each page counts once. Counts are aggregated before they are shuffled, so a host of
-    any size is no more than a row per subtree and task.
+    A template is on at least ``min_pages`` pages that differ; on a host of fewer than
+    2 * ``min_pages`` such pages, on half of them and LEAST_PAGES. Copies of one page
+    are no recurrence, but count in ``pages`` and for ``min_share``, a share of the
+    host's rows. Counts are aggregated before they are shuffled, first per page, so a
+    host of any size is no more than a row per subtree and task.
     """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, found, sizes = [], [], []
+            hosts, whole, found, sizes = [], [], [], []
             for u, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                page, mine = _page_hashes(h or "")
                 hosts.append(host_of(u))
+                whole.append(page)
                 # 0 stands for the page itself and counts the pages of the host
-                found.append(np.append(template_hashes(h or ""), 0))
+                found.append(np.append(mine, 0))
                 sizes.append(len(found[-1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array(hosts, object), sizes), pa.string()), pa.array(np.concatenate(found))],
-                names=["host", "hash"],
+                [
+                    pa.array(np.repeat(np.array(hosts, object), sizes), pa.string()),
+                    pa.array(np.concatenate(found)), pa.array(np.repeat(np.array(whole, np.int64), sizes)),
+                ],
+                names=["host", "hash", "page"],
             )
 
     counts = (
-        pages.select(url, html).mapInArrow(hashes, schema="host string, hash bigint").groupBy("host", "hash")
-        .agg(F.count("*").alias("pages")).where(f"pages >= {min_pages} OR hash = 0")
+        pages.select(url, html).mapInArrow(hashes, schema="host string, hash bigint, page bigint").groupBy("host", "hash")
+        .agg(F.count("*").alias("pages"), F.countDistinct("page").alias("differ"))
+        .where(f"differ >= {min(min_pages, LEAST_PAGES)} OR hash = 0")
     )
     counts = written(counts, "html-counts")
-    totals = counts.where("hash = 0").select("host", F.col("pages").alias("total"))
-    return counts.where(f"hash != 0 AND pages >= {min_pages}").join(totals, "host").where(
-        F.col("pages") >= min_share * F.col("total")
+    totals = counts.where("hash = 0").select("host", F.col("pages").alias("total"), F.col("differ").alias("distinct"))
+    enough = F.least(F.lit(min_pages), F.greatest(F.lit(LEAST_PAGES), F.ceil(F.col("distinct") / 2)))
+    return counts.where("hash != 0").join(totals, "host").where(
+        (F.col("differ") >= enough) & (F.col("pages") >= min_share * F.col("total"))
     ).select("host", "hash", "pages")
 
 

@@ -76,6 +76,17 @@ def test_pages_count_once_and_host_shares_matter(spark):
     assert site_templates(pages(spark), min_share=1.01).count() == 0
 
 
+def test_recurrence_is_a_number_of_distinct_pages(spark):
+    # a hot host of 20 sections, each with a template on a twentieth of the pages; a small host; copies of one page
+    rows = [(i, f"http://hot.com/{i}", f"<div>Section {i % 20}</div><p>Story {i}</p>") for i in range(400)]
+    rows += [(1000 + i, f"http://small.com/{i}", f"<div>Small site</div><p>Tale {i}</p>") for i in range(4)]
+    rows += [(2000 + i, f"http://copies.com/{i}", "<div>All of it</div><p>once more</p>") for i in range(30)]
+    out = {r["page_id"]: r["text"] for r in extract_main_text(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert [out[i] for i in range(400)] == [f"Story {i}" for i in range(400)]
+    assert [out[1000 + i] for i in range(4)] == [f"Tale {i}" for i in range(4)]
+    assert {out[2000 + i] for i in range(30)} == {"All of it\nonce more"}
+
+
 def test_no_pages(spark):
     assert extract_main_text(spark.createDataFrame([], PAGES)).count() == 0
 

@@ -167,10 +167,15 @@ def op9_licences(spark, folder):
     )
 
 
-# Documents whose last probability reaches this count as toxic.
+# Documents whose last probability reaches this count as toxic, if that category was learned.
 TOXIC = 0.5
 
 
+def is_toxic(chain):
+    """Whether ``p_toxic`` calls a document toxic; a chain that has not learned the category calls none so."""
+    return F.col("p_toxic") >= TOXIC if chain[-1].learned else F.lit(False)
+
+
 def toxicity_chain(docs, labels):
     """Low quality, then toxic, over the columns of ``labels``."""
     return learn_toxicity(docs, labels, [1 - F.col("quality"), F.col("toxic")])
@@ -181,4 +186,4 @@ def op10_toxicity(spark, folder):
     docs = spread(spark, folder, "documents").select("doc_id", "text")
     chain = toxicity_chain(docs, table(spark, folder, "labels"))
     found = with_toxicity(docs, chain, ["p_low_quality", "p_toxic"])
-    return found.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= TOXIC).alias("toxic"))
+    return found.select("doc_id", "p_low_quality", "p_toxic", is_toxic(chain).alias("toxic"))

@@ -66,6 +66,7 @@ class Linear:
     weights: dict[int, float]
     bias: float
     earlier: list[float]
+    learned: bool = True  # whether any row was there to fit it to
 
     def probability(self, present: float, earlier: list[float]) -> float:
         x = self.bias + present + sum(w * (p - 0.5) for w, p in zip(self.earlier, earlier))
@@ -119,22 +120,28 @@ def fit_chain(features: np.ndarray, sizes: np.ndarray, targets: np.ndarray, fold
 
     Later models see the earlier categories' probabilities. In training these are
     out-of-fold: each row's come from models that have not seen the row, as those of
-    a new document will.
+    a new document will. A NaN target leaves its row out of that category's model only; a
+    category without any target is not learned and gives 0.5.
     """
     sample = _Sample(features, sizes)
     n = len(sizes)
     fold = np.arange(n) % folds
-    everything = np.ones(n, bool)
     earlier = np.zeros((n, 0))
     chain = []
     for target in targets.T.astype(float):
-        w, bias, e = sample.fit(target, earlier, everything)
+        given = ~np.isnan(target)
+        if not given.any():
+            chain.append(Linear({}, 0.0, [0.0] * earlier.shape[1], learned=False))
+            earlier = np.column_stack([earlier, np.full(n, 0.5)])
+            continue
+        target = np.where(given, target, 0.0)
+        w, bias, e = sample.fit(target, earlier, given)
         there = np.flatnonzero(w)
         chain.append(Linear(dict(zip(sample.names[there].tolist(), w[there].tolist())), bias, e.tolist()))
         out = np.zeros(n)
         for k in range(folds):
             away = fold == k
-            out[away] = sample.predict(sample.fit(target, earlier, ~away), earlier)[away]
+            out[away] = sample.predict(sample.fit(target, earlier, given & ~away), earlier)[away]
         earlier = np.column_stack([earlier, out])
     return chain
 
@@ -146,12 +153,14 @@ def learn_toxicity(
     """Fit a chain for the 0/1 ``categories`` of ``labels`` to at most about ``max_rows`` labelled rows.
 
     The rows are chosen by a hash of their id; only their features travel to the
-    driver. Rows with a NULL id, text or category are left out; of rows that
-    share id and labels one is used. Without rows the chain knows nothing and gives 0.5.
+    driver. Rows with a NULL id or text, or no category at all, are left out; a row is left out of
+    the fit of a category that is NULL. Of rows that share id and labels one is used. A
+    category without rows is not ``learned`` and gives 0.5.
     """
     names = [f"c{k}" for k in range(len(categories))]
     columns = [(F.col(c) if isinstance(c, str) else c).cast("int").alias(n) for c, n in zip(categories, names)]
-    marked = labels.select(F.col(id).cast("bigint").alias("__id"), *columns).na.drop().distinct()
+    marked = labels.select(F.col(id).cast("bigint").alias("__id"), *columns)
+    marked = marked.na.drop(subset=["__id"]).na.drop("all", subset=names).distinct()
     n = marked.count()
     if n > max_rows:
         marked = marked.where(F.pmod(F.xxhash64("__id"), F.lit(n)) < max_rows)
@@ -167,9 +176,10 @@ def learn_toxicity(
 
     found = with_columns(joined, ["__text"], "features array<int>", make).select("__id", *names, "features")
     rows = found.dropDuplicates(["__id", *names]).orderBy("__id", *names).toArrow()
-    targets = np.column_stack([rows.column(n).to_numpy() for n in names]) if rows.num_rows else np.zeros((0, len(names)))
     if not rows.num_rows:
-        return [Linear({}, 0.0, [0.0] * k) for k in range(len(names))]
+        return [Linear({}, 0.0, [0.0] * k, learned=False) for k in range(len(names))]
+    # NULL becomes NaN
+    targets = np.column_stack([rows.column(n).to_numpy().astype(float) for n in names])
     lists = rows.column("features")
     del rows
     sizes = np.concatenate([c.value_lengths().to_numpy() for c in lists.chunks])

@@ -58,3 +58,12 @@ def test_awkward_and_empty_documents(spark, sf, name):
             assert out.columns == docs.columns
             if least:
                 assert {r["score"] for r in out.collect()} == {"x"}
+
+
+@pytest.mark.parametrize("marks", [[], [(10**9, 1, 1)], [(0, 1, None)]])
+def test_toxicity_keeps_all_when_nothing_is_learned(spark, tmp_path, marks):
+    spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, str(tmp_path)).count() == docs.count()
+    assert {r["toxic"] for r in q.QUERIES["op10_toxicity"](spark, str(tmp_path)).collect()} == {False}

@@ -89,6 +89,28 @@ def test_nothing_to_learn_from(spark):
     assert with_toxicity(empty(spark), chain, ["p_low", "p_toxic"]).count() == 0
 
 
+def test_a_category_is_learned_without_the_others(spark):
+    texts, targets = labelled(200)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    marks = [(k, None, int(t[1])) for k, t in enumerate(targets)]
+    chain = learn_toxicity(docs, spark.createDataFrame(marks, "doc_id bigint, low int, toxic int"), ["low", "toxic"])
+    assert [m.learned for m in chain] == [False, True]
+    out = with_toxicity(docs, chain, ["p_low", "p_toxic"]).collect()
+    assert {r["p_low"] for r in out} == {0.5}
+    assert np.mean([(r["p_toxic"] >= 0.5) == bool(targets[r["doc_id"]][1]) for r in out]) > 0.98
+
+
+def test_a_row_counts_for_the_categories_it_has():
+    texts, targets = labelled()
+    holes = targets.astype(float)
+    holes[::3, 0] = np.nan
+    holes[1::5, 1] = np.nan
+    chain = chain_of(texts, holes)
+    score = toxicity._Scorer(chain)
+    p = np.array([score(t) for t in labelled(seed=1)[0]])
+    assert chain[0].learned and ((p[:, 1] >= 0.5) == targets[:, 1]).mean() > 0.98
+
+
 def test_bound_on_the_labelled_rows(spark, monkeypatch):
     sizes = []
     monkeypatch.setattr(toxicity, "fit_chain", lambda f, s, t: sizes.append(len(s)) or [])

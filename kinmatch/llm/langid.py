@@ -218,28 +218,50 @@ def train(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, passes: i
     return network
 
 
+def rows_per_label(counts: list[int], limit: int) -> int:
+    """The largest number of rows that each label may give, as far as it has them, within ``limit``; 1 at least."""
+    left, most = limit, 1
+    for k, n in enumerate(sorted(counts)):
+        most = max(1, left // (len(counts) - k))
+        if n > most:
+            return most
+        left -= n
+    return most
+
+
 def learn_languages(
     docs: DataFrame, text: str = "text", label: str = "lang", where: Column | None = None, max_rows: int = MAX_ROWS,
     hidden: int = HIDDEN,
 ) -> Network:
-    """Train on at most about ``max_rows`` labelled rows, chosen by a hash of their text.
+    """Train on at most ``max_rows`` labelled texts, as many of each label as it has or the bound allows.
 
-    From each row a few spans, spread evenly over the whole text, travel to the driver: that bounds
-    what is collected by ``max_rows`` * SPANS_PER_ROW * SPAN bytes. ``where`` restricts
-    the rows. Rows with a NULL label or text are left out. Without any row the network
+    Copies of a text under one label count once, and those with the first hashes are taken, so
+    each label is learned at any size (beyond ``max_rows`` labels, from one text each).
+    From each text a few spans, spread evenly over the whole, travel to the driver: that bounds
+    what is collected by a little over ``max_rows`` * SPANS_PER_ROW * SPAN characters. ``where``
+    restricts the rows. Rows with a NULL label or text are left out. Without any row the network
     knows no label.
     """
     rows = docs.where(docs[label].isNotNull() & docs[text].isNotNull())
     rows = (rows if where is None else rows.where(where)).select(F.col(text).alias("t"), F.col(label).alias("l"))
-    n = rows.count()
-    if n > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("t"), F.lit(n)) < max_rows)
+    rows = rows.withColumn("h", F.xxhash64("t"))
+    # copies go before the shuffle: first in each task, then by (label, hash)
+    counts = [(r["l"], r["n"]) for r in rows.groupBy("l").agg(F.countDistinct("h").alias("n")).collect()]
+    if not counts:
+        return Network.fresh([], hidden, SEED)
+    most = rows_per_label([n for _, n in counts], max_rows)
+    # hashes below a bound of the label's own: somewhat more than needed, cut exactly below
+    bounds = [(name, min(1.0, (1.2 * most + 50) / n)) for name, n in counts]
+    bounds = docs.sparkSession.createDataFrame(bounds, "l string, share double")
+    drawn = rows.join(F.broadcast(bounds), "l").where(F.pmod("h", F.lit(1 << 40)) / float(1 << 40) < F.col("share"))
     at = [F.floor(F.char_length("t") * k / SPANS_PER_ROW).cast("int") for k in range(SPANS_PER_ROW)]
     pieces = F.transform(F.array(*at), lambda k: F.substring(F.col("t"), k + 1, F.lit(SPAN)))
-    sample = rows.select(F.array_distinct(pieces).alias("p"), "l").orderBy("l", "p").toArrow()
-    texts, labels = [], []
-    for parts, name in zip(sample.column("p").to_pylist(), sample.column("l").to_pylist()):
-        for part in parts:
+    drawn = drawn.select("l", "h", F.array_distinct(pieces).alias("p")).groupBy("l", "h").agg(F.min("p").alias("p"))
+    found = drawn.orderBy("l", F.pmod("h", F.lit(1 << 40)), "h").toArrow()
+    texts, labels, taken = [], [], {}
+    for parts, name in zip(found.column("p").to_pylist(), found.column("l").to_pylist()):
+        taken[name] = taken.get(name, 0) + 1
+        for part in parts if taken[name] <= most else []:
             if part:
                 texts.append(part.encode("utf-8", "replace")[:SPAN])
                 labels.append(name)

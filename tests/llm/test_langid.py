@@ -69,6 +69,24 @@ def test_sample_is_bounded(spark, sf, monkeypatch):
     assert len(seen[0]) <= 70 * langid.SPANS_PER_ROW and max(map(len, seen[0])) <= langid.SPAN
 
 
+def test_copies_and_rare_labels_in_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda texts, labels, hidden: seen.append(labels) or Network.fresh(["a"], 2, 0))
+    # copies of one text per label are drawn together; a label of three rows among thousands
+    rows = [("hot " + "ab"[i % 2], "en") for i in range(2000)] + [(f"text {i}", "en") for i in range(1000)]
+    rows += [(f"Text {i}", "de") for i in range(1000)] + [(f"mot {i}", "fr") for i in range(3)] + [("text 1", "fr")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    learn_languages(docs, max_rows=60)
+    # each short text is a piece, and its later parts are others
+    per_label = {name: seen[0].count(name) for name in set(seen[0])}
+    assert set(per_label) == {"de", "en", "fr"} and per_label["fr"] == 4 * langid.SPANS_PER_ROW
+    assert len(seen[0]) == 60 * langid.SPANS_PER_ROW
+
+
+def test_rows_per_label():
+    assert [langid.rows_per_label(c, 60) for c in ([1000, 1002, 4], [10, 20], [60], [61], [5] * 100, [])] == [28, 50, 60, 60, 1, 1]
+
+
 def test_query_is_right_on_held_out_documents(spark):
     from kinmatch.llm.queries import QUERIES
 

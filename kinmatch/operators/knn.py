@@ -35,6 +35,12 @@ BLOCK_CELLS = 1 << 22
 BLOCK_HITS = 1 << 22
 # Slack of the pruning test, well above rounding error and the ranking digits.
 BOUND_SLACK = 1e-4
+# Cells probed first by the exact search.
+PROBES = 8
+# Share of a sample's true neighbours that the probes of an ivf search must reach; some more than the 0.9 it is to reach on all.
+RECALL = 0.95
+# Queries of that sample at least and at most, and neighbours of all of them together.
+SAMPLE = (32, 256, 1 << 14)
 # Below every similarity: nothing found yet.
 NO_FLOOR = -2.0
 
@@ -281,6 +287,57 @@ def _nearest_cells(pivots: np.ndarray, probes: int):
     return cells_of
 
 
+def probes_for_recall(
+    queries: DataFrame, cells: Cells, most: int, *, without_self: bool = False, recall: float = RECALL
+) -> int:
+    """How many nearest cells hold ``recall`` of the true neighbours of a sample of the queries, chosen by a hash of their ids.
+
+    One pass over the base: each task compares its rows with the sample and keeps ``most`` for each of its queries.
+    """
+    least, upto, hits = SAMPLE
+    rows = max(least, min(upto, hits // max(1, most)))
+    sample = queries.orderBy(F.xxhash64("q_id"), "q_id").limit(rows).toArrow()
+    if not sample.num_rows or most < 1:
+        return 1
+    points, ids, ks = _matrix(sample["q_vec"]), sample["q_id"].to_numpy(), sample["k"].to_numpy()
+    shared = queries.sparkSession.sparkContext.broadcast((points, ids, ks))
+
+    def best(batches):
+        q, own, k = shared.value
+        sims, found, where = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0), np.int32)
+        for batch in batches:
+            base = _matrix(batch.column("b_vec"))
+            b_id, cell = batch.column("b_id").to_numpy(), batch.column("cell").to_numpy()
+            for part in _steps(len(b_id), len(q)):
+                sim = np.round(q @ base[part].T, SIMILARITY_DIGITS) + 0.0
+                if without_self:
+                    sim[own[:, None] == b_id[None, part]] = -np.inf
+                sims = np.hstack([sims, sim])
+                found = np.hstack([found, np.broadcast_to(b_id[part], sim.shape)])
+                where = np.hstack([where, np.broadcast_to(cell[part], sim.shape)])
+                if sims.shape[1] > most:
+                    top = np.argpartition(-sims, most - 1, axis=1)[:, :most]
+                    sims, found, where = (np.take_along_axis(x, top, axis=1) for x in (sims, found, where))
+        row, col = np.nonzero(np.isfinite(sims))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(row, pa.int64()), pa.array(found[row, col], pa.int64()), pa.array(sims[row, col], pa.float64()),
+                pa.array(k[row], pa.int32()), pa.array(where[row, col], pa.int32()),
+            ],
+            names=["q_id", "b_id", "sim", "k", "cell"],
+        )
+
+    hits = cells.base.select("b_id", "b_vec", "cell").mapInArrow(best, schema=f"{_HITS}, cell int")
+    true = rank_hits(hits, most=most).select("q_id", "cell").toArrow()  # at most the sample's neighbours
+    if not true.num_rows:
+        return 1
+    row, cell = true["q_id"].to_numpy(), true["cell"].to_numpy()
+    near = _lifted(points) @ cells.pivots.T
+    # sorted: the cells that must be probed for each neighbour
+    needed = np.sort([int((near[r] >= near[r, c]).sum()) for r, c in zip(row, cell)])
+    return int(needed[math.ceil(recall * len(needed)) - 1])
+
+
 def _unsettled_cells(pivots: np.ndarray, low: np.ndarray, high: np.ndarray, probes: int):
     """Marks the unprobed cells that may still hold a row as similar as ``floor``.
 
@@ -341,7 +398,7 @@ def knn_join(
     base_id: str = "id",
     vec: str = "vec",
     strategy: str = "exact",
-    probes: int = 8,
+    probes: int | None = None,
     without_self: bool = False,
     tile_rows: int = TILE_ROWS,
     chunk_rows: int = CHUNK_ROWS,
@@ -352,7 +409,8 @@ def knn_join(
     then base id; ``dist`` is the angular distance. ``k`` may be a column of the
     queries. Both inputs are read more than once; store them first where they are
     costly, such as fresh from an encoder. ``strategy="exact"`` gives the true neighbours; ``"ivf"`` stops
-    after each query's ``probes`` nearest cells and may miss some, at any size of the base. Vectors
+    after each query's ``probes`` nearest cells and may miss some, at any size of the base; without
+    ``probes`` it takes as many as :func:`probes_for_recall` measures. Vectors
     that are NULL or hold a NULL, NaN or infinite component take no part.
     """
     if strategy not in ("exact", "ivf"):
@@ -377,11 +435,13 @@ def knn_join(
     b = cut_lineage(_first_copies(b, most + 1))
     pivots = pick_pivots(b, rows)
     cells = Cells(pivots, cut_lineage(assign_cells(b, pivots)))
+    if probes is None:
+        probes = probes_for_recall(q, cells, most, without_self=without_self) if strategy == "ivf" else PROBES
     return knn_in_cells(q, cells, strategy=strategy, probes=probes, **options)
 
 
 def knn_in_cells(
-    queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = 8, most: int | None = None, **options
+    queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = PROBES, most: int | None = None, **options
 ) -> DataFrame:
     """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``, ``most`` the largest ``k``."""
     pivots = cells.pivots

@@ -362,8 +362,11 @@ def find_contamination(
 def decontaminate(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     """The rows without any occurrence of a benchmark window, with the columns of ``docs``.
 
-    Columns of ``docs`` named like those of :func:`find_contamination` come back as they were.
+    Items with a NULL id count too, as only their words matter here. Columns of ``docs`` named like those
+    of :func:`find_contamination` come back as they were.
     """
+    item = options.get("item_id", "item_id")
+    bench = bench.withColumn(item, F.coalesce(F.col(item).cast("string"), F.lit("")))
     text = options.pop("text", "text")
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), docs[text].alias("__text"))
     clean = find_contamination(packed, bench, text="__text", **options).where(F.size("spans") == 0)

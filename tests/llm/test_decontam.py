@@ -92,6 +92,12 @@ def test_awkward_documents(spark, block):
     assert sorted(r["doc_id"] for r in clean.collect()) == [0, 1, 6]
 
 
+def test_items_without_an_id_are_removed_too(spark):
+    bench = spark.createDataFrame([(None, "four words of it"), (1, ITEM)], "item_id int, text string")
+    docs = documents(spark, [(k, t, None, None, None) for k, t in enumerate(["four words of it here", f"x {ITEM}", "none"])])
+    assert [r["doc_id"] for r in decontaminate(docs, bench).collect()] == [2]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id int, text string")
     assert find_contamination(documents(spark), none).where("size(spans) > 0").count() == 0

@@ -63,3 +63,34 @@ def with_columns(
             yield pa.RecordBatch.from_arrays([*columns, *new], names=fields.names)
 
     return source.mapInArrow(run, schema=fields)
+
+
+def _at(folder: str):
+    from pyarrow import fs
+
+    named = "://" in folder or folder.startswith("file:")
+    return fs.FileSystem.from_uri(folder) if named else (fs.LocalFileSystem(), folder)
+
+
+def make_folder(folder: str) -> None:
+    system, root = _at(folder)
+    system.create_dir(root, recursive=True)
+
+
+def put_file(folder: str, name: str, data: bytes) -> None:
+    """Write one file under a shared folder, visible under its name only when whole."""
+    system, root = _at(folder)
+    with system.open_output_stream(f"{root}/{name}.part") as out:
+        out.write(data)
+    system.move(f"{root}/{name}.part", f"{root}/{name}")
+
+
+def get_file(folder: str, name: str) -> bytes:
+    system, root = _at(folder)
+    with system.open_input_stream(f"{root}/{name}") as source:
+        return source.read()
+
+
+def drop_file(folder: str, name: str) -> None:
+    system, root = _at(folder)
+    system.delete_file(f"{root}/{name}")

@@ -12,6 +12,7 @@ from .common import spread, table
 from .decontam import find_contamination
 from .htmlmain import extract_main_text
 from .langid import learn_languages, with_language
+from .lexicon import with_tokens
 from .licences import with_licences
 from .maxscore import scaled, search_top_k
 from .packing import pack
@@ -187,3 +188,14 @@ def op10_toxicity(spark, folder):
     chain = toxicity_chain(docs, table(spark, folder, "labels"))
     found = with_toxicity(docs, chain, ["p_low_quality", "p_toxic"])
     return found.select("doc_id", "p_low_quality", "p_toxic", is_toxic(chain).alias("toxic"))
+
+
+@query("op11_lexicon")
+def op11_lexicon(spark, folder):
+    docs = spread(spark, folder, "documents").select("doc_id", "text")
+    found = with_tokens(docs, tokenizer_path("word_bpe_49k.json"), decoded="decoded")
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -17,6 +17,7 @@ from .licences import with_licences
 from .maxscore import scaled, search_top_k
 from .packing import pack
 from .ppm import score_texts
+from .repair import damaged, repair_conversations
 from .simhash import near_duplicates
 from .tokenfiles import read_tokens, write_tokens
 from .toxicity import learn_toxicity, with_toxicity
@@ -199,3 +200,9 @@ def op11_lexicon(spark, folder):
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op13_repair")
+def op13_repair(spark, folder):
+    rows, there = damaged(spread(spark, folder, "conversations"))
+    return repair_conversations(rows, there=there)

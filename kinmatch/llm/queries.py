@@ -19,6 +19,7 @@ from .packing import pack
 from .ppm import score_texts
 from .repair import damaged, repair_conversations
 from .simhash import near_duplicates
+from .sketches import search_ranked
 from .tokenfiles import read_tokens, write_tokens
 from .toxicity import learn_toxicity, with_toxicity
 
@@ -202,6 +203,35 @@ def op11_lexicon(spark, folder):
     )
 
 
+@query(
+    "op12_ranked",
+    f"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '{_ITEM_WORDS}') AS t FROM documents
+    ), s AS (
+      SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d WHERE len(t) > 0
+    ), tf AS (
+      SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(t) AS t FROM d) GROUP BY r, t
+    ), weights AS (
+      SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM tf, s GROUP BY t, docs
+    ), asked AS (
+      SELECT q, item_id, unnest(list_distinct(t)) AS t FROM (
+        SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_LOWERED}, '{_ITEM_WORDS}') AS t FROM benchmark
+      )
+    ), scored AS (
+      SELECT q, item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.t) * docs) // terms)))) AS BIGINT) AS score
+      FROM asked JOIN weights USING (t) JOIN tf USING (t) JOIN d USING (r), s GROUP BY q, item_id, doc_id, r
+    ), ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def op12_ranked(spark, folder):
+    return search_ranked(spread(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op13_repair")
 def op13_repair(spark, folder):
     rows, there = damaged(spread(spark, folder, "conversations"))

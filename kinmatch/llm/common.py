@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -37,6 +39,19 @@ def single_threaded() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
+def per_worker(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` returns, made once per Python process: later tasks of the same worker find it again.
+
+    Functions travel to the workers whole, with globals of their own; only a module of the process outlives a task.
+    """
+    kept = sys.modules.setdefault("_kinmatch_kept", types.ModuleType("_kinmatch_kept"))
+    found = kept.__dict__.setdefault("found", {})
+    if key not in found:
+        found.clear()  # one at a time bounds the memory
+        found[key] = make()
+    return found[key]
+
+
 def with_columns(
     df: DataFrame, inputs: list[str], schema: str, make: Callable[[], Callable[[pa.RecordBatch], list]]
 ) -> DataFrame:

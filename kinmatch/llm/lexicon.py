@@ -26,13 +26,12 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import make_folder, put_file, single_threaded, with_columns, written
+from .ragged import as_lists, bytes_of, list_sizes, run_sums, step_ranges
 from .transducer import Transducer, compile_words
 
 # Words of the lexicon at most, and bytes of one; bounds the driver's work and the file.
 MAX_WORDS = 1 << 18
 MAX_WORD_BYTES = 128
-# Bytes of text whose words are looked up together.
-STEP_BYTES = 1 << 24
 # Symbols up to which a word is merged by scanning; longer ones use a heap.
 SCANNED = 64
 # Texts of characters below this only are lower-cased and cut here, all others by the library;
@@ -45,7 +44,7 @@ _BLANK[[9, 10, 13, 32]] = True
 _SPECIAL, _WORD = "\r", "\n"
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """How byte-level tokenizers spell each byte: printable ones as themselves, the rest from U+0100 on."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     rest = iter(range(0x100, 0x200))
@@ -79,12 +78,13 @@ class Bpe:
         self.special_cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
         pattern = cut[0]["pattern"]["Regex"]
         library = Tokenizer.from_file(path)
+        self.model = library.model
         self._normalize = library.normalizer.normalize_str
         self._split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
         self._find = re.compile(self._latin(pattern)).findall
         vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
         self.size = 1 + max([*vocab.values(), *self.special.values()])
-        letters = _byte_letters()
+        letters = byte_letters()
         self.inner = [vocab[x] for x in letters]
         self.last = [vocab[x + end] for x in letters]
         self.merges: dict[int, tuple[int, int]] = {}
@@ -124,9 +124,9 @@ class Bpe:
         texts = texts.fill_null("")
         n = len(texts)
         rare = pc.or_(pc.match_substring(texts, "İ"), self._has_special(texts)).to_numpy(zero_copy_only=False).copy()
-        data, off = _bytes_of(texts)
+        data, off = bytes_of(texts)
         rare[np.searchsorted(off, np.flatnonzero(data > _LAST_LEAD), side="right") - 1] = True
-        data, off = _bytes_of(pc.utf8_lower(texts))
+        data, off = bytes_of(pc.utf8_lower(texts))
         inside = ~_BLANK[data]
         for k in np.flatnonzero(rare):
             inside[off[k] : off[k + 1]] = False
@@ -173,6 +173,12 @@ class Bpe:
                     codes.append(number(word, len(numbers)))
         return [*numbers], np.asarray(codes, np.int64), counts
 
+    def ordered_words(self, chunk: str) -> list[str]:
+        """The words of one chunk, in order and with repeats."""
+        if chunk[0] == _SPECIAL:
+            return [chunk]
+        return [chunk[1:]] if chunk[0] == _WORD else self._find(chunk)
+
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of one word: the pair of lowest rank is merged, the leftmost first, until none is left."""
         if not word:
@@ -221,7 +227,7 @@ class Bpe:
 
         That is what the library does for a tokenizer without a decoder.
         """
-        return pc.binary_join(_lists(counts, self._tokens.take(pa.array(ids))), " ")
+        return pc.binary_join(as_lists(counts, self._tokens.take(pa.array(ids))), " ")
 
     def decode(self, ids: Sequence[int]) -> str:
         return self.decode_all(np.asarray(ids, np.int64), np.array([len(ids)]))[0].as_py()
@@ -236,7 +242,7 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, counts)`` of all texts, one after another."""
-        parts = [self._step(texts.slice(a, b - a)) for a, b in _steps(texts)]
+        parts = [self._step(texts.slice(a, b - a)) for a, b in step_ranges(texts)]
         ids, counts = zip(*parts) if parts else ([], [])
         return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *counts])
 
@@ -245,8 +251,8 @@ class Encoder:
         words, in_chunk, sizes = self.bpe.words_of(chunks)
         # ids of words to ids of chunks to ids of texts
         of_word = self._ids_of(words)
-        of_chunk = _lists(_sums(_sizes(of_word)[in_chunk], sizes), of_word.take(pa.array(in_chunk)).flatten())
-        return of_chunk.take(pa.array(in_text)).flatten().to_numpy(), _sums(_sizes(of_chunk)[in_text], counts)
+        of_chunk = as_lists(run_sums(list_sizes(of_word)[in_chunk], sizes), of_word.take(pa.array(in_chunk)).flatten())
+        return of_chunk.take(pa.array(in_text)).flatten().to_numpy(), run_sums(list_sizes(of_chunk)[in_text], counts)
 
     def _ids_of(self, words: list[str]) -> pa.ListArray:
         known, ends, ids = self.lexicon.look_up(pa.array(words, pa.string()))
@@ -261,41 +267,7 @@ class Encoder:
         out = np.zeros(int(sizes.sum()), np.uint32)
         looked_up = np.repeat(known, sizes)
         out[looked_up], out[~looked_up] = ids, merged
-        return _lists(sizes, pa.array(out))
-
-
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of an array of strings and where each begins among them, and the end."""
-    _, offsets, data = texts.buffers()
-    off = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
-    all_bytes = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return all_bytes[off[0] : off[-1]], off - off[0]
-
-
-def _steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about STEP_BYTES bytes of text."""
-    off = _bytes_of(texts)[1]
-    begin = 0
-    while begin < len(texts):
-        end = max(begin + 1, int(np.searchsorted(off, off[begin] + STEP_BYTES)))
-        yield begin, min(end, len(texts))
-        begin = end
-
-
-def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
-    """Consecutive runs of ``values`` of these sizes."""
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
-
-
-def _sizes(lists: pa.ListArray) -> np.ndarray:
-    return np.diff(lists.offsets.to_numpy()).astype(np.int64)
-
-
-def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of consecutive runs of ``values`` of these sizes."""
-    total = np.concatenate([[0], np.cumsum(values)])
-    ends = np.cumsum(sizes)
-    return total[ends] - total[ends - sizes]
+        return as_lists(sizes, pa.array(out))
 
 
 def count_words(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
@@ -305,7 +277,7 @@ def count_words(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFram
         bpe = Bpe(tokenizer)
         for batch in batches:
             texts = batch.column(0)
-            for begin, end in _steps(texts):
+            for begin, end in step_ranges(texts):
                 chunks, in_text, _ = bpe.chunks(texts.slice(begin, end - begin))
                 words, in_chunk, sizes = bpe.words_of(chunks)
                 n = np.repeat(np.bincount(in_text, minlength=len(chunks)), sizes)
@@ -378,7 +350,7 @@ def with_tokens(
 
         def work(batch: pa.RecordBatch) -> list:
             found, counts = encode(batch.column("__in_0"))
-            lists = _lists(counts, pa.array(found.astype(np.int32)))
+            lists = as_lists(counts, pa.array(found.astype(np.int32)))
             return [lists, bpe.decode_all(found, counts)] if decoded else [lists]
 
         return work

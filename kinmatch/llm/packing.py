@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import per_worker
 from .tokens import SpacePrefixEncoder
 
 CAPACITY = 2048
@@ -89,7 +90,7 @@ def pack(
     id_type = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = SpacePrefixEncoder(tokenizer)
+        encode = per_worker(("bytes", tokenizer), lambda: SpacePrefixEncoder(tokenizer))
         end = np.asarray([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 32
         names, held, tokens = [], [], 0
@@ -115,9 +116,11 @@ def pack(
         id_arrow = None
         for batch in batches:
             id_arrow = batch.column(0).type
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found, counts = encode(batch.column(1))
+            raw, ends = found.astype("<u4").tobytes(), 4 * np.cumsum(counts)
+            for name, a, b in zip(batch.column(0).to_pylist(), (ends - 4 * counts).tolist(), ends.tolist()):
                 names.append(name)
-                held.append(encode(value or "") + end)
+                held.append(raw[a:b] + end)
                 tokens += len(held[-1]) // 4
                 if tokens >= block_tokens:
                     yield flush()

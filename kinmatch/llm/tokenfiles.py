@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import make_folder, per_worker, put_file
 from .tokens import SpaceDroppingEncoder
 
 MAGIC = b"PFOR"
@@ -142,23 +143,6 @@ class TokenFile:
         return out.reshape(-1)[skip: skip + count].astype("<u4", copy=False)
 
 
-def _put(folder: str, name: str, data: bytes) -> None:
-    """Write one file under a shared folder, visible under its name only when whole."""
-    from pyarrow import fs
-
-    system, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-    with system.open_output_stream(f"{root}/{name}.part") as out:
-        out.write(data)
-    system.move(f"{root}/{name}.part", f"{root}/{name}")
-
-
-def _make_folder(folder: str) -> None:
-    from pyarrow import fs
-
-    system, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-    system.create_dir(root, recursive=True)
-
-
 def _id_ranges(docs: DataFrame, id: str, ranges: int) -> list:
     """Ids that cut the documents into about equal ranges; only the id column is read."""
     cuts = docs.select(F.col(id).cast("double").alias("i")).approxQuantile(
@@ -187,17 +171,18 @@ def write_tokens(
     id_type = docs.schema[id].dataType.simpleString()
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = _id_ranges(docs, id, ranges)
-    _make_folder(folder)
+    make_folder(folder)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = SpaceDroppingEncoder(tokenizer)
-        narrow = max(words.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
-        kind = "<u2" if narrow else "<u4"
+        words = per_worker(("words", tokenizer), lambda: SpaceDroppingEncoder(tokenizer))
+        narrow = max(words.size, end_id + 1) <= 1 << 16
+        kind, lead = ("<u2", b"2") if narrow else ("<u4", b"4")
+        end = np.asarray([end_id], kind).tobytes()
         for batch in batches:
-            ids = []
-            for value in batch.column(1).to_pylist():
-                tokens = np.frombuffer(words(value or ""), "<u4").astype(kind)
-                ids.append((b"2" if narrow else b"4") + np.append(tokens, np.asarray([end_id], kind)).tobytes())
+            found, counts = words(batch.column(1))
+            raw, width = found.astype(kind).tobytes(), np.dtype(kind).itemsize
+            ends = width * np.cumsum(counts)
+            ids = [lead + raw[a:b] + end for a, b in zip((ends - width * counts).tolist(), ends.tolist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["__id", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +190,7 @@ def write_tokens(
 
         def flush():
             name = f"{uuid.uuid4().hex}.pfor"
-            _put(folder, name, encode_file(names, [len(x) for x in held], np.concatenate(held)))
+            put_file(folder, name, encode_file(names, [len(x) for x in held], np.concatenate(held)))
             return pa.RecordBatch.from_arrays(
                 [pa.array([now], pa.int32()), pa.array([part], pa.int32()), pa.array([name]), pa.array([size], pa.int64())],
                 names=["range", "part", "file", "n_tokens"],

@@ -1,148 +1,176 @@
-"""Tokenizing with a memory of words: the library encodes each distinct word once per worker."""
+"""Tokenizing with a memory: each distinct stretch of the texts is encoded once per worker.
+
+Texts are cut where no pattern of the tokenizer reaches across, all texts of a step at
+once; the distinct stretches are looked up in a memory that outlives the task, and
+only new ones are encoded.
+"""
 
 from __future__ import annotations
 
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+
 from .common import single_threaded
+from .lexicon import Bpe, byte_letters
+from .ragged import as_lists, bytes_of, list_sizes, run_sums, step_ranges
 
-# Words in the newer half of a worker's memory; once full, it becomes the older half.
-REMEMBERED = 150_000
-# These letters, and the marks after them, are one word each to any of the tokenizers'
-# patterns, and no normalization but lower-casing changes them.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|()\"+=/-]*)").fullmatch
-# Line ends that have no other white space beside them.
-_ONE_END = re.compile(r"\S+(?:\n\S+)+").fullmatch
+# Stretches that a worker remembers at most, and bytes of text whose stretches are looked up together.
+REMEMBERED = 800_000
+STEP_BYTES = 1 << 23
+# Characters of a word up to which the library merges it.
+LONG = 200
+# These letters, and the marks after them, are one word each to the tokenizer's pattern.
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|()\"+=/-]*)").fullmatch
+# Texts with a byte above this in UTF-8 are not cut: their white space may be of rarer kinds.
+_LAST_LEAD = 0xC5
 
 
-def _byte_letters() -> dict[int, int]:
-    """How byte-level tokenizers spell bytes: printable ones as themselves, the rest from U+0100 on."""
-    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    rest = [b for b in range(256) if b not in printable]
-    return {b: 0x100 + k for k, b in enumerate(rest)}
+_LETTERS = dict(enumerate(byte_letters()))
 
 
-class _Uncut(Exception):
-    """A word with white space at an end, which must not be encoded on its own."""
+def _spelled(text: str) -> str:
+    """The bytes of a text as byte-level tokenizers spell them."""
+    return text.encode().decode("latin-1").translate(_LETTERS)
 
 
-class _Words(dict):
-    """Token ids of words, with the lead before them, as little-endian unsigned 32-bit bytes.
+class _Remembering:
+    """Encodes arrays of texts by their distinct stretches.
 
-    Plain words go straight to the library's model, the others through its whole
-    pipeline. What is not used again is forgotten, so the memory stays bounded.
+    ``number`` gives the place of a known stretch, in the order in which they came;
+    ``used`` says in how many steps each has occurred. Once there are too many, those of the most steps stay.
     """
 
-    def __init__(self, tokenizer, lead: str, lower: bool, lines: _Words | None = None):
-        """``lines``: the words without a lead, for tokenizers that keep white space."""
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.ids, self.ends, self.used = array("I"), array("q", [0]), np.zeros(0, np.int32)
+
+    def _forget(self) -> None:
+        least = max(2, int(np.partition(self.used, -(REMEMBERED * 3 // 4))[-(REMEMBERED * 3 // 4)]) + 1) if REMEMBERED > 1 else 1 << 30
+        keep = self.used >= least
+        known = as_lists(np.diff(np.array(self.ends)), pa.array(np.array(self.ids, np.uint32))).filter(pa.array(keep))
+        self.number = {s: k for k, s in enumerate(s for s, kept in zip(self.number, keep.tolist()) if kept)}
+        self.ids = array("I", known.flatten().to_numpy().tobytes())
+        self.ends = array("q", np.concatenate([[0], np.cumsum(list_sizes(known))]).astype(np.int64).tobytes())
+        self.used = np.ones(len(self.number), np.int32)
+
+    def _cut(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """``(distinct, codes, counts)``: the stretches of all texts; codes text by text, counts for each."""
+        raise NotImplementedError
+
+    def _encode(self, stretch: str) -> list[int]:
+        raise NotImplementedError
+
+    def _ids_of(self, stretch: str) -> array:
+        at = self._known(stretch)
+        return self.ids[self.ends[at] : self.ends[at + 1]]
+
+    def _known(self, stretch: str) -> int:
+        at = self.number.get(stretch)
+        if at is None:
+            new = self._encode(stretch)
+            self.ids.extend(new)
+            self.ends.append(len(self.ids))
+            at = self.number[stretch] = len(self.ends) - 2
+        return at
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has. NULL is an empty text."""
+        texts = texts.fill_null("")
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for a, b in step_ranges(texts, STEP_BYTES):
+            stretches, codes, size = self._cut(texts.slice(a, b - a))
+            at = np.fromiter(map(self._known, stretches), np.int64, len(stretches))
+            known = as_lists(np.diff(np.array(self.ends)), pa.array(np.array(self.ids, np.uint32))).take(pa.array(at))
+            ids.append(known.take(pa.array(codes)).flatten().to_numpy())
+            counts.append(run_sums(list_sizes(known)[codes], size))
+            self.used[at[at < len(self.used)]] += 1
+            self.used = np.concatenate([self.used, np.ones(len(self.number) - len(self.used), np.int32)])
+            if len(self.number) > REMEMBERED:
+                self._forget()
+        return np.concatenate(ids), np.concatenate(counts)
+
+
+class SpaceDroppingEncoder(_Remembering):
+    """For lower-casing tokenizers that drop white space: what lies between it is independent."""
+
+    def __init__(self, path: str):
         super().__init__()
-        self.tokenizer, self.model, self.lead, self.lower, self.lines = tokenizer, tokenizer.model, lead, lower, lines
-        self.letters = _byte_letters()
-        self.spelled_lead = self._spell(lead)
-        self.old: dict[str, bytes] = {}
-        self.line_end = self.pipeline("\n")
-
-    def _spell(self, text: str) -> str:
-        return text.encode().decode("latin-1").translate(self.letters)
-
-    def pipeline(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _plain(self, letters: str, mark: str) -> bytes:
-        if self.lower:
-            letters = letters.lower()
-        tokens = self.model.tokenize(self.spelled_lead + (letters if letters.isascii() else self._spell(letters)))
-        if mark:
-            tokens += self.model.tokenize(mark)
-        return array("I", [t.id for t in tokens]).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            plain = _PLAIN(word)
-            if plain:
-                ids = self._plain(*plain.groups())
-            elif self.lines is not None and (not word or word[0].isspace() or word[-1].isspace()):
-                raise _Uncut
-            elif self.lines is not None and "\n" in word and _ONE_END(word):
-                # a single line end between other characters is a token of its own
-                head, *lines = word.split("\n")
-                return self[head] + b"".join([self.line_end + self.lines[x] for x in lines])
+        self.bpe = Bpe(path)
+        self.size, self.model = self.bpe.size, self.bpe.model
+
+    def _cut(self, texts):
+        return self.bpe.chunks(texts)
+
+    def _encode(self, stretch):
+        if stretch.isalpha():
+            return self._word(stretch)
+        ids: list[int] = []
+        for word in self.bpe.ordered_words(stretch):
+            if word.isalpha() and word != stretch:
+                ids += self._ids_of(word)
             else:
-                ids = self.pipeline(self.lead + word)
-        self[word] = ids
+                ids += [self.bpe.special[word[1:]]] if word[0] == "\r" else self._word(word)
         return ids
 
-    def encode(self, words: list[str]) -> bytes:
-        ids = b"".join(map(self.__getitem__, words))
-        if len(self) > REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        return ids
-
-
-def _load(path: str):
-    single_threaded()
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
+    def _word(self, word):
+        if len(word) > LONG:
+            return self.bpe.merge(word.encode())
+        return [t.id for t in self.model.tokenize(word if word.isascii() and word.isalpha() else _spelled(word))]
 
-class SpaceDroppingEncoder:
-    """For lower-casing tokenizers that drop white space: words between white space are independent.
 
-    Only plain blanks, tabs and line ends cut; rarer white space stays inside a word
-    and is left to the library.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = _load(path)
-        self.words = _Words(self.tokenizer, "", True)
-
-    def __call__(self, text: str) -> bytes:
-        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-        if text.isascii() and "<|" not in text:  # special tokens are told apart before lower-casing
-            text = text.lower()
-        return self.words.encode(text.split(" "))
-
-
-class SpacePrefixEncoder:
+class SpacePrefixEncoder(_Remembering):
     """For byte-level tokenizers whose words carry the blank before them.
 
-    A text is cut before a single blank that stands between two non-blank
-    characters: no pattern of such a tokenizer reaches over that place. Runs of
-    white space stay with their neighbours in one piece for the library.
+    A text is cut before a single blank, and around a single line end, that stand
+    between two characters that are not white space: no pattern of such a tokenizer reaches over
+    these places. Longer runs of white space stay with their neighbours.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = _load(path)
-        self.first = _Words(self.tokenizer, "", False)
-        self.first.lines = self.first
-        self.words = _Words(self.tokenizer, " ", False, self.first)
-
-    def __call__(self, text: str) -> bytes:
-        parts = text.split(" ")
-        try:
-            return self.first.encode(parts[:1]) + self.words.encode(parts[1:])
-        except _Uncut:
-            return self._by_stretches(parts)
-
-    def _by_stretches(self, parts: list[str]) -> bytes:
-        """A text with other than single blanks: what lies between two safe cuts is one piece."""
-        out, run = [], [parts[0]]
-        for part in [*parts[1:], None]:
-            if part is not None and not (
-                run[-1] and part and not run[-1][-1].isspace() and not part[0].isspace()
-            ):
-                run.append(part)
-                continue
-            whole = " ".join(run)
-            if not out:
-                out.append(self.words.pipeline(whole))
-            elif len(run) > 1 or not run[0] or run[0][0].isspace() or run[0][-1].isspace():
-                out.append(self.words.pipeline(" " + whole))
-            else:
-                out.append(self.words[whole])
-            run = [part]
-        return b"".join(out)
+        super().__init__()
+        single_threaded()
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.blank = self.tokenizer.model, _spelled(" ")
+        self.size = self.tokenizer.get_vocab_size()
+
+    def _cut(self, texts):
+        data, off = bytes_of(texts)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[off] = True
+        # white space by its last byte and by its first: rarer kinds count where they might be
+        plain = np.isin(data, [*range(9, 14), *range(28, 33)])
+        after_c2 = np.concatenate([[False], data[:-1] == 0xC2])
+        ends_white = plain | (after_c2 & np.isin(data, (0x85, 0xA0)))
+        begins_white = plain.copy()
+        begins_white[:-1] |= (data[:-1] == 0xC2) & np.isin(data[1:], (0x85, 0xA0))
+        alone = np.zeros(len(data), bool)
+        if len(data) > 2:
+            alone[1:-1] = ~ends_white[:-2] & ~begins_white[2:] & ~edge[1:-2] & ~edge[2:-1]
+        rare = np.zeros(len(texts) + 1, bool)
+        rare[np.searchsorted(off, np.flatnonzero(data > _LAST_LEAD), side="right") - 1] = True
+        whole = np.repeat(rare[:-1], np.diff(off))
+        begin = alone & (data == 32)
+        line = alone & (data == 10)
+        begin |= line
+        begin[1:] |= line[:-1]
+        begin = (begin & ~whole) | edge[:-1]
+        at = np.flatnonzero(begin)
+        found = pa.StringArray.from_buffers(
+            len(at), pa.py_buffer(np.concatenate([at, [len(data)]]).astype(np.int32)), pa.py_buffer(data)
+        ).dictionary_encode()
+        return found.dictionary.to_pylist(), found.indices.to_numpy(), np.diff(np.searchsorted(at, off))
+
+    def _encode(self, stretch):
+        plain = _PLAIN(stretch)
+        if not plain:
+            return self.tokenizer.encode(stretch, add_special_tokens=False).ids
+        word, marks = plain.groups()
+        if marks:
+            return self._ids_of(word) + self._ids_of(marks)
+        spelled = word.replace(" ", self.blank)
+        return [t.id for t in self.model.tokenize(spelled if word.isascii() else _spelled(word))]

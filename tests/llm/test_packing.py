@@ -1,7 +1,9 @@
+import importlib
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,6 +17,7 @@ from .helpers import ROWS, clashing, documents, empty
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 ENCODERS = {BYTES: SpacePrefixEncoder(BYTES), WORDS: SpaceDroppingEncoder(WORDS)}
+LIBRARY = {path: Tokenizer.from_file(path) for path in ENCODERS}
 PARTS = ["a", "B", "é", " ", "  ", "\n", "\t", ",", "'s", "1", "<|", "|>", "endoftext", "<|endoftext|>", "Σ", "ΑΣ", "́", "İ",
          " ", "\x1c", "\x85", "…", "word***", "日", "\r\n", "x "]
 
@@ -28,7 +31,20 @@ def ids(encoded):
 @given(text=st.one_of(st.lists(st.sampled_from(PARTS), max_size=14).map("".join), st.text(max_size=40)))
 def test_words_together_are_the_whole_text(path, text):
     text = text.encode("utf-8", "ignore").decode()
-    assert ids(ENCODERS[path](text)) == ENCODERS[path].tokenizer.encode(text, add_special_tokens=False).ids
+    texts = [None, text, "a", text + "b"]
+    found, counts = ENCODERS[path](pa.array(texts))
+    parts = [x.tolist() for x in np.split(found, np.cumsum(counts)[:-1])]
+    assert parts == [LIBRARY[path].encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_a_full_memory_changes_nothing(path, monkeypatch):
+    module = importlib.import_module("kinmatch.llm.tokens")
+    monkeypatch.setattr(module, "REMEMBERED", 5)
+    encode = type(ENCODERS[path])(path)
+    for k in range(8):
+        text = " ".join(f"w{i} ord" for i in range(k, 12))
+        assert encode(pa.array([text]))[0].tolist() == LIBRARY[path].encode(text, add_special_tokens=False).ids
 
 
 @given(st.lists(st.integers(0, 200), max_size=60))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import score_to_label
@@ -16,6 +18,9 @@ from .rows import groups_with
 MIN_CLUSTER_SIZE = 3
 HIERARCHICAL_THRESHOLD = 0.35
 
+# Links of a component up to which one task does all its merges, and links that a task takes at a time.
+TASK_LINKS = 1 << 20
+SOLVED_LINKS = 1 << 18
 # Edges one task holds while contracting its partition.
 CONTRACT_EDGES = 1 << 21
 
@@ -162,63 +167,166 @@ def cluster_all(products: DataFrame, matches: DataFrame, out: str = "fin") -> Da
     return labelled.join(ids, "component").select(*products.columns, out)
 
 
-def average_link_clusters(scored: DataFrame, threshold: float = HIERARCHICAL_THRESHOLD) -> DataFrame:
+def _means(links: DataFrame) -> Column:
+    return F.round(F.col("total") / (F.col("na") * F.col("nb")), 9)
+
+
+def _merge_closest(a, b, total, size: dict, threshold: float) -> dict[int, int]:
+    """Average-link merging of clusters in memory, one pair at a time: the new label of every cluster that gets one.
+
+    A pair's mean never rises through other merges, so the queue may hold means of earlier times:
+    a pair that comes up with another mean than its present one goes back into the queue.
+    """
+    near: dict[int, dict[int, float]] = {}
+    for x, y, t in zip(a, b, total):
+        near.setdefault(x, {})[y] = t
+        near.setdefault(y, {})[x] = t
+    label = {x: x for x in near}
+    parts = {x: [x] for x in near}
+
+    def entry(x: int, y: int) -> tuple:
+        mean = round(near[x][y] / (size[x] * size[y]), 9)
+        lo, hi = sorted((label[x], label[y]))
+        return (-mean, lo, hi, x, y)
+
+    queue = [e for x, y in zip(a, b) if -(e := entry(x, y))[0] > threshold]
+    heapq.heapify(queue)
+    while queue:
+        top = heapq.heappop(queue)
+        x, y = top[3:]
+        if y not in near.get(x, ()):
+            continue
+        now = entry(x, y)
+        if now != top:
+            if -now[0] > threshold:
+                heapq.heappush(queue, now)
+            continue
+        # the one with fewer neighbours goes into the other
+        if len(near[x]) < len(near[y]):
+            x, y = y, x
+        del near[x][y], near[y][x]
+        size[x] += size.pop(y)
+        label[x] = min(label[x], label.pop(y))
+        parts[x] += parts.pop(y)
+        for z, t in near.pop(y).items():
+            del near[z][y]
+            near[x][z] = near[z][x] = near[x].get(z, 0.0) + t
+            moved = entry(x, z)
+            if -moved[0] > threshold:
+                heapq.heappush(queue, moved)
+    return {old: label[x] for x, olds in parts.items() for old in olds if old != label[x]}
+
+
+def _solve_in_tasks(links: DataFrame, threshold: float) -> DataFrame:
+    """``(old, new)`` labels of all merges in components that each fit into a task, several of them at a time."""
+
+    def solve(batches):
+        held, now, size = [], None, 0
+
+        def flush():
+            a, b, total, na, nb = (np.concatenate(x).tolist() for x in zip(*held))
+            found = _merge_closest(a, b, total, {**dict(zip(a, na)), **dict(zip(b, nb))}, threshold)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["old", "new"]
+            )
+
+        for batch in batches:
+            component = batch.column("component").to_numpy()
+            columns = [batch.column(c).to_numpy() for c in ("a", "b", "total", "na", "nb")]
+            # whole components only: cut before each first row of one
+            cuts = [0, *(np.flatnonzero(np.diff(component)) + 1).tolist(), len(component)]
+            for first, last in zip(cuts, cuts[1:]):
+                if last == first:
+                    continue
+                if size >= SOLVED_LINKS and component[first] != now:
+                    yield flush()
+                    held, size = [], 0
+                now, size = component[first], size + last - first
+                held.append([c[first:last] for c in columns])
+        if held:
+            yield flush()
+
+    together = links.repartition("component").sortWithinPartitions("component", "a", "b")
+    return together.select("component", "a", "b", "total", "na", "nb").mapInArrow(solve, schema="old bigint, new bigint")
+
+
+def _merge_mutual(links: DataFrame, threshold: float) -> DataFrame:
+    """``(old, new)`` labels of one round of merges: every two clusters that are one another's closest."""
+    sided = links.select("a", "b", _means(links).alias("mean")).where(F.col("mean") > threshold)
+    both = sided.unionAll(sided.select(F.col("b").alias("a"), F.col("a").alias("b"), "mean"))
+    # closest cluster; equal means go to the pair with the smaller (low, high) labels,
+    # one order for both ends, so the best pair overall is always mutual
+    order = F.struct(F.col("mean"), (-F.least("a", "b")).alias("lo"), (-F.greatest("a", "b")).alias("hi"))
+    best = both.groupBy("a").agg(F.max_by("b", order).alias("b"))
+    back = best.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return best.join(back, ["a", "b"]).where("a < b").select(F.col("b").alias("old"), F.col("a").alias("new"))
+
+
+def _relinked(links: DataFrame, merges: DataFrame) -> DataFrame:
+    """Links between the clusters after a round of merges, each of which joins two clusters."""
+    ends = links.select(F.inline(F.array(
+        F.struct(F.col("a").alias("old"), F.col("na").alias("n")), F.struct(F.col("b").alias("old"), F.col("nb").alias("n"))
+    )))
+    old_sizes = ends.groupBy("old").agg(F.first("n").alias("n"))
+    moved_sizes = old_sizes.join(merges, "old", "left")
+    sizes = moved_sizes.groupBy(F.coalesce("new", "old").alias("c")).agg(F.sum("n").alias("n"))
+    moved = links
+    for side in ("a", "b"):
+        m = merges.select(F.col("old").alias(side), F.col("new").alias(f"new_{side}"))
+        moved = moved.join(m, side, "left").withColumn(side, F.coalesce(f"new_{side}", side)).drop(f"new_{side}")
+    regrouped = (
+        moved.where("a != b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .agg(F.sum("total").alias("total"))
+    )
+    for side in ("a", "b"):
+        regrouped = regrouped.join(sizes.select(F.col("c").alias(side), F.col("n").alias(f"n{side}")), side)
+    return regrouped.select("a", "b", "total", "na", "nb")
+
+
+def average_link_clusters(
+    scored: DataFrame, threshold: float = HIERARCHICAL_THRESHOLD, task_links: int = TASK_LINKS
+) -> DataFrame:
     """``(id, cluster)`` by average-link merging of scored pairs, clusters of two or more.
 
     Two clusters are as close as the mean score over all their member pairs, a
-    missing pair counting 0. Each round merges every pair of clusters that are one
-    another's closest and above the threshold. Average link is reducible, so this
-    gives the merges of the one-at-a-time procedure while all rounds run as joins
-    over the cluster graph; no component has to fit into one task. The label is
-    the smallest id.
+    missing pair counting 0; the closest two above the threshold are merged until none are. Merges never
+    cross the components of the links above the threshold. So components of at most ``task_links``
+    links are solved as a whole inside a task, and leave the loop. Only larger ones go through rounds of
+    joins over the cluster graph, in which all pairs of clusters that are one another's closest
+    merge at once; as average link is reducible, these are the same merges. Before each round links that no
+    merge can bring above the threshold any more drop out, which may part a component into ones that fit.
+    The label is the smallest id. Pairs of a row with itself and scores of 0 or less take no part; of repeated pairs the best counts.
     """
     pairs = scored.where((F.col("prob") > 0) & (F.col("id1") != F.col("id2")))
     links = cut_lineage(
-        pairs.groupBy(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b"))
-        .agg(F.max("prob").alias("total"))
-    )
-    # (total, size_a, size_b) per linked pair; labels are the smallest member
-    links = links.select("a", "b", "total", F.lit(1).alias("na"), F.lit(1).alias("nb"))
-    members = cut_lineage(
-        links.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("cluster"))
+        pairs.groupBy(F.least("id1", "id2").cast("bigint").alias("a"), F.greatest("id1", "id2").cast("bigint").alias("b"))
+        .agg(F.max("prob").cast("double").alias("total"))
+        .select("a", "b", "total", F.lit(1).cast("bigint").alias("na"), F.lit(1).cast("bigint").alias("nb"))
     )
+    # the label that each id, or the label it had, has got; later rounds look up the labels of earlier ones
+    rounds: list[DataFrame] = []
     while True:
-        mean = F.round(F.col("total") / (F.col("na") * F.col("nb")), 9)
-        sided = links.select("a", "b", mean.alias("mean")).where(F.col("mean") > threshold)
-        both = sided.unionAll(sided.select(F.col("b").alias("a"), F.col("a").alias("b"), "mean"))
-        # closest cluster; equal means go to the pair with the smaller (low, high) labels,
-        # one order for both ends, so the best pair overall is always mutual
-        order = F.struct(
-            F.col("mean"), (-F.least("a", "b")).alias("lo"), (-F.greatest("a", "b")).alias("hi")
-        )
-        best = both.groupBy("a").agg(F.max_by("b", order).alias("b"))
-        back = best.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        merges = cut_lineage(
-            best.join(back, ["a", "b"]).where("a < b").select(F.col("b").alias("old"), F.col("a").alias("new"))
-        )
-        if merges.isEmpty():
+        close = links.where(_means(links) > threshold)
+        found = connected_components(close, "a", "b")
+        side = lambda k: found.select(F.col("id").alias(k), F.col("component").alias(f"c{k}"))
+        inside = links.join(side("a"), "a").join(side("b"), "b").where("ca = cb").withColumnRenamed("ca", "component").drop("cb")
+        sizes = inside.groupBy("component").agg(F.count("*").alias("links"))
+        sized = cut_lineage(inside.join(sizes, "component"))
+        merges = _solve_in_tasks(sized.where(F.col("links") <= task_links), threshold)
+        rest = sized.where(F.col("links") > task_links).select("a", "b", "total", "na", "nb")
+        if rest.isEmpty():
+            rounds.append(cut_lineage(merges))
             break
-        members = cut_lineage(
-            members.join(merges, F.col("cluster") == F.col("old"), "left").select(
-                "id", F.coalesce("new", "cluster").alias("cluster")
-            )
-        )
-        sizes = members.groupBy("cluster").agg(F.count("*").alias("n"))
-        moved = links
-        for side in ("a", "b"):
-            m = merges.select(F.col("old").alias(side), F.col("new").alias(f"new_{side}"))
-            moved = moved.join(m, side, "left").withColumn(side, F.coalesce(f"new_{side}", side))
-            moved = moved.drop(f"new_{side}")
-        regrouped = (
-            moved.where("a != b")
-            .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .agg(F.sum("total").alias("total"))
-        )
-        for side in ("a", "b"):
-            s = sizes.select(F.col("cluster").alias(side), F.col("n").alias(f"n{side}"))
-            regrouped = regrouped.join(s, side)
-        links = cut_lineage(regrouped.select("a", "b", "total", "na", "nb"))
-    return groups_with(members, "cluster", 2)
+        mutual = cut_lineage(_merge_mutual(rest, threshold))
+        rounds.append(cut_lineage(merges.unionAll(mutual)))
+        links = cut_lineage(_relinked(rest, mutual))
+    labels = rounds[-1].select(F.col("old").alias("id"), F.col("new").alias("cluster"))
+    for earlier in rounds[-2::-1]:
+        later = labels.select(F.col("id").alias("new"), F.col("cluster").alias("last"))
+        here = earlier.join(later, "new", "left").select(F.col("old").alias("id"), F.coalesce("last", "new").alias("cluster"))
+        labels = cut_lineage(here.unionAll(labels))
+    named = labels.select(F.col("cluster").alias("id"), "cluster").distinct()
+    return labels.unionAll(named)
 
 
 def threshold_edges(scored: DataFrame, threshold: float) -> DataFrame:

@@ -74,9 +74,9 @@ def _distance(sim: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * sim))
 
 
-def _steps(rows: int, width: int):
-    """Row ranges whose products with ``width`` columns stay within BLOCK_CELLS."""
-    step = max(1, BLOCK_CELLS // max(1, width))
+def _steps(rows: int, width: int, of: int = BLOCK_CELLS):
+    """Row ranges whose products with ``width`` columns stay within ``of`` numbers."""
+    step = max(1, of // max(1, width))
     return (slice(i, min(i + step, rows)) for i in range(0, rows, step))
 
 
@@ -130,6 +130,7 @@ def best_in_cells(
     few_cells: bool = False,
     tile_rows: int = TILE_ROWS,
     chunk_rows: int = CHUNK_ROWS,
+    kernel=None,
 ) -> DataFrame:
     """Best base rows per (query, cell, tile).
 
@@ -156,13 +157,10 @@ def best_in_cells(
 
     left = spread(queries, "q_id", "chunk", "n_chunks", "tile", "n_tiles")
     right = spread(base, "b_id", "tile", "n_tiles", "chunk", "n_chunks")
-    return _search_blocks(left, right, ["cell", "chunk", "tile"], farthest, without_self)
+    return _search_blocks(left, right, ["cell", "chunk", "tile"], kernel or _best_in_block(farthest, without_self))
 
 
-def _search_blocks(
-    left: DataFrame, right: DataFrame, block: list[str], farthest: bool, without_self: bool
-) -> DataFrame:
-    kernel = _best_in_block(farthest, without_self)
+def _search_blocks(left: DataFrame, right: DataFrame, block: list[str], kernel) -> DataFrame:
     return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(kernel, schema=_HITS)
 
 
@@ -177,7 +175,7 @@ def _best_in_one_tile(
     chunks = max(1, -(-query_rows // rows))
     left = queries.withColumn("chunk", F.pmod(F.xxhash64("q_id"), F.lit(chunks)).cast("int"))
     right = base.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    return _search_blocks(left, right, ["chunk"], False, without_self)
+    return _search_blocks(left, right, ["chunk"], _best_in_block(False, without_self))
 
 
 def rank_hits(hits: DataFrame, farthest: bool = False, most: int | None = None) -> DataFrame:
@@ -194,10 +192,16 @@ def rank_hits(hits: DataFrame, farthest: bool = False, most: int | None = None)
 
 @dataclass
 class Cells:
-    """Pivots (bounded, on the driver) and the base rows with their cell."""
+    """Pivots (bounded, on the driver) and the base rows with their cell.
+
+    ``roots`` names for each cell the one that it was split from, or itself: only the
+    members of a root and its parts together are nearest to the root's pivot.
+    """
 
     pivots: np.ndarray
     base: DataFrame  # b_id, b_vec, cell, pivot_dist
+    roots: np.ndarray | None = None
+    probes: int | None = None  # as many as a measured recall needs
 
     def bounds(self) -> tuple[np.ndarray, np.ndarray]:
         """Smallest and largest member-to-pivot distance per cell; one row per pivot."""
@@ -217,6 +221,8 @@ def pick_pivots(base: DataFrame, rows: int) -> np.ndarray:
     and count once.
     """
     first = base.select("b_vec").first()
+    if first is None:
+        return np.zeros((0, 1))
     dims = len(first["b_vec"]) + 1
     wanted = min(math.ceil(math.sqrt(rows)), MAX_PIVOTS, max(1, MAX_PIVOT_BYTES // (8 * dims)))
     draws = base.select("b_vec", hash_draw("b_vec").alias("h"))
@@ -287,18 +293,20 @@ def _nearest_cells(pivots: np.ndarray, probes: int):
     return cells_of
 
 
-def probes_for_recall(
-    queries: DataFrame, cells: Cells, most: int, *, without_self: bool = False, recall: float = RECALL
-) -> int:
-    """How many nearest cells hold ``recall`` of the true neighbours of a sample of the queries, chosen by a hash of their ids.
+def sample_neighbours(
+    queries: DataFrame, base: DataFrame, most: int, *, without_self: bool = False
+) -> tuple[np.ndarray, pa.Table]:
+    """A sample of the queries, chosen by a hash of their ids, as unit rows, and their true neighbours.
 
-    One pass over the base: each task compares its rows with the sample and keeps ``most`` for each of its queries.
+    The table has the sample's row number as ``q_id``, and ``b_id`` with the columns that ``base`` has
+    beside ``b_vec``. One pass over the base: each task compares its rows with the sample and keeps ``most`` for each of its queries.
     """
     least, upto, hits = SAMPLE
     rows = max(least, min(upto, hits // max(1, most)))
     sample = queries.orderBy(F.xxhash64("q_id"), "q_id").limit(rows).toArrow()
+    extra = "cell" in base.columns
     if not sample.num_rows or most < 1:
-        return 1
+        return np.zeros((0, 0)), pa.table({"q_id": pa.array([], pa.int64()), "b_id": pa.array([], pa.int64())})
     points, ids, ks = _matrix(sample["q_vec"]), sample["q_id"].to_numpy(), sample["k"].to_numpy()
     shared = queries.sparkSession.sparkContext.broadcast((points, ids, ks))
 
@@ -306,10 +314,10 @@ def probes_for_recall(
         q, own, k = shared.value
         sims, found, where = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0), np.int32)
         for batch in batches:
-            base = _matrix(batch.column("b_vec"))
+            points = _matrix(batch.column("b_vec"))
             b_id, cell = batch.column("b_id").to_numpy(), batch.column("cell").to_numpy()
             for part in _steps(len(b_id), len(q)):
-                sim = np.round(q @ base[part].T, SIMILARITY_DIGITS) + 0.0
+                sim = np.round(q @ points[part].T, SIMILARITY_DIGITS) + 0.0
                 if without_self:
                     sim[own[:, None] == b_id[None, part]] = -np.inf
                 sims = np.hstack([sims, sim])
@@ -327,8 +335,16 @@ def probes_for_recall(
             names=["q_id", "b_id", "sim", "k", "cell"],
         )
 
-    hits = cells.base.select("b_id", "b_vec", "cell").mapInArrow(best, schema=f"{_HITS}, cell int")
-    true = rank_hits(hits, most=most).select("q_id", "cell").toArrow()  # at most the sample's neighbours
+    with_cell = base.select("b_id", "b_vec", "cell" if extra else F.lit(0).alias("cell"))
+    true = rank_hits(with_cell.mapInArrow(best, schema=f"{_HITS}, cell int"), most=most)
+    return points, true.select("q_id", "b_id", "cell").toArrow()  # at most the sample's neighbours
+
+
+def probes_for_recall(
+    queries: DataFrame, cells: Cells, most: int, *, without_self: bool = False, recall: float = RECALL
+) -> int:
+    """How many nearest cells hold ``recall`` of the true neighbours of a sample of the queries."""
+    points, true = sample_neighbours(queries, cells.base, most, without_self=without_self)
     if not true.num_rows:
         return 1
     row, cell = true["q_id"].to_numpy(), true["cell"].to_numpy()
@@ -338,23 +354,25 @@ def probes_for_recall(
     return int(needed[math.ceil(recall * len(needed)) - 1])
 
 
-def _unsettled_cells(pivots: np.ndarray, low: np.ndarray, high: np.ndarray, probes: int):
+def _unsettled_cells(pivots: np.ndarray, low: np.ndarray, high: np.ndarray, probes: int, roots: np.ndarray | None = None):
     """Marks the unprobed cells that may still hold a row as similar as ``floor``.
 
     A cell is ruled out by the distances of its members to their pivot, or by the
-    plane half-way between its pivot and the query's nearest one.
+    plane half-way between its root's pivot and the query's nearest root.
     """
     probed = _nearest_cells(pivots, probes)
+    roots = np.arange(len(pivots)) if roots is None else roots
+    first, which = np.unique(roots, return_inverse=True)
 
     def cells_of(q: np.ndarray, batch) -> np.ndarray:
         limit = _distance(np.asarray(batch.column("floor")))[:, None] + BOUND_SLACK
         dist = _distance(q @ pivots.T)
-        near = dist.argmin(axis=1)
-        nearest = dist[np.arange(len(q)), near][:, None]
+        near = dist[:, first].argmin(axis=1)
+        nearest = dist[np.arange(len(q)), first[near]][:, None]
         ring = np.maximum(dist - high[None, :], low[None, :] - dist)
-        across = _distance(pivots[near] @ pivots.T)
-        plane = np.where(across > 0, (dist**2 - nearest**2) / np.where(across > 0, 2 * across, 1), 0)
-        open_cells = (np.maximum(ring, plane) <= limit) & np.isfinite(high)[None, :]
+        across = _distance(pivots[first[near]] @ pivots[first].T)
+        plane = np.where(across > 0, (dist[:, first] ** 2 - nearest**2) / np.where(across > 0, 2 * across, 1), 0)
+        open_cells = (np.maximum(ring, plane[:, which]) <= limit) & np.isfinite(high)[None, :]
         return open_cells & ~probed(q, batch)
 
     return cells_of
@@ -383,7 +401,7 @@ def _first_copies(base: DataFrame, copies: int) -> DataFrame:
     return first(base, "b_vec")
 
 
-def _sound(vec: str) -> Column:
+def sound(vec: str) -> Column:
     """Vectors without a component that is missing or not a number; others have no neighbours."""
     x = F.col(vec)
     return x.isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
@@ -410,19 +428,20 @@ def knn_join(
     queries. Both inputs are read more than once; store them first where they are
     costly, such as fresh from an encoder. ``strategy="exact"`` gives the true neighbours; ``"ivf"`` stops
     after each query's ``probes`` nearest cells and may miss some, at any size of the base; without
-    ``probes`` it takes as many as :func:`probes_for_recall` measures. Vectors
+    ``probes`` it takes as many as :func:`probes_for_recall` measures. ``"forest"`` deals the queries to
+    ``probes`` leaves of random projection trees (:mod:`.forest`), both measured where ``probes`` is not given. Vectors
     that are NULL or hold a NULL, NaN or infinite component take no part.
     """
-    if strategy not in ("exact", "ivf"):
+    if strategy not in ("exact", "ivf", "forest"):
         raise ValueError(f"knn_join: unknown strategy {strategy!r}")
     k_column = F.lit(k) if isinstance(k, int) else k
-    q = queries.where(_sound(vec)).select(
+    q = queries.where(sound(vec)).select(
         F.col(query_id).cast("bigint").alias("q_id"),
         F.col(vec).alias("q_vec"),
         k_column.cast("int").alias("k"),
         F.lit(NO_FLOOR).alias("floor"),
     ).where("k > 0")
-    b = base.where(_sound(vec)).select(
+    b = base.where(sound(vec)).select(
         F.col(base_id).cast("bigint").alias("b_id"), F.col(vec).alias("b_vec")
     )
     rows = b.count()
@@ -433,6 +452,11 @@ def knn_join(
 
     options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows, "most": most}
     b = cut_lineage(_first_copies(b, most + 1))
+    if strategy == "forest":
+        from . import forest as trees
+
+        planned, needed = trees.plan_forest(q, b, rows, most, without_self=without_self)
+        return trees.search_forest(q, planned, trees.assign_leaves(b, planned, tile_rows), probes or needed, **options)
     pivots = pick_pivots(b, rows)
     cells = Cells(pivots, cut_lineage(assign_cells(b, pivots)))
     if probes is None:
@@ -445,6 +469,9 @@ def knn_in_cells(
 ) -> DataFrame:
     """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``, ``most`` the largest ``k``."""
     pivots = cells.pivots
+    if not len(pivots):
+        empty = queries.limit(0).selectExpr("q_id", "CAST(NULL AS BIGINT) AS b_id", "CAST(0 AS DOUBLE) AS sim", "k")
+        return _finish(empty, most)
     base = cells.base.select("b_id", "b_vec", "cell")
     options["few_cells"] = True
     first = best_in_cells(_route(queries, len(pivots), _nearest_cells(pivots, probes)), base, **options)
@@ -458,7 +485,7 @@ def knn_in_cells(
         "q_id", "q_vec", "k", F.coalesce(floor, F.lit(NO_FLOOR)).alias("floor")
     )
     low, high = cells.bounds()
-    rest = _route(open_queries, len(pivots), _unsettled_cells(pivots, low, high, probes))
+    rest = _route(open_queries, len(pivots), _unsettled_cells(pivots, low, high, probes, cells.roots))
     second = best_in_cells(rest, base, **options)
     return _finish(found.unionByName(second), most)
 
@@ -478,7 +505,7 @@ def knn_self(
     most ``k - 1`` others.
     """
     others = knn_join(items, items, k - 1, query_id=id, base_id=id, vec=vec, without_self=True, **options)
-    own = items.where(_sound(vec)).select(
+    own = items.where(sound(vec)).select(
         F.col(id).cast("bigint").alias("id"),
         F.col(id).cast("bigint").alias("nn_id"),
         F.lit(0.0).alias("dist"),
@@ -509,7 +536,7 @@ def farthest_in_group(
     A row alone in its group is paired with itself. Of equal vectors in a group
     only the smallest id can be chosen, so copies are left out of the base side.
     """
-    rows = items.where(F.col(group).isNotNull() & _sound(vec))
+    rows = items.where(F.col(group).isNotNull() & sound(vec))
     q = rows.select(
         F.col(id).cast("bigint").alias("q_id"), F.col(vec).alias("q_vec"),
         F.lit(1).alias("k"), F.lit(NO_FLOOR).alias("floor"), F.col(group).alias("cell"),

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from ..operators.sampling import assign_split
 from ..operators.state import read_run, read_runs, save_clusters, write_run
-from ..session import scratch_path
+from ..operators.knn import knn_join
+from ..session import cut_lineage, scratch_path
 from ..sources import files
-from ..sources.vector_index import build_index, load_index, save_index, search_index
+from ..sources.vector_index import GrowingIndex, build_index, load_index, save_index, search_index
 from .base import clusters, customer_products, portable_draw, query, similarity, table, upto
 from .state import MIN_SIZE, NOW
-from .vectors import TOP_K, _embeddings
+from .vectors import TOP_K, _embeddings, held_against_exact
 
 
 @query("csv_round_trip", "SELECT doc_id, text, lang, n_chars FROM documents")
@@ -74,6 +75,51 @@ def saved_index_search(spark, sf):
     return hits.select(F.col("q_id").alias("id"), F.col("b_id").alias("nn_id"), "sim", "rank")
 
 
+@query("saved_index_ivf", "SELECT vec_id AS id, TRUE AS enough, TRUE AS none_better FROM embeddings")
+def saved_index_ivf(spark, sf):
+    """Approximate neighbours in a saved index, which probes as many cells as it measured when it was saved.
+
+    Per item: at least 0.9 of the exact neighbours are found over the whole table, and no hit is nearer than the exact one of its rank.
+    """
+    items, path = _embeddings(spark, sf), scratch_path(spark, "index")
+    save_index(build_index(items), spark, path)
+    near = cut_lineage(search_index(load_index(spark, path), items, TOP_K, strategy="ivf"))
+    return held_against_exact(items, near, knn_join(items, items, TOP_K))
+
+
+# Embeddings after three runs: all that are not in the third, changed ones with another item's vector, none of the deleted.
+AFTER_RUNS = """
+    SELECT a.vec_id AS id, CASE WHEN a.vec_id % 7 = 3 THEN b.embedding ELSE a.embedding END AS vec
+    FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id - 1
+    WHERE a.vec_id % 11 <> 5
+"""
+
+
+@query(
+    "index_after_runs",
+    f"""WITH now AS ({AFTER_RUNS})
+        SELECT id, nn_id, sim, rank FROM (
+          SELECT a.id, b.id AS nn_id, {similarity('a.vec', 'b.vec')} AS sim,
+                 CAST(row_number() OVER (PARTITION BY a.id ORDER BY {similarity('a.vec', 'b.vec')} DESC, b.id) AS INTEGER) AS rank
+          FROM now a, now b WHERE a.vec IS NOT NULL AND b.vec IS NOT NULL) t WHERE rank <= {TOP_K}""",
+)
+def index_after_runs(spark, sf):
+    """An index begun with a third of the vectors, changed by two runs, split and merged, searched for what counts now."""
+    items = _embeddings(spark, sf).select("id", "vec")
+    other = items.join(items.select((F.col("id") + 1).alias("id"), F.col("vec").alias("other")), "id", "left")
+    changed = other.where("id % 7 = 3").select("id", F.col("other").alias("vec"))
+    index = GrowingIndex(spark, scratch_path(spark, "growing"))
+    at = index.create(items.where("id % 3 = 0"))
+    at = index.change(at, items.where("id % 3 = 1"), items.where("id % 11 = 5"))
+    at = index.split(at, overfull=1.5, least_rows=8)
+    at = index.change(at, items.where("id % 3 = 2 AND id % 7 != 3").unionAll(changed))
+    at = index.change(at, items.limit(0), items.where("id % 11 = 5"))
+    at = index.merge(at)
+    queries = other.where("id % 11 <> 5").select("id", F.when(F.col("id") % 7 == 3, F.col("other")).otherwise(F.col("vec")).alias("vec"))
+    hits = index.search(at, queries, TOP_K, probes=4)
+    return hits.select(F.col("q_id").alias("id"), F.col("b_id").alias("nn_id"), "sim", "rank")
+
+
 @query(
     "run_tables",
     f"""SELECT 'before' AS version, count(*) AS n_rows, count(*) FILTER (WHERE o_orderstatus = 'O') AS n_unnamed FROM orders

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import state
+from ..operators.membership import build_filters, not_stored
 from ..session import scratch_path
 from .base import CLUSTERS, CUSTOMER_PRODUCTS, clusters, customer_products, query, table
 
@@ -138,6 +139,27 @@ def cache_anti(spark, sf):
     return state.without_cached(_scored(spark, sf).select("id1", "id2").distinct(), cached)
 
 
+@query(
+    "cache_filter_anti",
+    """WITH asked AS (SELECT DISTINCT l_partkey AS id1, l_orderkey AS id2 FROM lineitem WHERE l_linestatus = 'O'
+                      UNION SELECT l_partkey, l_orderkey FROM lineitem WHERE l_linestatus = 'F' AND l_linenumber = 1),
+            stored AS (SELECT l_partkey AS id1, l_orderkey AS id2 FROM lineitem WHERE l_linestatus = 'F')
+       SELECT id1, id2, TRUE AS most_skipped FROM asked a
+       WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.id1 = a.id1 AND s.id2 = a.id2)""",
+)
+def cache_filter_anti(spark, sf):
+    """Pairs that are not in the cache, by way of its filters, kept from two runs; and whether these spared the look-up for most of them."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("id1"), F.col("l_orderkey").alias("id2"), "l_linestatus", "l_linenumber"
+    )
+    stored, path = lines.where("l_linestatus = 'F'"), scratch_path(spark, "filters")
+    for run, rule in (("1", "l_linenumber <= 2"), ("2", "l_linenumber > 2")):
+        state.write_run(build_filters(stored.where(rule), part_pairs=1 << 14), path, run)
+    asked = lines.where("l_linestatus = 'O' OR l_linenumber = 1").select("id1", "id2").distinct()
+    looked = not_stored(asked, stored, state.read_runs(spark, path))
+    return looked.absent.withColumn("most_skipped", F.lit(looked.skipped >= 0.95))
+
+
 @query(
     "cache_union",
     f"""SELECT l_partkey AS id1, l_suppkey AS id2, CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS match, l_tax AS prob

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as v
 from ..operators import blocking, knn
 from ..operators.encode import fit_tfidf, fit_word2vec
+from ..session import cut_lineage
 from .base import MASTERS, PRODUCTS, masters, products, query, similarity, table, spread
 
 TOP_K = 6
@@ -100,6 +101,26 @@ def knn_overfetch_filter(spark, sf):
     )
 
 
+def held_against_exact(items, near, exact, recall=0.9):
+    """Per item: whether ``recall`` of the exact hits are found over all items, and whether no hit is nearer than the exact one of its rank."""
+    true = exact.select("q_id", "rank", F.col("b_id").alias("true_id"), F.col("sim").alias("true_sim"))
+    held = true.join(near, ["q_id", "rank"], "left").groupBy(F.col("q_id").alias("id")).agg(
+        F.min(F.coalesce(F.col("sim") <= F.col("true_sim") + 1e-9, F.lit(True))).alias("none_better")
+    )
+    found = near.join(exact.select("q_id", "b_id"), ["q_id", "b_id"], "left_semi").count() / max(1, exact.count())
+    return items.select("id").join(held, "id", "left").select(
+        "id", F.lit(found >= recall).alias("enough"), F.coalesce("none_better", F.lit(True)).alias("none_better")
+    )
+
+
+@query("knn_forest", "SELECT vec_id AS id, TRUE AS enough, TRUE AS none_better FROM embeddings")
+def knn_forest(spark, sf):
+    """Neighbours from a forest of projection trees held against the exact ones, as for ``saved_index_ivf``."""
+    items = _embeddings(spark, sf)
+    near = cut_lineage(knn.knn_join(items, items, TOP_K, strategy="forest"))
+    return held_against_exact(items, near, knn.knn_join(items, items, TOP_K))
+
+
 @query(
     "knn_ivf",
     """SELECT vec_id AS id, TRUE AS own_first, TRUE AS enough, TRUE AS none_better FROM embeddings""",

@@ -1,6 +1,9 @@
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kinmatch.operators import components as c
 
@@ -76,15 +79,16 @@ def average_link(scores, threshold):
         clusters[a] += clusters.pop(b)
 
 
+@pytest.mark.parametrize("task_links", [1 << 20, 12, 0])
 @pytest.mark.parametrize("seed", range(3))
-def test_average_link_matches_one_at_a_time_merging(spark, seed):
+def test_average_link_matches_one_at_a_time_merging(spark, seed, task_links):
     r = random.Random(seed)
     scores = {}
     for _ in range(70):
         a, b = sorted(r.sample(range(25), 2))
         scores[a, b] = round(r.random(), 6)
     df = spark.createDataFrame([(b, a, p) for (a, b), p in scores.items()], "id1 bigint, id2 bigint, prob double")
-    got = {x["id"]: x["cluster"] for x in c.average_link_clusters(df, 0.35).collect()}
+    got = {x["id"]: x["cluster"] for x in c.average_link_clusters(df, 0.35, task_links).collect()}
     assert got == average_link(scores, 0.35)
 
 
@@ -107,3 +111,33 @@ def test_contraction_alone_keeps_the_components():
     got = list(zip(member.tolist(), root.tolist()))
     assert {x: r for x, r in got if x != r} == want
     assert {x for x, r in got if x == r} == {x for x, y in edges if x == y}
+
+
+@given(st.dictionaries(st.tuples(st.integers(0, 9), st.integers(0, 9)).filter(lambda p: p[0] < p[1]), st.sampled_from([0.2, 0.4, 0.5, 0.5, 0.9, 0.77])))
+@settings(max_examples=300, deadline=None)
+def test_merging_in_memory_with_many_ties(scores):
+    a, b = ([p[k] for p in scores] for k in (0, 1))
+    found = c._merge_closest(a, b, list(scores.values()), {x: 1 for x in (*a, *b)}, 0.35)
+    want = average_link(scores, 0.35)
+    assert {**found, **{x: x for x in found.values()}} == want
+
+
+def test_a_chain_of_falling_scores_needs_few_rounds(spark, monkeypatch):
+    n, rounds = 10_000, []
+    real = c.connected_components
+    monkeypatch.setattr(c, "connected_components", lambda *a, **k: rounds.append(1) or real(*a, **k))
+    chain = spark.range(n).select(F.col("id").alias("id1"), (F.col("id") + 1).alias("id2"), (1 - F.col("id") / (2 * n)).alias("prob"))
+    got = {x["id"]: x["cluster"] for x in c.average_link_clusters(chain, 0.35).collect()}
+    links = [(r["id1"], r["id2"], r["prob"]) for r in chain.collect()]
+    a, b, total = (list(x) for x in zip(*links))
+    found = c._merge_closest(a, b, total, {x: 1 for x in range(n + 1)}, 0.35)
+    assert got == {**found, **{x: x for x in found.values()}} and len(rounds) < 20
+    # two neighbours of a chain make a cluster: their mean to the next is half a score
+    assert got[0] == got[1] == 0 and got[2] != 0
+
+
+def test_clusters_of_odd_pairs(spark):
+    rows = [(1, 1, 0.9), (1, 2, 0.5), (2, 1, 0.8), (3, 4, 0.0), (5, 6, -1.0), (7, None, 0.9), (8, 9, None)]
+    df = spark.createDataFrame(rows, "id1 bigint, id2 bigint, prob double")
+    assert sorted(tuple(r) for r in c.average_link_clusters(df).collect()) == [(1, 1), (2, 1)]
+    assert c.average_link_clusters(df.limit(0)).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +18,6 @@ from .tokens import SpacePrefixEncoder
 CAPACITY = 2048
 # Tokens that a task packs together; bounds its memory, changes no row count.
 BLOCK_TOKENS = 1 << 20
-# Open sequences looked at, cheapest first, before a piece is cut.
-LOOK = 8
 
 
 def sequence_sizes(total: int, capacity: int = CAPACITY) -> list[int]:
@@ -30,13 +29,49 @@ def sequence_sizes(total: int, capacity: int = CAPACITY) -> list[int]:
     return [capacity] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+class _Open:
+    """Open sequences by remaining room: the cheapest of those with at least some room, in a few steps.
+
+    A heap of (cost, sequence) for every room, under a tree whose nodes hold the cheapest below them.
+    """
+
+    def __init__(self, most: int):
+        self.width = 1 << most.bit_length()
+        self.heaps: list[list] = [[] for _ in range(self.width)]
+        self.best: list = [(math.inf, -1, 0)] * (2 * self.width)
+
+    def _renew(self, room: int) -> None:
+        heap, at, best = self.heaps[room], room + self.width, self.best
+        best[at] = (*heap[0], room) if heap else (math.inf, -1, 0)
+        while at > 1:
+            at >>= 1
+            best[at] = min(best[2 * at], best[2 * at + 1])
+
+    def add(self, cost: float, sequence: int, room: int) -> None:
+        heapq.heappush(self.heaps[room], (cost, sequence))
+        self._renew(room)
+
+    def take(self, room: int) -> tuple[float, int] | None:
+        """Remove the cheapest sequence with at least this room; ties to the earlier one."""
+        found, low, high = self.best[0], room + self.width, 2 * self.width
+        while low < high:
+            if low & 1:
+                found, low = min(found, self.best[low]), low + 1
+            low, high = low >> 1, high >> 1
+        if found[1] < 0:
+            return None
+        heapq.heappop(self.heaps[found[2]])
+        self._renew(found[2])
+        return found[:2]
+
+
 def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """Assign documents of these lengths: ``(document, start, length, sequence, offset)`` per piece.
 
     A piece of n tokens costs n + n^2 / capacity (linear layers and attention).
     Documents are taken by falling length, ties in given order, each to the cheapest
-    open sequence that has room for all of it; when none of the cheapest ones has, it
-    is cut to fill the cheapest. Whole sequences' worth of a long document is cut off first.
+    open sequence that has room for all of it; only when none has, it is cut to fill the
+    cheapest of all. Whole sequences' worth of a long document is cut off first.
     """
     pieces, out, sequence = [], [], 0
     for i, n in enumerate(lengths):
@@ -48,24 +83,17 @@ def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int
             pieces.append((n % capacity, i, whole * capacity))
     pieces.sort(key=lambda p: (-p[0], p[1]))
     room = sequence_sizes(sum(p[0] for p in pieces), capacity)
-    size = list(room)
-    open_ = [(0.0, k) for k in range(len(room))]
+    size, open_ = list(room), _Open(capacity)
+    for k, free in enumerate(room):
+        open_.add(0.0, k, free)
     for n, i, start in pieces:
         while n:
-            seen, chosen = [], None
-            while open_ and len(seen) < LOOK:
-                seen.append(heapq.heappop(open_))
-                if room[seen[-1][1]] >= n:
-                    chosen = len(seen) - 1
-                    break
-            cost, k = seen.pop(chosen or 0)
-            for other in seen:
-                heapq.heappush(open_, other)
+            cost, k = open_.take(n) or open_.take(1)
             part = min(n, room[k])
             out.append((i, start, part, sequence + k, size[k] - room[k]))
             room[k] -= part
             if room[k]:
-                heapq.heappush(open_, (cost + part + part * part / capacity, k))
+                open_.add(cost + part + part * part / capacity, k, room[k])
             start, n = start + part, n - part
     return out
 

@@ -64,6 +64,28 @@ def test_every_token_lies_in_one_piece(lengths):
         assert at <= 64 and (at == 64 or at & (at - 1) == 0)
 
 
+@given(st.lists(st.integers(1, 90), max_size=50))
+@settings(max_examples=200, deadline=None)
+def test_each_goes_to_the_cheapest_with_room(lengths):
+    """The rule by a look at all open sequences for every piece."""
+    capacity, want, sequence, pieces = 64, [], 0, []
+    for i, n in enumerate(lengths):
+        want += [(i, 64 * k, 64, sequence + k, 0) for k in range(n // 64)]
+        sequence += n // 64
+        pieces += [(n % 64, i, n - n % 64)] if n % 64 else []
+    sizes = sequence_sizes(sum(p[0] for p in pieces), capacity)
+    used, cost = [0] * len(sizes), [0.0] * len(sizes)
+    for n, i, start in sorted(pieces, key=lambda p: (-p[0], p[1])):
+        while n:
+            free = [k for k in range(len(sizes)) if sizes[k] > used[k]]
+            k = min([k for k in free if sizes[k] - used[k] >= n] or free, key=lambda k: (cost[k], k))
+            part = min(n, sizes[k] - used[k])
+            want.append((i, start, part, sequence + k, used[k]))
+            used[k], cost[k] = used[k] + part, cost[k] + part + part * part / capacity
+            start, n = start + part, n - part
+    assert pack_lengths(lengths, capacity) == want
+
+
 def test_sequence_sizes():
     assert sequence_sizes(0) == [] and sequence_sizes(2048) == [2048] and sequence_sizes(2048 + 7) == [2048, 4, 2, 1]
 

@@ -51,6 +51,14 @@ def draw(*keys: Column | str, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(text), 1, DRAW_DIGITS), 16, 10).cast("bigint")
 
 
+def drawn_below(cut: int, *keys: Column | str, seed: int = 0) -> Column:
+    """Whether :func:`draw` of the keys is below ``cut``; hex digits compare like the numbers they spell."""
+    if cut >= DRAW_MODULUS:
+        return F.lit(True)
+    text = F.concat_ws(":", *[F.coalesce(_col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.substring(F.md5(text), 1, DRAW_DIGITS) < F.lit(f"{max(0, cut):0{DRAW_DIGITS}x}")
+
+
 def hash_draw(*keys: Column | str, seed: int = 0) -> Column:
     """Uniform draw in [0, 1) from a 64-bit hash of any columns."""
     h = F.xxhash64(*[_col(k) for k in keys], F.lit(seed))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from ..functions.numeric import DRAW_MODULUS, draw
+from ..functions.numeric import DRAW_MODULUS, draw, drawn_below
 from ..functions.ranks import global_rank
 
 # Default split sizes, masking rate and special tokens.
@@ -18,6 +21,11 @@ MASK_TOKEN = "[MASK]"
 SPECIAL_TOKENS = ("[CLS]", "[SEP]", "[PAD]")
 
 
+# Rows that a task holds before it keeps each stratum's first, and parts in which a stratum is merged.
+HELD_ROWS = 1 << 18
+SAMPLE_PARTS = 64
+
+
 def _cut(fraction: float) -> int:
     return int(fraction * DRAW_MODULUS)
 
@@ -33,10 +41,10 @@ def assign_split(
     """Name each row's set by the draw of its key; no shuffle, sizes approximate. NULL keys share one draw."""
     total = sum(fractions.values())
     names = list(fractions)
-    number, choice, upto = draw(key, seed=seed), None, 0.0
+    choice, upto = None, 0.0
     for name in names[:-1]:
         upto += fractions[name] / total
-        test = number < F.lit(_cut(upto))
+        test = drawn_below(_cut(upto), key, seed=seed)
         choice = F.when(test, name) if choice is None else choice.when(test, name)
     last = F.lit(names[-1])
     return df.withColumn(out, last if choice is None else choice.otherwise(last))
@@ -44,8 +52,8 @@ def assign_split(
 
 def split_two(df: DataFrame, key: str, test_fraction: float = TEST_FRACTION, seed: int = 0):
     """``(train, test)`` by :func:`assign_split`."""
-    cut = F.lit(_cut(1.0 - test_fraction))
-    return df.where(draw(key, seed=seed) < cut), df.where(draw(key, seed=seed) >= cut)
+    train = drawn_below(_cut(1.0 - test_fraction), key, seed=seed)
+    return df.where(train), df.where(~train)
 
 
 def assign_split_exact(
@@ -67,7 +75,51 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
 
 
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
-    return df.where(draw(key, seed=seed) < F.lit(_cut(fraction)))
+    return df.where(drawn_below(_cut(fraction), key, seed=seed))
+
+
+def _least_of_each(rows: pa.Table, n: int) -> pa.Table:
+    """The first ``n`` rows of each stratum by draw, then key."""
+    ordered = rows.sort_by([("__stratum", "ascending"), ("__draw", "ascending"), ("__key", "ascending")])
+    code = ordered["__stratum"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+    first = np.flatnonzero(np.concatenate([[True], np.diff(code) != 0])) if len(code) else np.zeros(0, np.int64)
+    nth = np.arange(len(code)) - np.repeat(first, np.diff(np.append(first, len(code))))
+    return ordered.filter(pa.array(nth < n))
+
+
+def stratified_sample(df: DataFrame, stratum: str, key: str, n: int, seed: int = 0, parts: int = SAMPLE_PARTS) -> DataFrame:
+    """Exactly ``n`` rows of every value of ``stratum``, or all it has: the first by draw of ``key``, then key.
+
+    One pass: each task keeps at most ``n`` rows of a stratum; what tasks have kept is merged in ``parts`` parts of
+    each stratum, then by stratum, so a stratum's final task sees at most ``n * parts`` rows, however many it has. NULL is a stratum.
+    Rows alike in key are taken in any order.
+    """
+    names = [f.name for f in df.schema]
+    drawn = df.select(
+        *[F.col(c) for c in names], F.col(stratum).cast("string").alias("__stratum"), draw(key, seed=seed).alias("__draw"),
+        F.col(key).alias("__key"),
+    )
+
+    def keep(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(pa.Table.from_batches([batch]))
+            size += batch.num_rows
+            if size >= HELD_ROWS:
+                held = [_least_of_each(pa.concat_tables(held), n)]
+                size = held[0].num_rows
+                if size > HELD_ROWS // 2:
+                    # many strata: pass them on
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        if held:
+            yield from _least_of_each(pa.concat_tables(held), n).to_batches()
+
+    kept = drawn.mapInArrow(keep, schema=drawn.schema)
+    merged = kept.repartition("__stratum", F.pmod(F.xxhash64("__draw", "__key"), F.lit(parts))).mapInArrow(keep, schema=drawn.schema)
+    last = merged.repartition("__stratum").sortWithinPartitions("__stratum", "__draw", "__key")
+    nth = F.row_number().over(W.partitionBy("__stratum").orderBy("__draw", "__key"))
+    return last.withColumn("__nth", nth).where(F.col("__nth") <= n).select(*names)
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
@@ -94,10 +146,9 @@ def mask_tokens(tokens: Column | str, key: Column | str, rate: float = MASK_RATE
     """
     items = F.col(tokens) if isinstance(tokens, str) else tokens
     row = F.col(key) if isinstance(key, str) else key
-    cut = F.lit(_cut(rate))
 
     def mask(token: Column, pos: Column) -> Column:
-        drawn = (draw(row, pos, seed=seed) < cut) & ~token.isin(*SPECIAL_TOKENS)
+        drawn = drawn_below(_cut(rate), row, pos, seed=seed) & ~token.isin(*SPECIAL_TOKENS)
         return F.struct(F.when(drawn, F.lit(MASK_TOKEN)).otherwise(token).alias("token"), token.alias("label"))
 
     return F.transform(items, mask)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import score_to_label
 from ..functions.vectors import cosine
 from ..operators.blocking import block_pairs, block_to_masters
+from ..operators.colocated import store_by_id
 from ..operators.components import cluster_all, cluster_matches
 from ..operators.knn import knn_filtered, knn_join
 from ..operators.metrics import assignment_accuracy, classification_report, threshold_sweep
@@ -40,6 +41,8 @@ BLOCKER_THRESHOLD = 0.25
 MIN_CLUSTER_SIZE = 3
 ASSIGN_OVER_FETCH = 100
 ASSIGN_NEIGHBOURS = 10
+# Labelled rows that a training job fits on unless told otherwise: pairs grow with the square of a master's offers.
+MAX_LABELLED = 200_000
 
 
 def cluster_similar(
@@ -80,6 +83,7 @@ def match_products(
     strategy: str = "exact",
     order: str = "name",
     cached: DataFrame | None = None,
+    by_id: bool = False,
 ) -> MatchResult:
     """Match job: clean, extract sizes, encode, block, score, cluster.
 
@@ -87,11 +91,12 @@ def match_products(
     a vector stay and match nothing. ``cached`` are scored pairs ``(id1, id2, match,
     prob)`` of earlier runs: candidates among them are not scored again. The stages
     that others read more than once are stored in the shared folder. At large scale
-    give ``strategy="ivf"``; the exact search may have to compare all with all.
+    give ``strategy="ivf"`` or ``"forest"``; the exact search may have to compare all with all. ``by_id`` stores the encoded
+    products in buckets of their id, so that the four look-ups of pairs' members leave them where they lie.
     """
     clean, _ = preprocess(products, order=order)
     sized = add_sentence(product_regex(clean), keep_columns)
-    encoded = _stored(encoder.transform(sized), "encoded")
+    encoded = store_by_id(encoder.transform(sized)) if by_id else _stored(encoder.transform(sized), "encoded")
     candidates = _stored(block_pairs(encoded, top_k, threshold, strategy=strategy), "candidates")
     wanted = candidates if cached is None else without_cached(candidates, cached)
     scored = match_pairs(serialize(wanted, encoded, keep_columns), scorer, match_threshold)
@@ -192,7 +197,7 @@ def labelled_products(
 def train_matcher(
     products: DataFrame, encoder: Any, *, masters: DataFrame | None = None,
     keep_columns: Sequence[str] = DEFAULT_COLUMNS, test_fraction: float = TEST_FRACTION, threshold: float = 0.5,
-    strategy: str = "exact", max_rows: int | None = None,
+    strategy: str = "exact", max_rows: int | None = MAX_LABELLED,
 ) -> TrainResult:
     """Matcher training job: clean and label, pairs, texts, split, fit, report. The scorer can be saved."""
     encoded = _stored(encoder.transform(labelled_products(products, masters, max_rows)), "labelled")
@@ -204,7 +209,7 @@ def train_matcher(
 
 def train_one_shot(
     products: DataFrame, encoder: Any, *, masters: DataFrame | None = None, test_fraction: float = TEST_FRACTION,
-    threshold: float = 0.5, strategy: str = "exact", max_rows: int | None = None,
+    threshold: float = 0.5, strategy: str = "exact", max_rows: int | None = MAX_LABELLED,
 ) -> TrainResult:
     """One-shot training job: product names against master names."""
     encoded = _stored(encoder.transform(labelled_products(products, masters, max_rows)), "labelled")
@@ -221,7 +226,7 @@ def evaluate_blocker(labelled_pairs: DataFrame, products: DataFrame) -> DataFram
 
 def train_blocker_set(
     products: DataFrame, encoder: Any, *, masters: DataFrame | None = None,
-    keep_columns: Sequence[str] = DEFAULT_COLUMNS, strategy: str = "exact", max_rows: int | None = None,
+    keep_columns: Sequence[str] = DEFAULT_COLUMNS, strategy: str = "exact", max_rows: int | None = MAX_LABELLED,
 ) -> tuple[DataFrame, DataFrame]:
     """Blocker training set and the evaluation of the present vectors on it."""
     encoded = _stored(encoder.transform(labelled_products(products, masters, max_rows)), "labelled")

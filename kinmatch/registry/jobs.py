@@ -18,7 +18,7 @@ from ..operators.scoring import (
 from ..plans import jobs
 from ..plans.products import product_regex
 from ..session import cut_lineage, scratch_path
-from ..streaming import monitor
+from ..streaming import arrivals, monitor
 from ..operators.state import read_runs, write_run
 from ..sources import files
 from .base import (
@@ -376,3 +376,38 @@ def stream_new_products(spark, sf):
     monitor.start_monitor(stream, f"{path}/progress", sink).awaitTermination()
     added = read_runs(spark, f"{path}/master_product_clusters").where("run != 'start'")
     return added.select("id", "internal_product_id", "master_product_id", "master_product_status_id", "created_at")
+
+
+WAIT_MS = 3 * 86_400_000
+
+
+@query(
+    "stream_settled",
+    f"""WITH e AS (SELECT user_id, event_id, ts, value, epoch_ms(ts) AS ms, epoch_ms(ts) + (event_id % 7) * 86400000 AS arrived FROM events),
+       cut AS (SELECT (min(arrived) + max(arrived)) // 2 AS t FROM e),
+       d1 AS (SELECT e.* FROM e, cut WHERE arrived <= t), d2 AS (SELECT e.* FROM e, cut WHERE arrived > t),
+       w1 AS (SELECT max(arrived) AS w FROM d1), w2 AS (SELECT max(arrived) AS w FROM d2),
+       newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, event_id DESC) AS r FROM d1) WHERE r = 1),
+       open AS (SELECT user_id, event_id, ts, value, ms FROM newest, w1 WHERE ms + {WAIT_MS} > w
+                UNION ALL SELECT user_id, event_id, ts, value, ms FROM d2, w1 WHERE ms + {WAIT_MS} > w),
+       newest2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, event_id DESC) AS r FROM open) WHERE r = 1)
+       SELECT user_id, event_id, ts, value, 'settled' AS kind FROM newest, w1 WHERE ms + {WAIT_MS} <= w
+       UNION ALL SELECT user_id, event_id, ts, value, 'late' FROM d2, w1 WHERE ms + {WAIT_MS} <= w
+       UNION ALL SELECT user_id, event_id, ts, value, 'settled' FROM newest2, w2 WHERE ms + {WAIT_MS} <= w""",
+)
+def stream_settled(spark, sf):
+    """Events as versions of their user's row, up to six days late, in two deliveries: what settles and what is late."""
+    events = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    arrived = F.timestamp_millis(F.unix_millis("ts") + (F.col("event_id") % 7) * 86_400_000)
+    rows, root = events.withColumn("arrived", arrived), scratch_path(spark, "arrivals")
+    ends = rows.agg(F.min(F.unix_millis("arrived")).alias("a"), F.max(F.unix_millis("arrived")).alias("b")).first()
+    middle = F.unix_millis("arrived") <= (ends["a"] + ends["b"]) // 2
+    for k, delivery in enumerate((rows.where(middle), rows.where(~middle))):
+        delivery.coalesce(1).write.parquet(f"{root}/in/delivery={k}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in/*")
+        settled = arrivals.settle_products(stream, "user_id", "ts", "arrived", "3 days")
+        writer = settled.writeStream.foreachBatch(arrivals.arrival_sink(root)).option("checkpointLocation", f"{root}/progress")
+        with arrivals.timers(spark):
+            writer.trigger(availableNow=True).start().awaitTermination()
+    out = [spark.read.parquet(f"{root}/{name}/*").withColumn("kind", F.lit(kind)) for name, kind in (("products", "settled"), ("late", "late"))]
+    return out[0].unionByName(out[1]).select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value", "kind")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import rows, state
+from ..operators import colocated, distinct, rows, state
+from ..operators.state import read_runs, write_run
 from ..plans import queries as q
+from ..session import scratch_path
 from .base import CLUSTERS, CUSTOMER_PRODUCTS, clusters, customer_products, query, table
 
 
@@ -197,6 +199,18 @@ def pair_names(spark, sf):
     return rows.lookup_both(pairs, part, ["name"])
 
 
+@query(
+    "pair_names_colocated",
+    """SELECT l_partkey AS id1, l_suppkey AS id2, a.p_name AS name1, b.p_name AS name2
+       FROM lineitem LEFT JOIN part a ON a.p_partkey = l_partkey LEFT JOIN part b ON b.p_partkey = l_suppkey""",
+)
+def pair_names_colocated(spark, sf):
+    """The same against a table stored in buckets of its id, which stays where it lies."""
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    pairs = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id1"), F.col("l_suppkey").alias("id2"))
+    return colocated.look_up_both(pairs, colocated.store_by_id(part), ["name"])
+
+
 @query(
     "pair_images",
     """SELECT doc_id AS id1, doc_id + 1 AS id2, quality AS match, p1.url AS url1, p2.url AS url2
@@ -249,6 +263,23 @@ def distinct_two_cols(spark, sf):
     return rows.distinct_over(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
+@query(
+    "distinct_over_runs",
+    """SELECT l_returnflag, count(DISTINCT v) AS n, TRUE AS near FROM (
+         SELECT l_returnflag, l_partkey AS v FROM lineitem UNION ALL SELECT l_returnflag, l_suppkey FROM lineitem) t GROUP BY 1""",
+)
+def distinct_over_runs(spark, sf):
+    """Distinct values over two columns from the stored sketches of two runs that overlap, held against the exact number."""
+    lines, path = table(spark, sf, "lineitem"), scratch_path(spark, "sketches")
+    for run, rule in (("1", "l_linenumber <= 4"), ("2", "l_linenumber >= 3")):
+        write_run(distinct.sketch_distinct(lines.where(rule), ["l_partkey", "l_suppkey"], ["l_returnflag"]), path, run)
+    near = distinct.estimate_distinct(read_runs(spark, path), ["l_returnflag"], out="estimate")
+    values = lines.select("l_returnflag", F.explode(F.array("l_partkey", "l_suppkey")).alias("v")).distinct()
+    exact = values.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    close = F.abs(F.col("estimate") - F.col("n")) <= 0.02 * F.col("n")
+    return exact.join(near, "l_returnflag").select("l_returnflag", "n", close.alias("near"))
+
+
 @query(
     "groups_min_count",
     """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (

@@ -328,6 +328,19 @@ def sample_rows(spark, sf):
     return sampling.sample_rows(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 1000)
 
 
+@query(
+    "stratified_sample",
+    f"""SELECT o_orderpriority, o_orderkey FROM (
+          SELECT o_orderpriority, o_orderkey, row_number() OVER (
+                   PARTITION BY o_orderpriority ORDER BY {portable_draw('o_orderkey')}, o_orderkey) AS nth FROM orders) t
+        WHERE nth <= 150""",
+)
+def stratified_sample(spark, sf):
+    """Exactly as many rows of each priority."""
+    orders = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey")
+    return sampling.stratified_sample(orders, "o_orderpriority", "o_orderkey", 150)
+
+
 @query(
     "rebalance_rows",
     f"""SELECT doc_id, quality AS match FROM labels WHERE quality = 1

@@ -64,6 +64,13 @@ def test_match_job_stores_one_cluster_per_name(spark, offers, encoder):
     assert read_runs(spark, f"{path}/master_product_status_histories").count() == len(saved)
 
 
+def test_products_stored_by_id_give_the_same_matches(spark, offers, encoder):
+    options = {"top_k": 12, "threshold": 0.5, "match_threshold": 0.85}
+    plain, placed = (jobs.match_products(offers, encoder, scorer(), by_id=b, **options) for b in (False, True))
+    key = lambda df: sorted(tuple(r) for r in df.select("id1", "id2", "match").collect())
+    assert key(plain.matches) == key(placed.matches) and plain.clusters.count() == placed.clusters.count()
+
+
 def test_one_shot_job_stores_suggestions(spark, offers, encoder):
     masters = spark.createDataFrame(
         [(100 + i, n, 1) for i, n in enumerate(NAMES)], "id bigint, name string, product_category_id bigint"

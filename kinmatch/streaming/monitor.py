@@ -63,6 +63,11 @@ def start_monitor(
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def suggestion_sink(
     spark: SparkSession, path: str, masters: DataFrame, encoder: Any, scorer: PairScorer, run_prefix: str,
     now: datetime | Column | None = None, **options
@@ -70,18 +75,26 @@ def suggestion_sink(
     """Add each batch's suggestions to ``<path>/master_product_clusters`` and its history.
 
     The tables are written run by run. A batch writes its own rows only, under the
-    run of its number, so a repeated batch replaces just these. ``now`` defaults to
+    run of its number, so a repeated batch replaces just these. Each notes its largest id in
+    ``<path>/last_ids``; rows are read only of runs without such a note. ``now`` defaults to
     the time of the batch.
     """
     clusters, histories = f"{path}/master_product_clusters", f"{path}/master_product_status_histories"
+    last_ids = f"{path}/last_ids"
 
     def on_batch(batch: DataFrame, number: int) -> None:
         run = f"{run_prefix}-{number}"
         matches = match_batch(batch, masters, encoder, scorer, **options)
-        earlier = read_runs(spark, clusters).where(F.col("run") != run).drop("run")
+        earlier = read_runs(spark, clusters).where(F.col("run") != run)
+        if _exists(spark, last_ids):
+            noted = read_runs(spark, last_ids).where(F.col("run") != run)
+            runs = [r["run"] for r in noted.select("run").distinct().collect()]  # one row a batch
+            earlier = earlier.where(~F.col("run").isin(runs)).unionByName(noted, allowMissingColumns=True)
+        earlier = earlier.drop("run")
         added, history = add_suggestions(earlier, matches, now if now is not None else datetime.now(timezone.utc))
         stored = cut_lineage(added)
         write_run(stored, clusters, run)
         write_run(history, histories, run)
+        write_run(stored.agg(F.max("id").alias("id")), last_ids, run)
 
     return on_batch

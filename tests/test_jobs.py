@@ -244,6 +244,10 @@ def test_monitor_matches_each_arrival_once(spark, offers, encoder):
     second = run()
     assert second.select("internal_product_id").distinct().count() == 32
     assert second.groupBy("internal_product_id", "master_product_id").count().where("count > 1").count() == 0
+    # ids go on after the largest of all earlier runs, which each has noted
+    assert second.select("id").distinct().count() == second.count()
+    noted = {r["run"]: r["id"] for r in read_runs(spark, f"{root}/last_ids").collect()}
+    assert noted == {r["run"]: r["m"] for r in second.groupBy("run").agg(F.max("id").alias("m")).collect()} and len(noted) == 2
 
 
 def test_event_time_bounds_the_ids_kept(spark):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import per_worker
+from .ragged import step_ranges
 from .tokens import SpacePrefixEncoder
 
 CAPACITY = 2048
@@ -144,15 +145,18 @@ def pack(
         id_arrow = None
         for batch in batches:
             id_arrow = batch.column(0).type
-            found, counts = encode(batch.column(1))
-            raw, ends = found.astype("<u4").tobytes(), 4 * np.cumsum(counts)
-            for name, a, b in zip(batch.column(0).to_pylist(), (ends - 4 * counts).tolist(), ends.tolist()):
-                names.append(name)
-                held.append(raw[a:b] + end)
-                tokens += len(held[-1]) // 4
-                if tokens >= block_tokens:
-                    yield flush()
-                    names, held, tokens = [], [], 0
+            texts = batch.column(1)
+            for first, last in step_ranges(texts, encode.step):
+                found, counts = encode(texts.slice(first, last - first))
+                raw, ends = found.astype("<u4").tobytes(), 4 * np.cumsum(counts)
+                some = batch.column(0).slice(first, last - first).to_pylist()
+                for name, a, b in zip(some, (ends - 4 * counts).tolist(), ends.tolist()):
+                    names.append(name)
+                    held.append(raw[a:b] + end)
+                    tokens += len(held[-1]) // 4
+                    if tokens >= block_tokens:
+                        yield flush()
+                        names, held, tokens = [], [], 0
         if held:
             yield flush()
 

@@ -17,9 +17,6 @@ from .common import single_threaded
 from .lexicon import Bpe, byte_letters
 from .ragged import as_lists, bytes_of, list_sizes, run_sums, step_ranges
 
-# Stretches that a worker remembers at most, and bytes of text whose stretches are looked up together.
-REMEMBERED = 800_000
-STEP_BYTES = 1 << 23
 # Characters of a word up to which the library merges it.
 LONG = 200
 # These letters, and the marks after them, are one word each to the tokenizer's pattern.
@@ -28,6 +25,9 @@ _PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|()\"+=/-]*)").fu
 _LAST_LEAD = 0xC5
 
 
+# White space in ASCII, and what counts as such in places.
+_WHITE = np.zeros(256, bool)
+_WHITE[[*range(9, 14), *range(28, 33)]] = True
 _LETTERS = dict(enumerate(byte_letters()))
 
 
@@ -40,18 +40,22 @@ class _Remembering:
     """Encodes arrays of texts by their distinct stretches.
 
     ``number`` gives the place of a known stretch, in the order in which they came;
-    ``used`` says in how many steps each has occurred. Once there are too many, those of the most steps stay.
+    ``used`` says in how many steps each has occurred. Once there are more than ``remembered``, those of the most
+    steps stay; ``step`` are the bytes of text whose stretches are looked up together.
     """
 
+    remembered, step = 800_000, 1 << 23
+
     def __init__(self):
         self.number: dict[str, int] = {}
         self.ids, self.ends, self.used = array("I"), array("q", [0]), np.zeros(0, np.int32)
 
     def _forget(self) -> None:
-        least = max(2, int(np.partition(self.used, -(REMEMBERED * 3 // 4))[-(REMEMBERED * 3 // 4)]) + 1) if REMEMBERED > 1 else 1 << 30
-        keep = self.used >= least
-        known = as_lists(np.diff(np.array(self.ends)), pa.array(np.array(self.ids, np.uint32))).filter(pa.array(keep))
-        self.number = {s: k for k, s in enumerate(s for s, kept in zip(self.number, keep.tolist()) if kept)}
+        keep = self.remembered * 3 // 4
+        least = max(2, int(np.partition(self.used, -(keep))[-keep]) + 1) if keep else 1 << 30
+        kept = self.used >= least
+        known = as_lists(np.diff(np.array(self.ends)), pa.array(np.array(self.ids, np.uint32))).filter(pa.array(kept))
+        self.number = {s: k for k, s in enumerate(s for s, stays in zip(self.number, kept.tolist()) if stays)}
         self.ids = array("I", known.flatten().to_numpy().tobytes())
         self.ends = array("q", np.concatenate([[0], np.cumsum(list_sizes(known))]).astype(np.int64).tobytes())
         self.used = np.ones(len(self.number), np.int32)
@@ -80,7 +84,7 @@ class _Remembering:
         """Ids of all texts, one after another, and how many each has. NULL is an empty text."""
         texts = texts.fill_null("")
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for a, b in step_ranges(texts, STEP_BYTES):
+        for a, b in step_ranges(texts, self.step):
             stretches, codes, size = self._cut(texts.slice(a, b - a))
             at = np.fromiter(map(self._known, stretches), np.int64, len(stretches))
             known = as_lists(np.diff(np.array(self.ends)), pa.array(np.array(self.ids, np.uint32))).take(pa.array(at))
@@ -88,7 +92,7 @@ class _Remembering:
             counts.append(run_sums(list_sizes(known)[codes], size))
             self.used[at[at < len(self.used)]] += 1
             self.used = np.concatenate([self.used, np.ones(len(self.number) - len(self.used), np.int32)])
-            if len(self.number) > REMEMBERED:
+            if len(self.number) > self.remembered:
                 self._forget()
         return np.concatenate(ids), np.concatenate(counts)
 
@@ -126,9 +130,12 @@ class SpacePrefixEncoder(_Remembering):
 
     A text is cut before a single blank, and around a single line end, that stand
     between two characters that are not white space: no pattern of such a tokenizer reaches over
-    these places. Longer runs of white space stay with their neighbours.
+    these places. Longer runs of white space stay with their neighbours. It remembers less, as the
+    pipeline's last stage has workers that have grown in the stages before.
     """
 
+    remembered, step = 160_000, 1 << 21
+
     def __init__(self, path: str):
         super().__init__()
         single_threaded()
@@ -143,11 +150,12 @@ class SpacePrefixEncoder(_Remembering):
         edge = np.zeros(len(data) + 1, bool)
         edge[off] = True
         # white space by its last byte and by its first: rarer kinds count where they might be
-        plain = np.isin(data, [*range(9, 14), *range(28, 33)])
-        after_c2 = np.concatenate([[False], data[:-1] == 0xC2])
-        ends_white = plain | (after_c2 & np.isin(data, (0x85, 0xA0)))
-        begins_white = plain.copy()
-        begins_white[:-1] |= (data[:-1] == 0xC2) & np.isin(data[1:], (0x85, 0xA0))
+        plain, second = _WHITE[data], (data == 0x85) | (data == 0xA0)
+        second[1:] &= data[:-1] == 0xC2
+        second[:1] = False
+        ends_white = plain | second
+        begins_white = plain
+        begins_white[:-1] |= second[1:]
         alone = np.zeros(len(data), bool)
         if len(data) > 2:
             alone[1:-1] = ~ends_white[:-2] & ~begins_white[2:] & ~edge[1:-2] & ~edge[2:-1]

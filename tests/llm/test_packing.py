@@ -1,4 +1,3 @@
-import importlib
 import zlib
 
 import numpy as np
@@ -39,9 +38,8 @@ def test_words_together_are_the_whole_text(path, text):
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_a_full_memory_changes_nothing(path, monkeypatch):
-    module = importlib.import_module("kinmatch.llm.tokens")
-    monkeypatch.setattr(module, "REMEMBERED", 5)
     encode = type(ENCODERS[path])(path)
+    monkeypatch.setattr(encode, "remembered", 5)
     for k in range(8):
         text = " ".join(f"w{i} ord" for i in range(k, 12))
         assert encode(pa.array([text]))[0].tolist() == LIBRARY[path].encode(text, add_special_tokens=False).ids

@@ -1,12 +1,12 @@
 """k-nearest-neighbour joins over vectors: exact with pruning, or probing a few cells.
 
 Base vectors are assigned to the nearest of a bounded number of pivots (cells).
-A cell is cut into tiles of bounded size and the queries sent to it into chunks
-of bounded size; one task compares one chunk with one tile by a matrix product
-and keeps only each query's best ``k``, so neither all pairs of a cell nor a
-whole cell ever exist in one place. Pass one looks into each query's nearest
-cells. The exact strategy then looks into exactly those further cells which the
-triangle inequality cannot rule out against the k-th best found so far.
+Queries near the same pivots form chunks of bounded size. A chunk's task holds its
+queries and their best ``k`` so far, and base rows stream past it, nearest cells
+first; rows of a cell that the triangle inequality rules out against a query's k-th
+best are not compared with it. A base row is sent once to a chunk, however many of
+the chunk's queries ask for its cell, and a chunk gives each query's best ``k`` only.
+Rows that are copies of one vector are searched as one and parted again at the end.
 """
 
 from __future__ import annotations
@@ -30,7 +30,15 @@ MIN_CHUNK_ROWS = 128
 MAX_PIVOTS = 16_384
 MAX_PIVOT_BYTES = 64 << 20
 # Numbers held at once by a product of two matrices inside a task.
-BLOCK_CELLS = 1 << 22
+BLOCK_CELLS = 1 << 20
+# Base rows that stream past one chunk in one task, about; more are dealt to several tasks.
+STREAM_ROWS = 1 << 21
+# Rows to one vector from which on copies are searched as one.
+COPIED = 1.5
+# Hits that are waiting to be cut to the best k, beside these.
+WAITING_HITS = 1 << 20
+# Error of a similarity in single precision, for each component.
+SINGLE_ERROR = 1.2e-7
 # Hits that a block of queries and base rows may find: queries times their largest k.
 BLOCK_HITS = 1 << 22
 # Slack of the pruning test, well above rounding error and the ranking digits.
@@ -92,9 +100,118 @@ def _top_of_row(cost: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row[keep], col[keep]
 
 
-def _best_in_block(farthest: bool, without_self: bool):
+class _Chunk:
+    """Queries of one chunk with the best base rows that they have met so far.
+
+    Products are made in single precision; those that may be among a query's best ``k``
+    are computed again in double precision. ``sight`` says which cells a query looks into.
+    """
+
+    def __init__(self, without_self: bool, sight=None):
+        self.without_self, self.sight, self.asked, self.ready = without_self, sight, [], False
+
+    def ask(self, rows) -> None:
+        self.asked.append((rows.column("q_id").to_numpy(zero_copy_only=False), rows.column("k").to_numpy(), _matrix(rows.column("q_vec"))))
+
+    def _start(self) -> None:
+        self.q_id, self.k, self.points = (np.concatenate(x) for x in zip(*self.asked))
+        self.asked, self.ready = [], True
+        self.single = self.points.astype(np.float32)
+        self.slack = (self.points.shape[1] + 4) * SINGLE_ERROR + 10.0**-SIMILARITY_DIGITS
+        self.floor = np.full(len(self.q_id), -np.inf)
+        self.room = int(self.k.sum())
+        self.waiting, self.n_waiting = [], 0
+        self.lifted = _lifted(self.points) if self.sight else None
+        self.near = self.sight.start(self.lifted) if self.sight else None
+
+    def meet(self, rows) -> None:
+        """Compare base rows with the queries that look into their cells."""
+        if not rows.num_rows or not self.asked and not self.ready:
+            return
+        if not self.ready:
+            self._start()
+        b_id, base = rows.column("b_id").to_numpy(zero_copy_only=False), _matrix(rows.column("b_vec"))
+        everyone = np.arange(len(self.q_id))
+        if self.sight is None:
+            return self._compare(everyone, b_id, base)
+        cells, of_row = np.unique(rows.column("cell").to_numpy(), return_inverse=True)
+        for some in _steps(len(cells), len(everyone)):
+            here = np.flatnonzero((of_row >= some.start) & (of_row < some.stop))
+            seen = self.sight.cells(self.lifted, self.near, cells[some], self.floor)
+            if not self.sight.strict and seen.mean() > 0.5:
+                self._compare(everyone, b_id[here], base[here])
+                continue
+            for n in np.flatnonzero(seen.any(axis=0)):
+                rows_of_cell = here[of_row[here] == n + some.start]
+                self._compare(np.flatnonzero(seen[:, n]), b_id[rows_of_cell], base[rows_of_cell])
+
+    def _compare(self, who: np.ndarray, b_id: np.ndarray, base: np.ndarray) -> None:
+        single = base.astype(np.float32)
+        for some in _steps(len(b_id), 1, of=2048):
+            for part in _steps(len(who), some.stop - some.start):
+                self._compare_block(who[part], b_id[some], base[some], single[some])
+
+    def _compare_block(self, who: np.ndarray, b_id: np.ndarray, base: np.ndarray, single: np.ndarray) -> None:
+        sim = self.single[who] @ single.T
+        floor = self.floor[who]
+        # the query's own row may be one of its best
+        best = int(self.k[who].max()) + 1
+        new = np.flatnonzero(np.isinf(floor))
+        if len(new) and best < len(b_id):
+            floor[new] = np.partition(sim[new], len(b_id) - best, axis=1)[:, len(b_id) - best] - 2 * self.slack
+        row, col = np.nonzero(sim >= (floor - self.slack).astype(np.float32)[:, None])
+        for some in _steps(len(row), base.shape[1]):
+            asking, met = who[row[some]], col[some]
+            exact = np.round(np.einsum("ij,ij->i", self.points[asking], base[met]), SIMILARITY_DIGITS) + 0.0
+            good = exact >= self.floor[asking]
+            if self.without_self:
+                good &= self.q_id[asking] != b_id[met]
+            self.waiting.append((asking[good].astype(np.int32), b_id[met[good]], exact[good]))
+            self.n_waiting += int(good.sum())
+            if self.n_waiting > 2 * self.room + WAITING_HITS:
+                self._cut()
+
+    def _cut(self) -> None:
+        """Keep each query's best ``k``; with as many, the last of them is its floor."""
+        row, b_id, sim = (np.concatenate(x) for x in zip(*self.waiting))
+        by = np.lexsort((b_id, -sim, row))
+        row, b_id, sim = row[by], b_id[by], sim[by]
+        starts = np.searchsorted(row, np.arange(len(self.q_id)))
+        place = np.arange(len(row)) - starts[row]
+        last = place == self.k[row] - 1
+        self.floor[row[last]] = sim[last]
+        keep = place < self.k[row]
+        self.waiting, self.n_waiting = [(row[keep], b_id[keep], sim[keep])], int(keep.sum())
+
+    def hits(self):
+        if not self.ready or not self.n_waiting:
+            return
+        self._cut()
+        row, b_id, sim = self.waiting[0]
+        for some in _steps(len(row), 1, of=1 << 16):
+            of = row[some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.q_id[of], pa.int64()), pa.array(b_id[some], pa.int64()), pa.array(sim[some]), pa.array(self.k[of], pa.int32())],
+                schema=_HITS_ARROW,
+            )
+
+
+def _nearest_in_block(without_self: bool):
     """Per-block kernel: each query's best k base rows of one tile."""
 
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        chunk = _Chunk(without_self)
+        for table, take in ((left, chunk.ask), (right, chunk.meet)):
+            for batch in table.to_batches():
+                take(batch)
+        return pa.Table.from_batches(chunk.hits(), schema=_HITS_ARROW)
+
+    return kernel
+
+
+def _farthest_in_block():
+    """Per-block kernel: each query's k least similar base rows of one tile."""
+
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _HITS_ARROW.empty_table()
@@ -106,11 +223,7 @@ def _best_in_block(farthest: bool, without_self: bool):
         parts = []
         for rows in _steps(len(q_id), len(b_id)):
             sim = np.round(queries[rows] @ base.T, SIMILARITY_DIGITS) + 0.0
-            cost = sim if farthest else -sim
-            out = sim < floor[rows, None]
-            if without_self:
-                out |= q_id[rows, None] == b_id[None, :]
-            row, col = _top_of_row(np.where(out, np.inf, cost), k[rows])
+            row, col = _top_of_row(np.where(sim < floor[rows, None], np.inf, sim), k[rows])
             parts.append(
                 pa.table(
                     [q_id[rows][row], b_id[col], sim[row, col], k[rows][row]], schema=_HITS_ARROW
@@ -125,18 +238,15 @@ def best_in_cells(
     queries: DataFrame,
     base: DataFrame,
     *,
-    farthest: bool = False,
-    without_self: bool = False,
     few_cells: bool = False,
     tile_rows: int = TILE_ROWS,
     chunk_rows: int = CHUNK_ROWS,
-    kernel=None,
+    kernel,
 ) -> DataFrame:
-    """Best base rows per (query, cell, tile).
+    """What ``kernel`` finds per (query, cell, tile).
 
     ``queries`` is ``(q_id, q_vec, k, floor, cell)`` and may list a query under
-    several cells; base rows less similar than ``floor`` are passed over.
-    ``base`` is ``(b_id, b_vec, cell)``. A cell of any size, for instance
+    several cells. ``base`` is ``(b_id, b_vec, cell)``. A cell of any size, for instance
     one that holds a third of all rows, is spread over tiles x chunks blocks.
     """
     tiles = base.groupBy("cell").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("n_tiles"))
@@ -157,7 +267,7 @@ def best_in_cells(
 
     left = spread(queries, "q_id", "chunk", "n_chunks", "tile", "n_tiles")
     right = spread(base, "b_id", "tile", "n_tiles", "chunk", "n_chunks")
-    return _search_blocks(left, right, ["cell", "chunk", "tile"], kernel or _best_in_block(farthest, without_self))
+    return _search_blocks(left, right, ["cell", "chunk", "tile"], kernel)
 
 
 def _search_blocks(left: DataFrame, right: DataFrame, block: list[str], kernel) -> DataFrame:
@@ -175,7 +285,7 @@ def _best_in_one_tile(
     chunks = max(1, -(-query_rows // rows))
     left = queries.withColumn("chunk", F.pmod(F.xxhash64("q_id"), F.lit(chunks)).cast("int"))
     right = base.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    return _search_blocks(left, right, ["chunk"], _best_in_block(False, without_self))
+    return _search_blocks(left, right, ["chunk"], _nearest_in_block(without_self))
 
 
 def rank_hits(hits: DataFrame, farthest: bool = False, most: int | None = None) -> DataFrame:
@@ -205,12 +315,17 @@ class Cells:
 
     def bounds(self) -> tuple[np.ndarray, np.ndarray]:
         """Smallest and largest member-to-pivot distance per cell; one row per pivot."""
+        return self.sizes()[:2]
+
+    def sizes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bounds, and the number of members per cell."""
         low = np.full(len(self.pivots), np.inf)
         high = np.full(len(self.pivots), -np.inf)
-        stats = self.base.groupBy("cell").agg(F.min("pivot_dist"), F.max("pivot_dist"))
-        for cell, lo, hi in stats.toLocalIterator():
-            low[cell], high[cell] = lo, hi
-        return low, high
+        members = np.zeros(len(self.pivots), np.int64)
+        stats = self.base.groupBy("cell").agg(F.min("pivot_dist"), F.max("pivot_dist"), F.count("*"))
+        for cell, lo, hi, n in stats.toLocalIterator():
+            low[cell], high[cell], members[cell] = lo, hi, n
+        return low, high, members
 
 
 def pick_pivots(base: DataFrame, rows: int) -> np.ndarray:
@@ -269,11 +384,12 @@ def _route(queries: DataFrame, width: int, cells_of) -> DataFrame:
             for rows in _steps(len(points), width):
                 part = batch.slice(rows.start, rows.stop - rows.start)
                 row, cell = np.nonzero(cells_of(points[rows], part))
-                picked = part.select(["q_id", "q_vec", "k", "floor"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [*picked.columns, pa.array(cell, pa.int32())],
-                    names=["q_id", "q_vec", "k", "floor", "cell"],
-                )
+                for some in _steps(len(row), points.shape[1]):
+                    picked = part.select(["q_id", "q_vec", "k", "floor"]).take(pa.array(row[some]))
+                    yield pa.RecordBatch.from_arrays(
+                        [*picked.columns, pa.array(cell[some], pa.int32())],
+                        names=["q_id", "q_vec", "k", "floor", "cell"],
+                    )
 
     vec = queries.schema["q_vec"].dataType.simpleString()
     schema = f"q_id bigint, q_vec {vec}, k int, floor double, cell int"
@@ -355,25 +471,12 @@ def probes_for_recall(
 
 
 def _unsettled_cells(pivots: np.ndarray, low: np.ndarray, high: np.ndarray, probes: int, roots: np.ndarray | None = None):
-    """Marks the unprobed cells that may still hold a row as similar as ``floor``.
-
-    A cell is ruled out by the distances of its members to their pivot, or by the
-    plane half-way between its root's pivot and the query's nearest root.
-    """
-    probed = _nearest_cells(pivots, probes)
-    roots = np.arange(len(pivots)) if roots is None else roots
-    first, which = np.unique(roots, return_inverse=True)
+    """Marks the unprobed cells that may still hold a row as similar as ``floor``, by :class:`_Bounds`."""
+    probed, bounds = _nearest_cells(pivots, probes), _Bounds(pivots, low, high, roots)
 
     def cells_of(q: np.ndarray, batch) -> np.ndarray:
-        limit = _distance(np.asarray(batch.column("floor")))[:, None] + BOUND_SLACK
-        dist = _distance(q @ pivots.T)
-        near = dist[:, first].argmin(axis=1)
-        nearest = dist[np.arange(len(q)), first[near]][:, None]
-        ring = np.maximum(dist - high[None, :], low[None, :] - dist)
-        across = _distance(pivots[first[near]] @ pivots[first].T)
-        plane = np.where(across > 0, (dist[:, first] ** 2 - nearest**2) / np.where(across > 0, 2 * across, 1), 0)
-        open_cells = (np.maximum(ring, plane[:, which]) <= limit) & np.isfinite(high)[None, :]
-        return open_cells & ~probed(q, batch)
+        seen = bounds.cells(q, bounds.start(q), np.arange(len(pivots)), np.asarray(batch.column("floor")))
+        return seen & np.isfinite(high)[None, :] & ~probed(q, batch)
 
     return cells_of
 
@@ -444,12 +547,32 @@ def knn_join(
     b = base.where(sound(vec)).select(
         F.col(base_id).cast("bigint").alias("b_id"), F.col(vec).alias("b_vec")
     )
-    rows = b.count()
+    rows, unique, vectors = _census(b, "b_id", "b_vec")
     most = k if isinstance(k, int) else q.agg(F.max("k")).first()[0] or 0
+    same = queries is base and isinstance(k, int)
+    query_rows, query_unique, query_vectors = (rows, unique, vectors) if same else _census(q, "q_id", "q_vec")
+    options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
+    if strategy == "exact" and unique and query_unique and (rows > COPIED * vectors or query_rows > COPIED * query_vectors):
+
+        def search(one_q: DataFrame, one_b: DataFrame) -> DataFrame:
+            return _search(one_q, one_b, one_b.count(), one_q.count(), most + int(without_self), "exact", probes, **(options | {"without_self": False}))
+
+        return _by_vector(q, b, most, without_self, search)
+    return _search(q, b, rows, query_rows, most, strategy, probes, **options)
+
+
+def _census(df: DataFrame, id: str, vec: str) -> tuple[int, bool, int]:
+    """Rows, whether their ids are unique, and about how many vectors there are."""
+    found = df.agg(F.count("*"), F.count_distinct(F.col(id)), F.approx_count_distinct(F.xxhash64(vec), 0.02)).first()
+    return found[0], found[1] == found[0], found[2]
+
+
+def _search(
+    q: DataFrame, b: DataFrame, rows: int, query_rows: int, most: int, strategy: str, probes: int | None, *,
+    without_self: bool, tile_rows: int, chunk_rows: int,
+) -> DataFrame:
     if strategy == "exact" and rows <= tile_rows or not rows:
-        query_rows = rows if queries is base else q.count()
         return _finish(_best_in_one_tile(q, b, query_rows, chunk_rows, without_self, most), most)
-
     options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows, "most": most}
     b = cut_lineage(_first_copies(b, most + 1))
     if strategy == "forest":
@@ -464,30 +587,218 @@ def knn_join(
     return knn_in_cells(q, cells, strategy=strategy, probes=probes, **options)
 
 
+class _Bounds:
+    """Which cells may hold a row as similar as a query's floor.
+
+    A cell is ruled out by the distances of its members to their pivot, or by the
+    plane half-way between its root's pivot and the query's nearest root.
+    """
+
+    strict = False
+
+    def __init__(self, pivots: np.ndarray, low: np.ndarray, high: np.ndarray, roots: np.ndarray | None):
+        self.pivots, self.low, self.high = pivots, low, high
+        self.roots = np.arange(len(pivots)) if roots is None else roots
+
+    def start(self, lifted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each query's nearest root, and the distance to it."""
+        first = np.unique(self.roots)
+        near = np.concatenate([(lifted[r] @ self.pivots[first].T).argmax(axis=1) for r in _steps(len(lifted), len(first))])
+        root = first[near]
+        return root, _distance(np.einsum("ij,ij->i", lifted, self.pivots[root]))
+
+    def cells(self, lifted: np.ndarray, near, cells: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        limit = _distance(np.maximum(floor, NO_FLOOR))[:, None] + BOUND_SLACK
+        root, nearest = near
+        dist = _distance(lifted @ self.pivots[cells].T)
+        ring = np.maximum(dist - self.high[cells], self.low[cells] - dist)
+        own = self.pivots[self.roots[cells]]
+        across = _distance(self.pivots[root] @ own.T)
+        to_root = _distance(lifted @ own.T)
+        plane = np.where(across > 0, (to_root**2 - nearest[:, None] ** 2) / np.where(across > 0, 2 * across, 1), 0)
+        return np.maximum(ring, plane) <= limit
+
+
+class _Probes:
+    """Each query's nearest cells, as many as are probed."""
+
+    strict = True
+
+    def __init__(self, pivots: np.ndarray, probes: int):
+        self.pivots, self.probes = pivots, min(probes, len(pivots))
+
+    def start(self, lifted: np.ndarray) -> np.ndarray:
+        n = len(self.pivots) - self.probes
+        return np.concatenate([
+            np.partition(lifted[r] @ self.pivots.T, n, axis=1)[:, n] for r in _steps(len(lifted), len(self.pivots))
+        ])
+
+    def cells(self, lifted: np.ndarray, near: np.ndarray, cells: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        return lifted @ self.pivots[cells].T >= near[:, None] - 1e-12
+
+
+def _floors(lifted: np.ndarray, k: np.ndarray, pivots: np.ndarray, high: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """A similarity that each query's k-th best reaches: that of the far side of a cell with more than ``k`` members."""
+    dist = _distance(lifted @ pivots.T) + np.where(members > 0, high, np.inf)
+    far = np.where(members[None, :] > k[:, None], dist, np.inf).min(axis=1) + BOUND_SLACK
+    return np.where(far < 2.0, 1.0 - far**2 / 2.0, -np.inf)
+
+
+def _in_line(pivots: np.ndarray) -> np.ndarray:
+    """The pivots in an order in which near ones come together: halved along their widest direction, again and again."""
+    line, todo = [], [np.arange(len(pivots))]
+    while todo:
+        some = todo.pop()
+        if len(some) <= 2:
+            line.extend(some)
+            continue
+        points = pivots[some]
+        one = points[(points @ points[0]).argmin()]
+        other = points[(points @ one).argmin()]
+        by = some[np.argsort(points @ (one - other), kind="stable")]
+        todo += [by[len(by) // 2 :], by[: len(by) // 2]]
+    return np.array(line, dtype=np.int64)
+
+
+def _deal_queries(queries: DataFrame, cells: Cells, rows: int) -> tuple[DataFrame, int]:
+    """The queries with the number of their chunk, about ``rows`` to one; queries near the same pivots together."""
+    pivots = cells.pivots
+
+    def locate(batches):
+        for batch in batches:
+            points = _lifted(_matrix(batch.column("q_vec")))
+            near = [(points[r] @ pivots.T).argmax(axis=1) for r in _steps(len(points), len(pivots))]
+            cell = np.concatenate(near) if near else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32())], names=["q_id", "q_vec", "k", "near"])
+
+    vec = queries.schema["q_vec"].dataType.simpleString()
+    located = queries.select("q_id", "q_vec", "k").mapInArrow(locate, schema=f"q_id bigint, q_vec {vec}, k int, near int")
+    located = cut_lineage(located)
+    asked = {r["near"]: r["n"] for r in located.groupBy("near").agg(F.count("*").alias("n")).collect()}  # one row per cell
+    deal, before = [], 0
+    for cell in _in_line(pivots).tolist():
+        n = asked.get(cell, 0)
+        if n:
+            deal.append((cell, before // rows, (before + n - 1) // rows - before // rows + 1))
+            before += n
+    if not deal:
+        return located.withColumn("chunk", F.lit(0)), 0
+    places = queries.sparkSession.createDataFrame(deal, "near int, first int, pieces int")
+    chunk = (F.col("first") + F.pmod(F.xxhash64("q_id"), F.col("pieces"))).cast("int")
+    return located.join(F.broadcast(places), "near").select("q_id", "q_vec", "k", chunk.alias("chunk")), deal[-1][1] + deal[-1][2]
+
+
+def _wanted_cells(queries: DataFrame, cells: Cells, sight, high: np.ndarray, members: np.ndarray) -> DataFrame:
+    """``(chunk, cell, nth)``: the cells that a chunk's queries look into, the nearest to one of them first."""
+    pivots, every = cells.pivots, np.arange(len(cells.pivots))
+
+    def wanted(batches):
+        for batch in batches:
+            points, chunk, k = _lifted(_matrix(batch.column("q_vec"))), batch.column("chunk").to_numpy(), batch.column("k").to_numpy()
+            for of in np.unique(chunk):
+                least = np.full(len(every), np.inf)
+                mine = np.flatnonzero(chunk == of)
+                for rows in _steps(len(mine), len(every)):
+                    some = points[mine[rows]]
+                    floor = np.zeros(len(some)) if sight.strict else _floors(some, k[mine[rows]], pivots, high, members)
+                    seen = sight.cells(some, sight.start(some), every, floor) & (members > 0)
+                    dist = np.where(seen, _distance(some @ pivots.T), np.inf)
+                    least = np.minimum(least, dist.min(axis=0))
+                near = np.flatnonzero(np.isfinite(least))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(near), of), pa.int32()), pa.array(near, pa.int32()), pa.array(least[near])],
+                    names=["chunk", "cell", "nth"],
+                )
+
+    found = queries.select("q_vec", "k", "chunk").mapInArrow(wanted, schema="chunk int, cell int, nth double")
+    return found.groupBy("chunk", "cell").agg(F.min("nth").alias("nth"))
+
+
+def _stream_past(without_self: bool, sight):
+    """Blocks of rows sorted by block, queries first: the hits of each block's queries among its base rows."""
+
+    def search(batches):
+        now, chunk = None, None
+        for batch in batches:
+            block, side = batch.column("block").to_numpy(), batch.column("side").to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(block) != 0])) if len(block) else []
+            for start, stop in zip(starts, [*starts[1:], len(block)]):
+                if block[start] != now:
+                    if chunk is not None:
+                        yield from chunk.hits()
+                    now, chunk = block[start], _Chunk(without_self, sight)
+                asks = int((side[start:stop] == 0).sum())
+                rows = batch.slice(start, stop - start).rename_columns(["block", "side", "nth", "cell", "k", "id", "vec"])
+                if asks:
+                    chunk.ask(rows.slice(0, asks).rename_columns(["block", "side", "nth", "cell", "k", "q_id", "q_vec"]))
+                chunk.meet(rows.slice(asks).rename_columns(["block", "side", "nth", "cell", "k", "b_id", "b_vec"]))
+        if chunk is not None:
+            yield from chunk.hits()
+
+    return search
+
+
 def knn_in_cells(
-    queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = PROBES, most: int | None = None, **options
+    queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = PROBES, most: int | None = None,
+    without_self: bool = False, tile_rows: int = TILE_ROWS, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``, ``most`` the largest ``k``."""
-    pivots = cells.pivots
-    if not len(pivots):
+    """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``, ``most`` the largest ``k``.
+
+    ``exact`` looks into every cell that the bounds leave open, ``ivf`` into each query's ``probes`` nearest ones.
+    """
+    if not len(cells.pivots):
         empty = queries.limit(0).selectExpr("q_id", "CAST(NULL AS BIGINT) AS b_id", "CAST(0 AS DOUBLE) AS sim", "k")
         return _finish(empty, most)
-    base = cells.base.select("b_id", "b_vec", "cell")
-    options["few_cells"] = True
-    first = best_in_cells(_route(queries, len(pivots), _nearest_cells(pivots, probes)), base, **options)
-    if strategy == "ivf" or probes >= len(pivots):
-        return _finish(first, most)
-    found = cut_lineage(rank_hits(first, most=most).drop("rank"))
-    # the k-th best so far is the floor; with fewer than k hits every cell stays open
-    state = found.groupBy("q_id").agg(F.count("*").alias("n"), F.min("sim").alias("worst"))
-    floor = F.when(F.col("n") >= F.col("k"), F.col("worst"))
-    open_queries = queries.drop("floor").join(state, "q_id", "left").select(
-        "q_id", "q_vec", "k", F.coalesce(floor, F.lit(NO_FLOOR)).alias("floor")
+    low, high, members = cells.sizes()
+    wide = most if most is not None else queries.agg(F.max("k")).first()[0] or 1
+    cores, n_queries, n_base = queries.sparkSession.sparkContext.defaultParallelism, queries.count(), int(members.sum())
+    # a few chunks per core, each with bounded rows and hits
+    rows = min(chunk_rows, max(MIN_CHUNK_ROWS, -(-n_queries // (4 * cores))))
+    rows = max(1, min(rows, BLOCK_HITS // max(1, wide)))
+    dealt, chunks = _deal_queries(queries, cells, rows)
+    sight = _Probes(cells.pivots, probes) if strategy == "ivf" else _Bounds(cells.pivots, low, high, cells.roots)
+    # few chunks, or a large base: its rows are dealt to several tasks a chunk
+    parts = max(1, -(-n_base // max(tile_rows, STREAM_ROWS)), min(-(-2 * cores // max(1, chunks)), -(-n_base // tile_rows)))
+    chunk = F.col("chunk") * parts
+    left = dealt.select(
+        F.explode(F.sequence(chunk, chunk + (parts - 1))).alias("block"), F.lit(0).alias("side"), F.lit(0.0).alias("nth"),
+        F.lit(-1).alias("cell"), "k", F.col("q_id").alias("id"), F.col("q_vec").alias("vec"),
+    )
+    wanted = _wanted_cells(dealt, cells, sight, high, members)
+    part = F.pmod(F.xxhash64("b_id"), F.lit(parts)).cast("int")
+    right = cells.base.select("b_id", "b_vec", "cell").join(wanted, "cell").select(
+        (chunk + part).alias("block"), F.lit(1).alias("side"), "nth", "cell", F.lit(0).alias("k"),
+        F.col("b_id").alias("id"), F.col("b_vec").alias("vec"),
+    )
+    both = left.unionAll(right).repartitionById(max(1, chunks * parts), "block").sortWithinPartitions("block", "side", "nth", "cell")
+    return _finish(both.mapInArrow(_stream_past(without_self, sight), schema=_HITS), most)
+
+
+def _by_vector(q: DataFrame, b: DataFrame, most: int, without_self: bool, search) -> DataFrame:
+    """The search with one query and one base row a vector, and its rows given back to all copies; ids are unique.
+
+    Copies of a vector share one list of ``k + 1`` rows, of which each leaves out itself. Of the vectors found
+    for a list, those count before which there are fewer than ``k + 1`` rows.
+    """
+    classes = cut_lineage(
+        q.groupBy("q_vec").agg((F.max("k") + int(without_self)).alias("k")).withColumn("q_id", F.monotonically_increasing_id())
+    )
+    same = W.partitionBy("b_vec")
+    members = cut_lineage(
+        _first_copies(b, most + 1).withColumns({"rep": F.min("b_id").over(same), "n": F.count("*").over(same)})
     )
-    low, high = cells.bounds()
-    rest = _route(open_queries, len(pivots), _unsettled_cells(pivots, low, high, probes, cells.roots))
-    second = best_in_cells(rest, base, **options)
-    return _finish(found.unionByName(second), most)
+    near = search(classes.withColumn("floor", F.lit(NO_FLOOR)), members.where("b_id = rep").select("b_id", "b_vec"))
+    found = near.select("q_id", F.col("b_id").alias("rep"), "sim").join(members.select("rep", "n").distinct(), "rep")
+    ahead = F.sum("n").over(W.partitionBy("q_id").orderBy(F.desc("sim"))) - F.sum("n").over(W.partitionBy("q_id", "sim"))
+    found = found.withColumn("ahead", ahead).join(classes.select("q_id", "k"), "q_id").where("ahead < k")
+    hits = found.join(members.select("rep", "b_id"), "rep").select("q_id", "b_id", "sim", "k")
+    lists = cut_lineage(rank_hits(hits, most=most + 1).select(F.col("q_id").alias("class"), "b_id", "sim", "rank"))
+    asking = q.join(classes.select(F.col("q_id").alias("class"), "q_vec"), "q_vec").select("q_id", "k", "class")
+    own = lists.select("class", F.col("b_id").alias("q_id"), F.col("rank").alias("own"))
+    asking = asking.join(own, ["class", "q_id"], "left") if without_self else asking.withColumn("own", F.lit(None).cast("int"))
+    place = F.col("rank") - F.coalesce((F.col("own") < F.col("rank")).cast("int"), F.lit(0))
+    given = asking.join(lists, "class").where("own IS NULL OR rank != own").withColumn("rank", place).where("rank <= k")
+    return given.select("q_id", "b_id", "sim", angular_from_cosine(F.col("sim")).alias("dist"), "rank")
 
 
 def _finish(hits: DataFrame, most: int | None = None) -> DataFrame:
@@ -545,7 +856,7 @@ def farthest_in_group(
         F.min(F.col(id).cast("bigint")).alias("b_id")
     )
     hits = best_in_cells(
-        q, b.select("b_id", "b_vec", "cell"), farthest=True, tile_rows=tile_rows, chunk_rows=chunk_rows
+        q, b.select("b_id", "b_vec", "cell"), tile_rows=tile_rows, chunk_rows=chunk_rows, kernel=_farthest_in_block()
     )
     return rank_hits(hits, farthest=True, most=1).select(
         F.col("q_id").alias("id"),

@@ -225,3 +225,56 @@ def test_ivf_probes_as_many_cells_as_recall_needs(spark):
         return len(exact & {(r["q_id"], r["b_id"]) for r in near}) / len(exact)
 
     assert recall(probes=8) < 0.9 <= recall()
+
+
+def test_copies_are_searched_as_one_vector(spark, clustered, monkeypatch):
+    asked, search = [], knn._search
+
+    def noted(q, b, rows, query_rows, *args, **options):
+        asked.append((rows, query_rows))
+        return search(q, b, rows, query_rows, *args, **options)
+
+    monkeypatch.setattr(knn, "_search", noted)
+    vectors = np.array(clustered[:40])[np.random.default_rng(2).integers(0, 40, 400)]
+    items = table(spark, vectors)
+    for own in (True, False):
+        got = found(knn.knn_join(items, items, 15, without_self=own))
+        assert got == brute(vectors, vectors, 15, without_self=own)
+    k = [i % 23 for i in range(400)]
+    got = found(knn.knn_join(items.withColumn("k", (F.col("id") % 23).cast("int")), items, F.col("k"), without_self=True, tile_rows=10))
+    assert got == {q: ids for q, ids in brute(vectors, vectors, k, without_self=True).items() if ids}
+    assert asked == [(40, 40)] * 3
+
+
+def test_routed_batches_are_bounded():
+    import pyarrow as pa
+
+    class Queries:
+        schema = {"q_vec": type("Field", (), {"dataType": type("Type", (), {"simpleString": lambda self: "array<float>"})()})}
+
+        def mapInArrow(self, route, schema):
+            return route
+
+    vectors = np.random.default_rng(1).normal(size=(400, 256)).astype(np.float32)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(400)), pa.array(list(vectors)), pa.array(np.ones(400, np.int32)), pa.array(np.zeros(400))],
+        names=["q_id", "q_vec", "k", "floor"],
+    )
+    route = knn._route(Queries(), 64, lambda points, part: np.ones((len(points), 64), dtype=bool))
+    sizes = [out.num_rows for out in route([batch])]
+    assert sum(sizes) == 400 * 64 and max(sizes) * 256 <= knn.BLOCK_CELLS
+
+
+def test_a_base_row_goes_to_few_chunks_however_many_queries_ask(spark):
+    # without structure every query looks into nearly every cell
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(900, 16))
+    items = table(spark, vectors)
+    near = knn.knn_join(items, items, 3, without_self=True, tile_rows=100, chunk_rows=450)
+    assert found(near) == brute(vectors, vectors, 3, without_self=True)
+    cells = build_index(items)
+    low, high, members = cells.sizes()
+    q = items.selectExpr("id AS q_id", "vec AS q_vec", "3 AS k")
+    dealt, chunks = knn._deal_queries(q, cells, 450)
+    wanted = knn._wanted_cells(dealt, cells, knn._Bounds(cells.pivots, low, high, None), high, members)
+    assert chunks <= 3 and dealt.count() == 900 and wanted.count() <= chunks * len(cells.pivots)

@@ -141,3 +141,14 @@ def test_masters_from_sku(spark):
 def test_first_number_overflow_is_null(spark):
     assert column(spark, ["9" * 30, "ab12"], text.first_number("v")) == [None, 12]
     assert column(spark, ["x"], F.lit("a")) == ["a"]
+
+
+def test_dense_tfidf_works_out_a_row_s_length_once(spark):
+    from kinmatch.operators.encode import fit_tfidf
+
+    docs = spark.createDataFrame([(1, "a b"), (2, "b c"), (3, None)], "id bigint, name string")
+    coded = fit_tfidf(docs, "name", dims=32).transform(docs)
+    # within the loop over the slots it would be worked out for each of them
+    assert "aggregate(transform(" not in coded._jdf.queryExecution().optimizedPlan().toString()
+    lengths = {r["id"]: None if r["vec"] is None else round(sum(x * x for x in r["vec"]), 5) for r in coded.collect()}
+    assert lengths == {1: 1.0, 2: 1.0, 3: None}

@@ -215,6 +215,19 @@ def test_word_vectors_refuse_a_vocabulary_beyond_their_bound(offers):
         fit_word2vec(offers, "name", max_words=3)
 
 
+def test_word_vectors_of_a_vocabulary_beyond_their_bound(spark, offers):
+    words = fit_word2vec(offers, "name", dims=4, max_words=3, hashed=True)
+    path = scratch_path(spark, "encoder")
+    words.save(path)
+    rows = offers.select("id", "name").unionAll(spark.createDataFrame([(900, None), (901, "--")], "id bigint, name string"))
+    coded = {r["id"]: r["vec"] for r in StageEncoder.load(spark, path).transform(rows).collect()}
+    assert coded.pop(900) is None and set(coded.pop(901)) == {0.0}
+    assert all(np.linalg.norm(v) == pytest.approx(1, abs=1e-5) for v in coded.values())
+    assert words.model.stages[-2].getVectors().count() <= 3
+    # no word that was read is without a vector, and a vocabulary within the bound is not hashed
+    assert len(fit_word2vec(offers, "name", dims=4, hashed=True).model.stages) == 3
+
+
 def test_token_jaccard(spark):
     df = spark.createDataFrame([("a b c", "B c d"), ("", ""), (None, "x")], "p string, q string")
     assert [r["j"] for r in df.select(token_jaccard("p", "q").alias("j")).collect()] == [0.5, 0.0, 0.0]

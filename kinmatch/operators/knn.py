@@ -738,6 +738,17 @@ def _stream_past(without_self: bool, sight):
     return search
 
 
+def _rows_of_chunk(queries: int, cores: int, chunk_rows: int, most: int) -> int:
+    """Queries of a chunk: a few chunks per core, each with bounded rows and hits.
+
+    Every chunk meets the base once. So ``chunk_rows`` below CHUNK_ROWS gives way where it
+    would make more than 16 chunks a core: with a fixed size the rows sent would grow with the square of the input.
+    """
+    rows = min(chunk_rows, max(MIN_CHUNK_ROWS, -(-queries // (4 * cores))))
+    rows = max(rows, min(CHUNK_ROWS, -(-queries // (16 * cores))))
+    return max(1, min(rows, BLOCK_HITS // max(1, most)))
+
+
 def knn_in_cells(
     queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = PROBES, most: int | None = None,
     without_self: bool = False, tile_rows: int = TILE_ROWS, chunk_rows: int = CHUNK_ROWS,
@@ -752,9 +763,7 @@ def knn_in_cells(
     low, high, members = cells.sizes()
     wide = most if most is not None else queries.agg(F.max("k")).first()[0] or 1
     cores, n_queries, n_base = queries.sparkSession.sparkContext.defaultParallelism, queries.count(), int(members.sum())
-    # a few chunks per core, each with bounded rows and hits
-    rows = min(chunk_rows, max(MIN_CHUNK_ROWS, -(-n_queries // (4 * cores))))
-    rows = max(1, min(rows, BLOCK_HITS // max(1, wide)))
+    rows = _rows_of_chunk(n_queries, cores, chunk_rows, wide)
     dealt, chunks = _deal_queries(queries, cells, rows)
     sight = _Probes(cells.pivots, probes) if strategy == "ivf" else _Bounds(cells.pivots, low, high, cells.roots)
     # few chunks, or a large base: its rows are dealt to several tasks a chunk

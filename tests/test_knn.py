@@ -278,3 +278,22 @@ def test_a_base_row_goes_to_few_chunks_however_many_queries_ask(spark):
     dealt, chunks = knn._deal_queries(q, cells, 450)
     wanted = knn._wanted_cells(dealt, cells, knn._Bounds(cells.pivots, low, high, None), high, members)
     assert chunks <= 3 and dealt.count() == 900 and wanted.count() <= chunks * len(cells.pivots)
+
+
+def test_chunks_of_a_fixed_size_do_not_multiply():
+    """Every chunk meets the base once, so their number is not to grow with the queries."""
+    chunks = [-(-n // knn._rows_of_chunk(n, 12, 512, 5)) for n in (100_000, 1_000_000, 6_000_000)]
+    assert max(chunks) <= 16 * 12
+    # as asked for where that makes few chunks; bounded rows and hits at any size
+    assert knn._rows_of_chunk(20_000, 8, 512, 5) == 512
+    assert knn._rows_of_chunk(2_000, 8, 512, 5) == knn.MIN_CHUNK_ROWS
+    assert knn._rows_of_chunk(10**9, 8, 512, 5) == knn.CHUNK_ROWS
+    assert knn._rows_of_chunk(10**9, 8, 512, knn.BLOCK_HITS) == 1
+
+
+def test_small_chunks_that_give_way_find_the_same(spark):
+    rng = np.random.default_rng(3)
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3_000, 6)))], "id bigint, vec array<double>")
+    sized = lambda n: {(r["q_id"], r["b_id"], r["sim"]) for r in knn.knn_join(
+        items, items, 3, without_self=True, tile_rows=400, chunk_rows=n, probes=2).collect()}
+    assert sized(4) == sized(3_000)

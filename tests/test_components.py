@@ -141,3 +141,26 @@ def test_clusters_of_odd_pairs(spark):
     df = spark.createDataFrame(rows, "id1 bigint, id2 bigint, prob double")
     assert sorted(tuple(r) for r in c.average_link_clusters(df).collect()) == [(1, 1), (2, 1)]
     assert c.average_link_clusters(df.limit(0)).count() == 0
+
+
+def test_rounds_run_in_tasks_that_do_not_grow(spark, monkeypatch):
+    """More edges make more tasks than the session's shuffle partitions, not larger ones."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before, seen, real = spark.conf.get(key, None), [], c.cut_lineage
+    monkeypatch.setattr(c, "cut_lineage", lambda df: seen.append(int(spark.conf.get(key))) or real(df))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(50)] * 3, "id1 bigint, id2 bigint")
+    got = {(r["id"], r["component"]) for r in c.connected_components(edges).collect()}
+    assert got == {(i, 0) for i in range(51)}
+    assert seen and min(seen) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get(key, None) == before
+
+
+def test_a_task_of_small_tasks_is_bounded(spark):
+    from pyspark.sql import functions as F
+
+    from kinmatch.session import small_tasks
+
+    rows = spark.range(12_000_000).select(F.xxhash64("id").alias("a")).repartition("a")
+    with small_tasks(spark):
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 12_000_000 and max(sizes) < 1_000_000

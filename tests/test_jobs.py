@@ -131,6 +131,21 @@ def test_training_jobs_report_on_the_held_out_part(offers, encoder):
     assert one.train.count() > 0 and "token_jaccard" in one.test.columns
 
 
+def test_training_jobs_fit_on_every_labelled_row(offers, encoder, monkeypatch):
+    whole, asked = jobs.labelled_products, []
+
+    def noted(products, masters, max_rows, **options):
+        asked.append(max_rows)
+        return whole(products, masters, max_rows, **options)
+
+    monkeypatch.setattr(jobs, "labelled_products", noted)
+    monkeypatch.setattr(jobs, "_fit_and_report", lambda pairs, *options: pairs)
+    matcher, one = jobs.train_matcher(offers, encoder), jobs.train_one_shot(offers, encoder)
+    assert jobs.train_blocker_set(offers, encoder)[0].count() == matcher.count()
+    assert one.where("match = 1").count() == 32
+    assert asked == [None] * 3  # no bound, whatever the size of the table
+
+
 def test_blocker_evaluation(offers, encoder):
     texts, sweep = jobs.train_blocker_set(offers, encoder)
     row = sweep.first()

@@ -12,6 +12,7 @@ Rows that are copies of one vector are searched as one and parted again at the e
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import Window as W
 
 from ..functions.numeric import hash_draw
 from ..functions.vectors import SIMILARITY_DIGITS, angular_from_cosine
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 
 TILE_ROWS = 32_768
 CHUNK_ROWS = 32_768
@@ -105,6 +106,7 @@ class _Chunk:
 
     Products are made in single precision; those that may be among a query's best ``k``
     are computed again in double precision. ``sight`` says which cells a query looks into.
+    A base row may stand for ``n`` rows: those count before which there are fewer than ``k``.
     """
 
     def __init__(self, without_self: bool, sight=None):
@@ -131,31 +133,32 @@ class _Chunk:
         if not self.ready:
             self._start()
         b_id, base = rows.column("b_id").to_numpy(zero_copy_only=False), _matrix(rows.column("b_vec"))
+        n_rows = rows.column("n").to_numpy().astype(np.int32) if "n" in rows.schema.names else np.ones(len(b_id), np.int32)
         everyone = np.arange(len(self.q_id))
         if self.sight is None:
-            return self._compare(everyone, b_id, base)
+            return self._compare(everyone, b_id, base, n_rows)
         cells, of_row = np.unique(rows.column("cell").to_numpy(), return_inverse=True)
         for some in _steps(len(cells), len(everyone)):
             here = np.flatnonzero((of_row >= some.start) & (of_row < some.stop))
             seen = self.sight.cells(self.lifted, self.near, cells[some], self.floor)
             if not self.sight.strict and seen.mean() > 0.5:
-                self._compare(everyone, b_id[here], base[here])
+                self._compare(everyone, b_id[here], base[here], n_rows[here])
                 continue
             for n in np.flatnonzero(seen.any(axis=0)):
                 rows_of_cell = here[of_row[here] == n + some.start]
-                self._compare(np.flatnonzero(seen[:, n]), b_id[rows_of_cell], base[rows_of_cell])
+                self._compare(np.flatnonzero(seen[:, n]), b_id[rows_of_cell], base[rows_of_cell], n_rows[rows_of_cell])
 
-    def _compare(self, who: np.ndarray, b_id: np.ndarray, base: np.ndarray) -> None:
+    def _compare(self, who: np.ndarray, b_id: np.ndarray, base: np.ndarray, n: np.ndarray) -> None:
         single = base.astype(np.float32)
         for some in _steps(len(b_id), 1, of=2048):
             for part in _steps(len(who), some.stop - some.start):
-                self._compare_block(who[part], b_id[some], base[some], single[some])
+                self._compare_block(who[part], b_id[some], base[some], single[some], n[some])
 
-    def _compare_block(self, who: np.ndarray, b_id: np.ndarray, base: np.ndarray, single: np.ndarray) -> None:
+    def _compare_block(self, who: np.ndarray, b_id: np.ndarray, base: np.ndarray, single: np.ndarray, n: np.ndarray) -> None:
         sim = self.single[who] @ single.T
         floor = self.floor[who]
-        # the query's own row may be one of its best
-        best = int(self.k[who].max()) + 1
+        # the query's own row may be one of its best; rows that stand for several reach k sooner
+        best = -(-int(self.k[who].max()) // int(n.min())) + 1
         new = np.flatnonzero(np.isinf(floor))
         if len(new) and best < len(b_id):
             floor[new] = np.partition(sim[new], len(b_id) - best, axis=1)[:, len(b_id) - best] - 2 * self.slack
@@ -166,28 +169,32 @@ class _Chunk:
             good = exact >= self.floor[asking]
             if self.without_self:
                 good &= self.q_id[asking] != b_id[met]
-            self.waiting.append((asking[good].astype(np.int32), b_id[met[good]], exact[good]))
+            self.waiting.append((asking[good].astype(np.int32), b_id[met[good]], exact[good], n[met[good]]))
             self.n_waiting += int(good.sum())
             if self.n_waiting > 2 * self.room + WAITING_HITS:
                 self._cut()
 
     def _cut(self) -> None:
         """Keep each query's best ``k``; with as many, the last of them is its floor."""
-        row, b_id, sim = (np.concatenate(x) for x in zip(*self.waiting))
+        row, b_id, sim, n = (np.concatenate(x) for x in zip(*self.waiting))
         by = np.lexsort((b_id, -sim, row))
-        row, b_id, sim = row[by], b_id[by], sim[by]
+        row, b_id, sim, n = row[by], b_id[by], sim[by], n[by]
         starts = np.searchsorted(row, np.arange(len(self.q_id)))
         place = np.arange(len(row)) - starts[row]
-        last = place == self.k[row] - 1
-        self.floor[row[last]] = sim[last]
-        keep = place < self.k[row]
-        self.waiting, self.n_waiting = [(row[keep], b_id[keep], sim[keep])], int(keep.sum())
+        before = np.cumsum(n, dtype=np.int64) - n
+        first = np.concatenate([[True], (np.diff(row) != 0) | (np.diff(sim) != 0)])[: len(row)]
+        ahead = before[np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))] - before[starts[row]]
+        keep = (place < self.k[row]) & (ahead < self.k[row])
+        row, b_id, sim, n = row[keep], b_id[keep], sim[keep], n[keep]
+        full = np.flatnonzero(np.bincount(row, n, len(self.q_id)) >= self.k)
+        self.floor[full] = sim[np.searchsorted(row, full, side="right") - 1]
+        self.waiting, self.n_waiting, self.room = [(row, b_id, sim, n)], len(row), min(self.room, max(len(row), len(self.q_id)))
 
     def hits(self):
         if not self.ready or not self.n_waiting:
             return
         self._cut()
-        row, b_id, sim = self.waiting[0]
+        row, b_id, sim, _ = self.waiting[0]
         for some in _steps(len(row), 1, of=1 << 16):
             of = row[some]
             yield pa.RecordBatch.from_arrays(
@@ -277,7 +284,7 @@ def _search_blocks(left: DataFrame, right: DataFrame, block: list[str], kernel)
 def _best_in_one_tile(
     queries: DataFrame, base: DataFrame, query_rows: int, chunk_rows: int, without_self: bool, most: int
 ) -> DataFrame:
-    """Search of a base that fits one tile: it goes along with every chunk of the queries."""
+    """Hits in a base that fits one tile: it goes along with every chunk of the queries."""
     # a few chunks per core even out how the hash deals them to the tasks
     wanted = 4 * queries.sparkSession.sparkContext.defaultParallelism
     rows = max(MIN_CHUNK_ROWS, min(chunk_rows, -(-query_rows // wanted)))
@@ -351,7 +358,8 @@ def pick_pivots(base: DataFrame, rows: int) -> np.ndarray:
 
 
 def assign_cells(base: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Nearest pivot of every base row, with the distance to it."""
+    """Nearest pivot of every base row, with the distance to it; ``n`` stays where there is one."""
+    more = [c for c in base.columns if c == "n"]
 
     def assign(batches):
         for batch in batches:
@@ -366,13 +374,14 @@ def assign_cells(base: DataFrame, pivots: np.ndarray) -> DataFrame:
                         part.column("b_vec"),
                         pa.array(cell, pa.int32()),
                         pa.array(_distance(sim[np.arange(len(cell)), cell]), pa.float64()),
+                        *[part.column(c) for c in more],
                     ],
-                    names=["b_id", "b_vec", "cell", "pivot_dist"],
+                    names=["b_id", "b_vec", "cell", "pivot_dist", *more],
                 )
 
     vec = base.schema["b_vec"].dataType.simpleString()
-    schema = f"b_id bigint, b_vec {vec}, cell int, pivot_dist double"
-    return base.select("b_id", "b_vec").mapInArrow(assign, schema=schema)
+    schema = ", ".join([f"b_id bigint, b_vec {vec}, cell int, pivot_dist double", *[f"{c} int" for c in more]])
+    return base.select("b_id", "b_vec", *[F.col(c).cast("int") for c in more]).mapInArrow(assign, schema=schema)
 
 
 def _route(queries: DataFrame, width: int, cells_of) -> DataFrame:
@@ -535,6 +544,27 @@ def knn_join(
     ``probes`` leaves of random projection trees (:mod:`.forest`), both measured where ``probes`` is not given. Vectors
     that are NULL or hold a NULL, NaN or infinite component take no part.
     """
+    options = {"vec": vec, "strategy": strategy, "probes": probes, "without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
+    shared, search = _prepared(queries, base, k, query_id, base_id, **options)
+    return search() if shared is None else shared().hits()
+
+
+def shared_lists(
+    queries: DataFrame, base: DataFrame, k: int | Column, *, query_id: str = "id", base_id: str = "id", vec: str = "vec",
+    strategy: str = "exact", probes: int | None = None, without_self: bool = False, tile_rows: int = TILE_ROWS, chunk_rows: int = CHUNK_ROWS,
+    columns: Sequence[str] = (),
+) -> SharedLists | None:
+    """The search of :func:`knn_join` as lists that copies of a vector share, their rows with ``columns`` of the base; None where it searches row by row."""
+    options = {"vec": vec, "strategy": strategy, "probes": probes, "without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
+    shared, _ = _prepared(queries, base, k, query_id, base_id, columns=columns, **options)
+    return None if shared is None else shared()
+
+
+def _prepared(
+    queries: DataFrame, base: DataFrame, k: int | Column, query_id: str, base_id: str, *, vec: str, strategy: str, probes: int | None,
+    without_self: bool, tile_rows: int, chunk_rows: int, columns: Sequence[str] = (),
+):
+    """The search by shared lists, where copies are many and ids unique, and the one row by row; neither has run."""
     if strategy not in ("exact", "ivf", "forest"):
         raise ValueError(f"knn_join: unknown strategy {strategy!r}")
     k_column = F.lit(k) if isinstance(k, int) else k
@@ -545,20 +575,22 @@ def knn_join(
         F.lit(NO_FLOOR).alias("floor"),
     ).where("k > 0")
     b = base.where(sound(vec)).select(
-        F.col(base_id).cast("bigint").alias("b_id"), F.col(vec).alias("b_vec")
+        F.col(base_id).cast("bigint").alias("b_id"), F.col(vec).alias("b_vec"), *columns
     )
     rows, unique, vectors = _census(b, "b_id", "b_vec")
     most = k if isinstance(k, int) else q.agg(F.max("k")).first()[0] or 0
     same = queries is base and isinstance(k, int)
     query_rows, query_unique, query_vectors = (rows, unique, vectors) if same else _census(q, "q_id", "q_vec")
     options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows}
+    shared = None
     if strategy == "exact" and unique and query_unique and (rows > COPIED * vectors or query_rows > COPIED * query_vectors):
 
         def search(one_q: DataFrame, one_b: DataFrame) -> DataFrame:
-            return _search(one_q, one_b, one_b.count(), one_q.count(), most + int(without_self), "exact", probes, **(options | {"without_self": False}))
+            alone = options | {"without_self": False}
+            return _search(one_q, one_b, one_b.count(), one_q.count(), most + int(without_self), "exact", probes, ranked=False, **alone)
 
-        return _by_vector(q, b, most, without_self, search)
-    return _search(q, b, rows, query_rows, most, strategy, probes, **options)
+        shared = lambda: _by_vector(q, b, most, without_self, search, columns)
+    return shared, lambda: _search(q, b.select("b_id", "b_vec"), rows, query_rows, most, strategy, probes, **options)
 
 
 def _census(df: DataFrame, id: str, vec: str) -> tuple[int, bool, int]:
@@ -569,10 +601,11 @@ def _census(df: DataFrame, id: str, vec: str) -> tuple[int, bool, int]:
 
 def _search(
     q: DataFrame, b: DataFrame, rows: int, query_rows: int, most: int, strategy: str, probes: int | None, *,
-    without_self: bool, tile_rows: int, chunk_rows: int,
+    without_self: bool, tile_rows: int, chunk_rows: int, ranked: bool = True,
 ) -> DataFrame:
     if strategy == "exact" and rows <= tile_rows or not rows:
-        return _finish(_best_in_one_tile(q, b, query_rows, chunk_rows, without_self, most), most)
+        hits = _best_in_one_tile(q, b, query_rows, chunk_rows, without_self, most)
+        return _finish(hits, most) if ranked else hits
     options = {"without_self": without_self, "tile_rows": tile_rows, "chunk_rows": chunk_rows, "most": most}
     b = cut_lineage(_first_copies(b, most + 1))
     if strategy == "forest":
@@ -584,7 +617,7 @@ def _search(
     cells = Cells(pivots, cut_lineage(assign_cells(b, pivots)))
     if probes is None:
         probes = probes_for_recall(q, cells, most, without_self=without_self) if strategy == "ivf" else PROBES
-    return knn_in_cells(q, cells, strategy=strategy, probes=probes, **options)
+    return knn_in_cells(q, cells, strategy=strategy, probes=probes, ranked=ranked, **options)
 
 
 class _Bounds:
@@ -731,7 +764,7 @@ def _stream_past(without_self: bool, sight):
                 rows = batch.slice(start, stop - start).rename_columns(["block", "side", "nth", "cell", "k", "id", "vec"])
                 if asks:
                     chunk.ask(rows.slice(0, asks).rename_columns(["block", "side", "nth", "cell", "k", "q_id", "q_vec"]))
-                chunk.meet(rows.slice(asks).rename_columns(["block", "side", "nth", "cell", "k", "b_id", "b_vec"]))
+                chunk.meet(rows.slice(asks).rename_columns(["block", "side", "nth", "cell", "n", "b_id", "b_vec"]))
         if chunk is not None:
             yield from chunk.hits()
 
@@ -751,15 +784,16 @@ def _rows_of_chunk(queries: int, cores: int, chunk_rows: int, most: int) -> int:
 
 def knn_in_cells(
     queries: DataFrame, cells: Cells, *, strategy: str = "exact", probes: int = PROBES, most: int | None = None,
-    without_self: bool = False, tile_rows: int = TILE_ROWS, chunk_rows: int = CHUNK_ROWS,
+    without_self: bool = False, tile_rows: int = TILE_ROWS, chunk_rows: int = CHUNK_ROWS, ranked: bool = True,
 ) -> DataFrame:
     """The search over an existing assignment; ``queries`` is ``(q_id, q_vec, k, floor)``, ``most`` the largest ``k``.
 
     ``exact`` looks into every cell that the bounds leave open, ``ivf`` into each query's ``probes`` nearest ones.
+    Not ``ranked``, the hits come as the tasks give them, and some more than ``k`` where a chunk has several tasks.
     """
     if not len(cells.pivots):
         empty = queries.limit(0).selectExpr("q_id", "CAST(NULL AS BIGINT) AS b_id", "CAST(0 AS DOUBLE) AS sim", "k")
-        return _finish(empty, most)
+        return _finish(empty, most) if ranked else empty
     low, high, members = cells.sizes()
     wide = most if most is not None else queries.agg(F.max("k")).first()[0] or 1
     cores, n_queries, n_base = queries.sparkSession.sparkContext.defaultParallelism, queries.count(), int(members.sum())
@@ -775,19 +809,44 @@ def knn_in_cells(
     )
     wanted = _wanted_cells(dealt, cells, sight, high, members)
     part = F.pmod(F.xxhash64("b_id"), F.lit(parts)).cast("int")
-    right = cells.base.select("b_id", "b_vec", "cell").join(wanted, "cell").select(
-        (chunk + part).alias("block"), F.lit(1).alias("side"), "nth", "cell", F.lit(0).alias("k"),
+    rows_of = F.col("n") if "n" in cells.base.columns else F.lit(1).alias("n")
+    right = cells.base.select("b_id", "b_vec", "cell", rows_of).join(wanted, "cell").select(
+        (chunk + part).alias("block"), F.lit(1).alias("side"), "nth", "cell", F.col("n").alias("k"),
         F.col("b_id").alias("id"), F.col("b_vec").alias("vec"),
     )
     both = left.unionAll(right).repartitionById(max(1, chunks * parts), "block").sortWithinPartitions("block", "side", "nth", "cell")
-    return _finish(both.mapInArrow(_stream_past(without_self, sight), schema=_HITS), most)
+    hits = both.mapInArrow(_stream_past(without_self, sight), schema=_HITS)
+    return _finish(hits, most) if ranked else hits
 
 
-def _by_vector(q: DataFrame, b: DataFrame, most: int, without_self: bool, search) -> DataFrame:
+@dataclass
+class SharedLists:
+    """Neighbours of vectors, one list for all queries that have the vector; a query leaves itself out of it."""
+
+    asking: DataFrame  # q_id, k, class, own: the query's own place in the list, if it has one and is to be left out
+    lists: DataFrame  # class, b_id, sim, rank, and the columns asked for
+
+    def given(self, asking: DataFrame, lists: DataFrame) -> DataFrame:
+        """Each query's rows with all columns of both sides, which may have more than those above; a join by ``class`` only."""
+        place = F.col("rank") - F.coalesce((F.col("own") < F.col("rank")).cast("int"), F.lit(0))
+        return asking.join(lists, "class").where("own IS NULL OR rank != own").withColumn("rank", place).where("rank <= k")
+
+    def hits(self) -> DataFrame:
+        given = self.given(self.asking, self.lists)
+        return given.select("q_id", "b_id", "sim", angular_from_cosine(F.col("sim")).alias("dist"), "rank")
+
+    def last(self) -> DataFrame:
+        """``(q_id, last_sim, last_id)``: the ``k``-th row of each query, NULL where it has fewer."""
+        asked = self.asking.select("q_id", "class", (F.col("k") + F.coalesce((F.col("own") <= F.col("k")).cast("int"), F.lit(0))).alias("rank"))
+        ends = self.lists.select("class", "rank", F.col("sim").alias("last_sim"), F.col("b_id").alias("last_id"))
+        return asked.join(ends, ["class", "rank"], "left").select("q_id", "last_sim", "last_id")
+
+
+def _by_vector(q: DataFrame, b: DataFrame, most: int, without_self: bool, search, columns: Sequence[str] = ()) -> SharedLists:
     """The search with one query and one base row a vector, and its rows given back to all copies; ids are unique.
 
     Copies of a vector share one list of ``k + 1`` rows, of which each leaves out itself. Of the vectors found
-    for a list, those count before which there are fewer than ``k + 1`` rows.
+    for a list, those count before which there are fewer than ``k + 1`` rows; the search stops there.
     """
     classes = cut_lineage(
         q.groupBy("q_vec").agg((F.max("k") + int(without_self)).alias("k")).withColumn("q_id", F.monotonically_increasing_id())
@@ -796,18 +855,31 @@ def _by_vector(q: DataFrame, b: DataFrame, most: int, without_self: bool, search
     members = cut_lineage(
         _first_copies(b, most + 1).withColumns({"rep": F.min("b_id").over(same), "n": F.count("*").over(same)})
     )
-    near = search(classes.withColumn("floor", F.lit(NO_FLOOR)), members.where("b_id = rep").select("b_id", "b_vec"))
+    near = search(classes.withColumn("floor", F.lit(NO_FLOOR)), members.where("b_id = rep").select("b_id", "b_vec", F.col("n").cast("int").alias("n")))
     found = near.select("q_id", F.col("b_id").alias("rep"), "sim").join(members.select("rep", "n").distinct(), "rep")
     ahead = F.sum("n").over(W.partitionBy("q_id").orderBy(F.desc("sim"))) - F.sum("n").over(W.partitionBy("q_id", "sim"))
-    found = found.withColumn("ahead", ahead).join(classes.select("q_id", "k"), "q_id").where("ahead < k")
-    hits = found.join(members.select("rep", "b_id"), "rep").select("q_id", "b_id", "sim", "k")
-    lists = cut_lineage(rank_hits(hits, most=most + 1).select(F.col("q_id").alias("class"), "b_id", "sim", "rank"))
+    reps = members.where("b_id = rep").select(F.col("b_vec").alias("q_vec"), F.col("rep").alias("own_rep"))
+    reps = cut_lineage(classes.join(reps, "q_vec", "left").select("q_id", "k", "own_rep"))
+    found = found.withColumn("ahead", ahead).join(reps, "q_id").where("ahead < k")
+    # rows that have the list's own vector: a query finds itself among these
+    found = found.withColumn("mine", F.coalesce(F.col("rep") == F.col("own_rep"), F.lit(False)))
+    hits = found.join(members.select("rep", "b_id", *columns), "rep").select("q_id", "b_id", "sim", "k", "mine", *columns)
+    # columns that repeat or ascend: as Parquet a fraction of a checkpoint's size
+    path = scratch_path(q.sparkSession, "lists")
+    rank_hits(hits, most=most + 1).select(F.col("q_id").alias("class"), "b_id", "sim", "rank", "mine", *columns).write.parquet(path)
+    lists = q.sparkSession.read.parquet(path)
     asking = q.join(classes.select(F.col("q_id").alias("class"), "q_vec"), "q_vec").select("q_id", "k", "class")
-    own = lists.select("class", F.col("b_id").alias("q_id"), F.col("rank").alias("own"))
-    asking = asking.join(own, ["class", "q_id"], "left") if without_self else asking.withColumn("own", F.lit(None).cast("int"))
-    place = F.col("rank") - F.coalesce((F.col("own") < F.col("rank")).cast("int"), F.lit(0))
-    given = asking.join(lists, "class").where("own IS NULL OR rank != own").withColumn("rank", place).where("rank <= k")
-    return given.select("q_id", "b_id", "sim", angular_from_cosine(F.col("sim")).alias("dist"), "rank")
+    if not without_self:
+        return SharedLists(asking.withColumn("own", F.lit(None).cast("int")), lists.drop("mine"))
+    asking = cut_lineage(asking)
+    own = lists.where("mine").select("class", F.col("b_id").alias("q_id"), F.col("rank").alias("own"))
+    # base rows that have a query's id but another vector, where queries and base differ
+    selves = asking.join(members.select(F.col("b_id").alias("q_id"), "rep"), "q_id")
+    others = selves.join(reps.select(F.col("q_id").alias("class"), "own_rep"), "class").where("own_rep IS NULL OR own_rep != rep")
+    if not others.isEmpty():
+        every = lists.where("NOT mine").select("class", F.col("b_id").alias("q_id"), F.col("rank").alias("own"))
+        own = own.unionAll(every.join(others.select("class", "q_id"), ["class", "q_id"], "left_semi"))
+    return SharedLists(asking.join(own, ["class", "q_id"], "left"), lists.drop("mine"))
 
 
 def _finish(hits: DataFrame, most: int | None = None) -> DataFrame:

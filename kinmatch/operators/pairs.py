@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.numeric import draw
-from .knn import farthest_in_group, knn_join
+from ..session import cut_lineage
+from .knn import farthest_in_group, knn_join, shared_lists
 from .rows import canonical_pairs, first_per_key, lookup_both, union_all
 
 # Neighbours per group member, draws per group, one-shot neighbours.
@@ -29,6 +32,60 @@ def _with_group_size(products: DataFrame, master: str) -> DataFrame:
     return products.join(sizes, master, "left")
 
 
+def _neighbours_asked() -> Column:
+    """The number of neighbours that an offer looks at, itself left out."""
+    return F.bround(F.lit(HARD_NEGATIVE_FACTOR) * F.col("__n"), 0).cast("int") - 1
+
+
+def _unique_ids(products: DataFrame) -> bool:
+    rows, ids = products.agg(F.count("*"), F.count_distinct("id")).first()
+    return rows == ids
+
+
+def _shared_negatives(products: DataFrame, columns: Sequence[str], master: str, vec: str, distinct: bool, search: dict) -> DataFrame | None:
+    """Hard negatives from neighbour lists that copies of a vector share, for unique ids; None where there are no such lists.
+
+    ``(id1, id2)`` and both members' ``columns``, suffixed 1 and 2. What a member has goes to its list before a list is
+    given to its queries, so the pairs themselves, many more than either, are not shuffled. With ``distinct`` a pair is
+    canonical and comes once: where both members have found each other, that with the smaller id gives it.
+    """
+    # ids are unique, so a master's smallest one stands for it
+    sizes = products.where(F.col(master).isNotNull()).groupBy(master).agg(
+        F.count("*").alias("__n"), F.min(F.col("id").cast("bigint")).alias("__master")
+    )
+    sized = products.join(sizes, master, "left")
+    carried = ["__master", *columns]
+    base = sized.select("id", vec, *[F.col(c).alias(f"{c}_b") for c in carried])
+    offers = sized.where(F.col(master).isNotNull())
+    shared = shared_lists(
+        offers, base, _neighbours_asked(), vec=vec, without_self=True, columns=[f"{c}_b" for c in carried], **search
+    )
+    if shared is None:
+        return None
+    shared.asking = cut_lineage(shared.asking)
+    own = offers.select(F.col("id").cast("bigint").alias("q_id"), *[F.col(c).alias(f"{c}_q") for c in carried])
+    lists = shared.lists
+    if distinct:
+        last = shared.last().select(F.col("q_id").alias("b_id"), "last_sim", "last_id", F.lit(True).alias("asks"))
+        lists = lists.join(last, "b_id", "left")
+    given = shared.given(shared.asking.join(own, "q_id"), lists).where(_other_master("__master_q", "__master_b"))
+    if not distinct:
+        return given.select(
+            F.col("b_id").alias("id1"), F.col("q_id").alias("id2"),
+            *[F.col(f"{c}{of}").alias(f"{c}{s}") for s, of in (("1", "_b"), ("2", "_q")) for c in columns],
+        )
+    # whether the neighbour has found the offer as well: the offer comes no later than the neighbour's last one
+    last, sim = F.col("last_sim"), F.col("sim")
+    reached = last.isNull() | (sim > last) | ((sim == last) & (F.col("q_id") <= F.col("last_id")))
+    both = F.coalesce("asks", F.lit(False)) & reached
+    first = F.col("q_id") < F.col("b_id")
+    of = lambda c, one, other: F.when(first, F.col(f"{c}{one}")).otherwise(F.col(f"{c}{other}"))
+    return given.where(first | ~both).select(
+        F.least("q_id", "b_id").alias("id1"), F.greatest("q_id", "b_id").alias("id2"),
+        *[of(c, "_q", "_b").alias(f"{c}1") for c in columns], *[of(c, "_b", "_q").alias(f"{c}2") for c in columns],
+    )
+
+
 def hard_negatives(products: DataFrame, *, master: str = "master_product", vec: str = "vec",
                    **search) -> DataFrame:
     """``(id1, id2)`` = (neighbour of another master, labelled offer).
@@ -36,10 +93,15 @@ def hard_negatives(products: DataFrame, *, master: str = "master_product", vec:
     An offer looks at as many neighbours as 1.5 times its master's offers,
     itself included. Unlabelled neighbours count; unlabelled offers ask nothing.
     """
+    shared = _shared_negatives(products, [], master, vec, False, search) if _unique_ids(products) else None
+    return _searched_negatives(products, master, vec, search) if shared is None else shared
+
+
+def _searched_negatives(products: DataFrame, master: str, vec: str, search: dict) -> DataFrame:
+    """Hard negatives row by row, whatever the ids."""
     sized = _with_group_size(products, master)
     offers = sized.where(F.col(master).isNotNull())
-    k = F.bround(F.lit(HARD_NEGATIVE_FACTOR) * F.col("__n"), 0).cast("int")
-    hits = knn_join(offers, products, k - 1, vec=vec, without_self=True, **search)
+    hits = knn_join(offers, products, _neighbours_asked(), vec=vec, without_self=True, **search)
     labels = products.select("id", master)
     own = labels.select(F.col("id").alias("q_id"), F.col(master).alias("__own"))
     other = labels.select(F.col("id").alias("b_id"), F.col(master).alias("__other"))
@@ -52,8 +114,8 @@ def hard_negatives(products: DataFrame, *, master: str = "master_product", vec:
 
 
 def all_positives(products: DataFrame, *, master: str = "master_product", seq: str = "id",
-                  block_rows: int = PAIR_BLOCK_ROWS) -> DataFrame:
-    """Every pair of offers of one master, ``id1`` before ``id2`` in ``seq`` order.
+                  block_rows: int = PAIR_BLOCK_ROWS, columns: Sequence[str] = ()) -> DataFrame:
+    """Every pair of offers of one master, ``id1`` before ``id2`` in ``seq`` order, with both members' ``columns``, suffixed 1 and 2.
 
     The result itself is quadratic in the size of a master. A large master is cut
     into blocks and the work goes out by pair of blocks, so that no task ever
@@ -62,18 +124,20 @@ def all_positives(products: DataFrame, *, master: str = "master_product", seq: s
     sizes = products.where(F.col(master).isNotNull()).groupBy(master).agg(
         F.ceil(F.count("*") / block_rows).cast("int").alias("__blocks")
     )
-    rows = products.select(F.col("id"), F.col(seq).alias("__seq"), master).join(sizes, master)
+    rows = products.select(F.col("id"), F.col(seq).alias("__seq"), master, *[F.col(c).alias(f"__own_{c}") for c in columns]).join(sizes, master)
     rows = rows.withColumn("__own", F.pmod(F.xxhash64("id"), F.col("__blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
     left = rows.select(
         master, F.col("__own").alias("__l"), every.alias("__r"),
-        F.col("id").alias("id1"), F.col("__seq").alias("__s1"),
+        F.col("id").alias("id1"), F.col("__seq").alias("__s1"), *[F.col(f"__own_{c}").alias(f"{c}1") for c in columns],
     )
     right = rows.select(
         master, every.alias("__l"), F.col("__own").alias("__r"),
-        F.col("id").alias("id2"), F.col("__seq").alias("__s2"),
+        F.col("id").alias("id2"), F.col("__seq").alias("__s2"), *[F.col(f"__own_{c}").alias(f"{c}2") for c in columns],
+    )
+    return left.join(right, [master, "__l", "__r"]).where("__s1 < __s2").select(
+        "id1", "id2", *[f"{c}{s}" for s in ("1", "2") for c in columns]
     )
-    return left.join(right, [master, "__l", "__r"]).where("__s1 < __s2").select("id1", "id2")
 
 
 def hard_positives(products: DataFrame, *, master: str = "master_product", vec: str = "vec",
@@ -134,8 +198,18 @@ def training_pairs_named(products: DataFrame, *, master: str = "master_product",
                          **search) -> DataFrame:
     """Negatives, hard positives (both with names), then all positives (names NULL).
 
-    Duplicates of an ordered ``(id1, id2)`` keep the earliest of the three sets.
+    Duplicates of an ordered ``(id1, id2)`` keep the earliest of the three sets. With unique ids only a hard positive
+    is among all positives as well: there it is left out by its first member's farthest offer, which goes along.
     """
+    shared = _shared_negatives(products, ["name"], master, vec, False, search) if _unique_ids(products) else None
+    if shared is not None:
+        far = cut_lineage(hard_positives(products, master=master, vec=vec))
+        known = products.join(far.select(F.col("id1").alias("id"), F.col("id2").alias("__far")), "id", "left")
+        rest = all_positives(known, master=master, columns=["__far"]).where("__far1 IS NULL OR id2 != __far1")
+        return union_all(
+            shared.withColumn("match", F.lit(0)), lookup_both(far, products, ["name"]).withColumn("match", F.lit(1)),
+            rest.select("id1", "id2", F.lit(1).alias("match")),
+        ).select("id1", "name1", "name2", "id2", "match")
     negatives = hard_negatives(products, master=master, vec=vec, **search)
     positives = hard_positives(products, master=master, vec=vec)
     named = union_all(
@@ -151,13 +225,25 @@ def training_pairs_named(products: DataFrame, *, master: str = "master_product",
 
 
 def training_pairs(products: DataFrame, *, master: str = "master_product", vec: str = "vec",
-                   **search) -> DataFrame:
-    """Distinct canonical pairs: hard negatives labelled 0, all positives labelled 1."""
-    negatives = canonical_pairs(hard_negatives(products, master=master, vec=vec, **search))
-    positives = canonical_pairs(all_positives(products, master=master))
-    return union_all(
+                   columns: Sequence[str] = (), **search) -> DataFrame:
+    """Distinct canonical pairs: hard negatives labelled 0, all positives labelled 1; with both members' ``columns``, suffixed 1 and 2.
+
+    With unique ids positives are distinct as they come, and so are negatives from shared lists (:func:`_shared_negatives`).
+    """
+    unique = _unique_ids(products)
+    negatives = _shared_negatives(products, columns, master, vec, True, search) if unique else None
+    if negatives is None:
+        negatives = canonical_pairs(_searched_negatives(products, master, vec, search))
+        negatives = lookup_both(negatives, products, columns, how="inner") if columns else negatives
+    if unique:
+        positives = all_positives(products, master=master, columns=columns)
+    else:
+        positives = canonical_pairs(all_positives(products, master=master))
+        positives = lookup_both(positives, products, columns, how="inner") if columns else positives
+    pairs = union_all(
         negatives.withColumn("match", F.lit(0)), positives.withColumn("match", F.lit(1))
     )
+    return pairs.select("id1", "id2", "match", *[f"{c}{s}" for s in ("1", "2") for c in columns])
 
 
 def one_shot_pairs(products: DataFrame, *, neighbours: int = ONE_SHOT_NEIGHBOURS,

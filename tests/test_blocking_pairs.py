@@ -137,3 +137,38 @@ def test_block_to_masters_checks_the_category_after_top_k(spark, offers):
     rows = blocking.block_to_masters(products, masters, 4, -1.0).collect()
     assert all(r["id1"] % 2 == r["id2"] % 2 for r in rows)
     assert 0 < len(rows) < 60 * 4
+
+
+def test_pairs_of_copied_vectors_are_not_shuffled(spark):
+    """Lists shared by copies of a vector give the pairs that the search row by row gives, ties and zero vectors too."""
+    rng = np.random.default_rng(3)
+    rows = [
+        (i * 7 % 150, f"n{i % 5}", None if i % 37 == 5 else [float(x) for x in rng.integers(-1, 2, size=3)],
+         None if i % 11 == 0 else f"m{rng.integers(0, 5)}")
+        for i in range(150)
+    ]
+    copied = spark.createDataFrame(rows, "id bigint, name string, vec array<float>, master_product string").cache()
+    want = [tuple(r) for r in pairs._searched_negatives(copied, "master_product", "vec", {}).collect()]
+    assert len(want) > 500
+    assert sorted(tuple(r) for r in pairs.hard_negatives(copied).collect()) == sorted(want)
+    names = {r["id"]: r["name"] for r in copied.collect()}
+    positives = [tuple(r) for r in pairs.all_positives(copied).collect()]
+    both = pairs.training_pairs(copied, columns=["name"])
+    once = [(a, b, 0) for a, b in {(min(p), max(p)) for p in want}] + [(a, b, 1) for a, b in positives]
+    assert sorted(tuple(r) for r in both.collect()) == sorted((a, b, m, names[a], names[b]) for a, b, m in once)
+    named = pairs.training_pairs_named(copied)
+    far = [tuple(r) for r in pairs.hard_positives(copied).collect()]
+    first = [(a, names[a], names[b], b, 0) for a, b in want] + [(a, names[a], names[b], b, 1) for a, b in far]
+    first += [(a, None, None, b, 1) for a, b in set(positives) - set(far)]
+    assert sorted(map(str, map(tuple, named.collect()))) == sorted(map(str, first))
+    # pairs are not made distinct, nor ranked: both would shuffle every one of them
+    for df in (both, named):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate [id1" not in plan and "windowspecdefinition(id1" not in plan
+
+
+def test_repeated_ids_make_pairs_as_before(spark):
+    rows = [(i % 20, f"n{i}", [float(i % 4), 1.0], f"m{i % 3}") for i in range(40)]
+    twice = spark.createDataFrame(rows, "id bigint, name string, vec array<float>, master_product string").cache()
+    found = pairs.training_pairs(twice).collect()
+    assert len(found) == len({tuple(r) for r in found}) and all(r["id1"] <= r["id2"] for r in found)
